@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 
 def csv_items(text: Column) -> Column:
-    """Trimmed, non-blank items in order, duplicates kept."""
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda item: item != "")
+    """Items without surrounding white space, blanks dropped, order and duplicates kept."""
+    trimmed = F.transform(F.split(text, ","), lambda i: F.regexp_replace(i, r"^\s+|\s+$", ""))
+    return F.filter(trimmed, lambda item: item != "")
 
 
 def csv_text(items: Column) -> Column:
