@@ -62,3 +62,8 @@ def json_field(column: Column, path: str) -> Column:
 def json_typed(column: Column, path: str, data_type: str) -> Column:
     """Typed value inside a JSON column; NULL when absent, unreadable or of another type."""
     return F.try_variant_get(F.try_parse_json(column), path, data_type)
+
+
+def json_struct(column: Column, schema: str) -> Column:
+    """A JSON column read with a schema of the caller's choice."""
+    return F.from_json(column, schema)

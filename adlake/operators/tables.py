@@ -43,6 +43,9 @@ from adlake.specs import TableSpec
 # More touched days than this are matched by a join instead of a literal list.
 MAX_DAY_LITERALS = 4000
 
+# Rows that one task of the final write takes, about 200 MB of a fact.
+ROWS_PER_TASK = 2_000_000
+
 _FILE_FORMATS = {"parquet", "orc", "csv", "json", "text", "avro"}
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -162,14 +165,23 @@ def _same_key(left: DataFrame, right: DataFrame, keys: Iterable[str]) -> Column:
     return reduce(and_, (left[k] == right[k] for k in keys))
 
 
+def _write_tasks(spark: SparkSession, rows: int, days: int) -> int:
+    """Tasks of the final write: enough for the rows, and at least one per touched day as
+    far as there are cores, since each day costs a file."""
+    return max(-(-rows // ROWS_PER_TASK), min(days, spark.sparkContext.defaultParallelism))
+
+
 def merged_days(target: DataFrame, staged: DataFrame, spec: TableSpec,
-                days: DataFrame, values: list | None) -> DataFrame:
-    """Complete new content of the touched days."""
+                days: DataFrame, values: list | None, rows: int, touched: int) -> DataFrame:
+    """Complete new content of the touched days. Counting the current rows reads no column,
+    only the row counts in the files' footers."""
     current = _of_days(target, spec.partition, days, values).alias("target")
+    tasks = _write_tasks(target.sparkSession, rows + current.count(), touched)
     keys = staged.select(*spec.key).alias("source")
     kept = current.join(keys, _same_key(current, keys, spec.key), "left_anti")
     order = [spec.partition, *(k for k in spec.key if k != spec.partition)]
-    return kept.unionByName(staged).repartitionByRange(*order).sortWithinPartitions(*order)
+    merged = kept.unionByName(staged)
+    return merged.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 
 
 def publish(spark: SparkSession, merged: DataFrame, target: Target, spec: TableSpec) -> None:
@@ -217,7 +229,7 @@ def upsert(df: DataFrame, target: Target, spec: TableSpec, *,
     if target.is_native(spark):
         _merge_native(staged, target, spec, values)
         return WriteReport(rows, touched)
-    merged = merged_days(target.read(spark, spec), staged, spec, days, values)
+    merged = merged_days(target.read(spark, spec), staged, spec, days, values, rows, touched)
     if not durable:
         publish(spark, merged, target, spec)
         return WriteReport(rows, touched)

@@ -65,9 +65,9 @@ def _envelope_ok(body: Column, parsed: Column, key: str) -> Column:
 
 _SHAPES = {
     "listing": ("items", "items array<string>"),
-    "report": (None, "array<string>"),
-    "breakdown": ("data", "data array<string>"),
-    "options": (None, "array<string>"),
+    "report": (None, "array<struct<DATE:string>>"),
+    "breakdown": ("data", "data array<struct<targeting_value:string>>"),
+    "options": (None, "array<map<string,string>>"),
 }
 
 
