@@ -16,11 +16,11 @@ MIN_UNIX, MAX_UNIX = -62135596800, 253402300799
 def to_long(text: Column) -> Column:
     """Whole number, truncated toward zero: ``12.7`` gives 12 and ``-12.7`` gives -12.
 
-    Plain digits take the cheap branch. The decimal keeps 18 places, so a value just
-    below a whole number is not rounded up to it.
+    Plain digits are exact at any size; anything else is a JSON real and is read as one.
+    Reals are told apart by their point, as a cast that fails is slow.
     """
-    exact = text.try_cast("decimal(38,18)")
-    return F.coalesce(text.try_cast("bigint"), exact.try_cast("bigint"))
+    digits = F.when(~text.contains("."), text.try_cast("bigint"))
+    return F.coalesce(digits, text.try_cast("double").try_cast("bigint"))
 
 
 def to_double(text: Column) -> Column:

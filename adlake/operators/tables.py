@@ -16,9 +16,10 @@ matched row never changes partition and only the touched days are rewritten:
 4. stage kept + source, then publish with dynamic partition overwrite
 
 Step 4 writes touched days twice. This makes a run that dies while swapping folders
-recoverable: ``publish`` of the same staged folder completes it, and may be repeated.
-``durable=False`` skips that copy. Either way there must be one writer at a time, and
-days become visible one after another.
+recoverable: its staging folder then still exists, and ``publish_staged`` completes the
+run, any number of times. After a good run the folder is removed. ``durable=False`` skips
+that copy. Either way there must be one writer at a time, and days become visible one
+after another.
 
 Merged rows are range-partitioned by day and key: tasks get equal shares whatever the
 skew of the days, a day that holds most rows is split by key range, a run of small days
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.operators.checks import duplicate_keys
-from adlake.session import run_dir
+from adlake.session import discard, is_complete, run_dir
 from adlake.specs import TableSpec
 
 # More touched days than this are matched by a join instead of a literal list.
@@ -92,11 +93,10 @@ class Target:
 
 @dataclass(frozen=True)
 class WriteReport:
-    """What a write did: rows of the source, days rewritten, where it was staged."""
+    """What a write did: rows of the source, days rewritten."""
 
     rows: int
     days: int = 0
-    staged: str | None = None
 
 
 def table_name(catalog: str, database: str, table: str) -> str:
@@ -202,20 +202,35 @@ def publish(spark: SparkSession, merged: DataFrame, target: Target, spec: TableS
     spark.catalog.refreshTable(target.table)
 
 
-def publish_staged(spark: SparkSession, staged: str, target: Target, spec: TableSpec) -> None:
-    """Finish, or repeat, an upsert whose merged days lie in the folder ``staged``."""
-    publish(spark, spark.read.schema(spec.schema).parquet(staged), target, spec)
+def publish_staged(spark: SparkSession, staging: str, target: Target, spec: TableSpec) -> None:
+    """Finish, or repeat, an upsert from its staging folder. A folder that the dead run had
+    not completed is refused; its target is untouched and the run can be started again."""
+    folder = f"{staging}/merged"
+    if not is_complete(spark, folder):
+        raise ValueError(f"nothing to publish, staging was cut off: {folder}")
+    publish(spark, spark.read.schema(spec.schema).parquet(folder), target, spec)
 
 
-def upsert(df: DataFrame, target: Target, spec: TableSpec, *,
-           check_duplicates: bool = True, durable: bool = True) -> WriteReport:
+def upsert(df: DataFrame, target: Target, spec: TableSpec, *, check_duplicates: bool = True,
+           durable: bool = True, staging: str | None = None) -> WriteReport:
     """Overwrite matching rows in every column, insert the others, keep the rest.
 
     An empty source leaves the target alone. A duplicate key is an error; callers that
     have made keys unique (``checks.latest_per_key``) may switch the check off.
+    ``staging`` names the folder to stage in and keeps it; without it a fresh one is used
+    and removed after success.
     """
     spark = df.sparkSession
-    work = run_dir(spark, f"upsert-{spec.name}")
+    work = staging or run_dir(spark, f"upsert-{spec.name}")
+    report = _upsert(df, target, spec, work, check_duplicates, durable)
+    if staging is None:
+        discard(spark, work)
+    return report
+
+
+def _upsert(df: DataFrame, target: Target, spec: TableSpec, work: str,
+            check_duplicates: bool, durable: bool) -> WriteReport:
+    spark = df.sparkSession
     staged, rows = _stage(conform(df, spec), f"{work}/source")
     if rows == 0:
         return WriteReport(0)
@@ -230,13 +245,12 @@ def upsert(df: DataFrame, target: Target, spec: TableSpec, *,
         _merge_native(staged, target, spec, values)
         return WriteReport(rows, touched)
     merged = merged_days(target.read(spark, spec), staged, spec, days, values, rows, touched)
-    if not durable:
+    if durable:
+        merged.write.partitionBy(spec.partition).parquet(f"{work}/merged")
+        publish_staged(spark, work, target, spec)
+    else:
         publish(spark, merged, target, spec)
-        return WriteReport(rows, touched)
-    folder = f"{work}/merged"
-    merged.write.partitionBy(spec.partition).parquet(folder)
-    publish_staged(spark, folder, target, spec)
-    return WriteReport(rows, touched, folder)
+    return WriteReport(rows, touched)
 
 
 def _merge_native(staged: DataFrame, target: Target, spec: TableSpec, values: list | None) -> None:
@@ -252,12 +266,9 @@ def _merge_native(staged: DataFrame, target: Target, spec: TableSpec, values: li
 # --- replace -------------------------------------------------------------------------
 
 
-def _scoped(df: DataFrame, target: Target, spec: TableSpec, scope: DataFrame | None) -> DataFrame:
-    """With a scope, rows of other accounts stay: replace only the accounts of the run."""
-    rows = conform(df, spec)
-    if scope is None:
-        return rows
-    others = target.read(df.sparkSession, spec)
+def _with_others(rows: DataFrame, target: Target, spec: TableSpec, scope: DataFrame) -> DataFrame:
+    """Rows of the accounts pulled, and the table's rows of all other accounts."""
+    others = target.read(rows.sparkSession, spec)
     return others.join(scope.select("ad_account_id"), "ad_account_id", "left_anti").unionByName(rows)
 
 
@@ -273,31 +284,28 @@ def replace_all(parts: Iterable[tuple[DataFrame, Target, TableSpec]],
     staged = []
     for df, target, spec in parts:
         spark = df.sparkSession
-        folder = f"{run_dir(spark, f'replace-{spec.name}')}/snapshot"
-        if scope is not None:
-            fresh, rows = _stage(conform(df, spec), f"{folder}-scope")
-            df = _scoped(fresh, target, spec, scope)
-            if rows:
-                _stage(df, folder)
-        else:
-            _, rows = _stage(conform(df, spec), folder)
-        staged.append((spark, target, spec, folder, rows))
+        work = run_dir(spark, f"replace-{spec.name}")
+        fresh, rows = _stage(conform(df, spec), f"{work}/rows")
+        if rows and scope is not None:
+            fresh, _ = _stage(_with_others(fresh, target, spec, scope), f"{work}/scoped")
+        staged.append((fresh, target, spec, work, rows, "rows" if scope is None else "scoped"))
     return [_switch(*item) for item in staged]
 
 
-def _switch(spark: SparkSession, target: Target, spec: TableSpec, folder: str, rows: int) -> WriteReport:
-    if rows == 0:
-        return WriteReport(0)
-    fresh = spark.read.schema(spec.schema).parquet(folder)
-    if target.table is None:
+def _switch(fresh: DataFrame, target: Target, spec: TableSpec, work: str, rows: int,
+            folder: str) -> WriteReport:
+    spark = fresh.sparkSession
+    if rows and target.table is not None and not target.is_native(spark):
+        create_if_missing(spark, Target(target.table, f"{work}/{folder}"), spec)
+        spark.sql(f"ALTER TABLE {target.table} SET LOCATION '{work}/{folder}'")
+        spark.catalog.refreshTable(target.table)
+        return WriteReport(rows)
+    if rows and target.table is None:
         fresh.write.mode("overwrite").parquet(target.path)
-    elif target.is_native(spark):
+    elif rows:
         fresh.writeTo(target.table).using(target.native_format).createOrReplace()
-    else:
-        create_if_missing(spark, Target(target.table, folder), spec)
-        spark.sql(f"ALTER TABLE {target.table} SET LOCATION '{folder}'")
-        spark.catalog.refreshTable(target.table)
-    return WriteReport(rows, staged=folder)
+    discard(spark, work)
+    return WriteReport(rows)
 
 
 def replace(df: DataFrame, target: Target, spec: TableSpec,

@@ -32,3 +32,23 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared folder; nothing is created until written."""
     return f"{shared_dir(spark)}/adlake/{label}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether the job that wrote a folder has committed."""
+    files, marker = _file_system(spark, f"{path}/_SUCCESS")
+    return files.exists(marker)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``run_dir`` has named."""
+    if not path.startswith(f"{shared_dir(spark)}/adlake/"):
+        raise ValueError(f"not a run folder: {path}")
+    files, where = _file_system(spark, path)
+    files.delete(where, True)

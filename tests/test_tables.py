@@ -9,6 +9,7 @@ from adlake import specs
 from adlake.operators import tables
 from adlake.operators.checks import latest_per_key
 from adlake.operators.tables import DuplicateKeys, Target
+from adlake.session import discard, run_dir, shared_dir
 
 SPEC = specs.AD_FACT
 DIM = specs.CAMPAIGN_DIM
@@ -100,14 +101,34 @@ def test_failing_source_leaves_the_table(spark, target):
 
 def test_a_cut_off_publish_can_be_finished(spark, target):
     tables.upsert(facts(spark, OLD), target, SPEC)
-    report = tables.upsert(facts(spark, NEW), target, SPEC)
+    staging = run_dir(spark, "staging")
+    tables.upsert(facts(spark, NEW), target, SPEC, staging=staging)
     lost = facts(spark, [("a", "2024-01-01", 0.0, 0)])  # as if one day had lost its rows
     tables.publish(spark, lost, target, SPEC)
     assert content(target, spark) != MERGED
-    tables.publish_staged(spark, report.staged, target, SPEC)
+    tables.publish_staged(spark, staging, target, SPEC)
     assert content(target, spark) == MERGED
 
 
+def test_incomplete_staging_is_not_published(spark, target):
+    tables.upsert(facts(spark, OLD), target, SPEC)
+    staging = run_dir(spark, "staging")
+    facts(spark, NEW).write.partitionBy("stat_date").parquet(f"{staging}/merged")
+    os.remove(f"{staging}/merged/_SUCCESS")
+    with pytest.raises(ValueError, match="cut off"):
+        tables.publish_staged(spark, staging, target, SPEC)
+    assert content(target, spark) == sorted(OLD, key=str)
+
+
+def test_staging_is_removed_after_success(spark, target):
+    tables.upsert(facts(spark, OLD), target, SPEC)
+    left = os.listdir(f"{shared_dir(spark)}/adlake")
+    tables.upsert(facts(spark, NEW), target, SPEC)
+    assert sorted(os.listdir(f"{shared_dir(spark)}/adlake")) == sorted(left)
+    with pytest.raises(ValueError, match="not a run folder"):
+        discard(spark, "/tmp/elsewhere")
+
+
 def test_many_days_go_by_join(spark, target, monkeypatch):
     monkeypatch.setattr(tables, "MAX_DAY_LITERALS", 1)
     tables.upsert(facts(spark, OLD), target, SPEC)

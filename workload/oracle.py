@@ -231,9 +231,9 @@ from listed""",
     "merge_upsert_catalog": _upserted(),
     "lookback_window": f"{_WITH}, {_AD_PERF} select ad_account_id, ad_id, stat_date, spend "
                        f"from ad_perf where {_WINDOW}",
-    "empty_pull": f"""{_WITH}, {_CAMPAIGN_PERF}
+    "empty_pull": f"""{_WITH}, {_AD_PERF}
 select campaign_id, cast(count(*) as bigint) as n_rows, cast(0 as bigint) as written
-from campaign_perf group by campaign_id""",
+from ad_perf group by campaign_id""",
     "duplicate_keys": """select l_orderkey, l_linenumber, cast(count(*) as bigint) as n
 from lineitem group by l_orderkey, l_linenumber having count(*) > 1""",
     "latest_per_key": """select l_orderkey, l_linenumber, l_shipdate, l_extendedprice, l_quantity, l_partkey

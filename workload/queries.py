@@ -313,23 +313,28 @@ def merge_upsert_catalog(spark, sf):
     return comparable(_upserted(spark, sf, _fresh_table(spark, "ad_performance")))
 
 
+@functools.cache
+def _history(application: str, sf: str) -> Target:
+    """The whole ad history as a day-partitioned table, loaded once per application for the
+    queries that leave it as it is."""
+    spark = SparkSession.active()
+    target = Target(path=run_dir(spark, "ad-history"))
+    tables.upsert(ad_facts(spark, sf), target, specs.AD_FACT, durable=False)
+    return target
+
+
 def lookback_window(spark, sf):
     """The default window of a run, read from the day-partitioned table."""
-    target = Target(path=run_dir(spark, "ad-performance"))
-    tables.upsert(ad_facts(spark, sf), target, specs.AD_FACT, durable=False)
-    rows = target.read(spark, specs.AD_FACT)
+    rows = _history(spark.sparkContext.applicationId, sf).read(spark, specs.AD_FACT)
     window = in_window(F.col("stat_date"), *date_window(WINDOW_RUN))
     return rows.filter(window).select("ad_account_id", "ad_id", "stat_date", "spend")
 
 
 def empty_pull(spark, sf):
     """A pull without rows leaves the table untouched."""
-    target = Target(path=run_dir(spark, "campaigns"))
-    rows = campaign_facts(spark, sf)
-    tables.upsert(rows, target, specs.CAMPAIGN_FACT, durable=False)
-    report = tables.upsert(rows.filter(F.col("spend") < 0), target, specs.CAMPAIGN_FACT)
-    current = target.read(spark, specs.CAMPAIGN_FACT)
-    return current.groupBy("campaign_id").agg(
+    target = _history(spark.sparkContext.applicationId, sf)
+    report = tables.upsert(ad_facts(spark, sf).filter(F.col("spend") < 0), target, specs.AD_FACT)
+    return target.read(spark, specs.AD_FACT).groupBy("campaign_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.lit(report.rows).cast("bigint").alias("written"))
 
 
