@@ -13,7 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ACCOUNT_DAY = ["ad_account_id", "stat_date"]
 BREAKDOWN_TYPE, BREAKDOWN_VALUE = "breakdown_type", "breakdown_value"
 
 _MONEY = "decimal(18,6)"

@@ -160,8 +160,6 @@ _METRIC_FIELDS = tuple(
     Field(column, kind, raw)
     for raw, column, kind in (line.split() for line in METRICS.strip().splitlines())
 )
-METRIC_COLUMNS = [f.name for f in _METRIC_FIELDS]
-COUNT_COLUMNS = [f.name for f in _METRIC_FIELDS if f.kind == "long"]
 
 
 def _fact(name, ids, entity, endpoint, batch_size, breakdown=None, targeting_type=None):

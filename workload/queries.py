@@ -291,7 +291,7 @@ def _revision(rows: DataFrame) -> DataFrame:
 
 def _upserted(spark, sf, target: Target):
     """The whole history loaded, then the window revised."""
-    landed_rows = f"{run_dir(spark, 'facts')}"
+    landed_rows = run_dir(spark, "facts")
     ad_facts(spark, sf).write.parquet(landed_rows)
     rows = spark.read.parquet(landed_rows)
     tables.upsert(rows, target, specs.AD_FACT, durable=False)
@@ -362,7 +362,7 @@ def _remaining(rows: DataFrame) -> DataFrame:
     return rows.filter("status = 'ACTIVE'")
 
 
-def _snapshot(spark, sf, target: Target, scope=None):
+def _snapshot(spark, sf, target: Target):
     rows = _campaign_rows(spark, sf)
     tables.replace(rows, target, specs.CAMPAIGN_DIM)
     tables.replace(_remaining(rows), target, specs.CAMPAIGN_DIM)
