@@ -90,11 +90,11 @@ ORACLE: dict[str, str] = {
             select doc_id, regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') as w from documents),
         s as (
             select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
-                else list_transform(range(1, len(w) - 3), i -> array_to_string(list_slice(w, i, i + 4), ' ')) end) as g from w),
+                else list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) end) as g from w),
         n as (select doc_id, count(*) as n from s group by doc_id),
-        o as (select a.doc_id as a, b.doc_id as b, count(*) as both
+        o as (select a.doc_id as a, b.doc_id as b, count(*) as shared
               from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id),
-        l as (select a, b from o join n x on x.doc_id = a join n y on y.doc_id = b where 100 * both >= 80 * (x.n + y.n - both)),
+        l as (select a, b from o join n x on x.doc_id = a join n y on y.doc_id = b where 100 * shared >= 80 * (x.n + y.n - shared)),
         r(doc_id, m) as (select doc_id, doc_id from documents union select r.doc_id, l.b from r join l on r.m = l.a),
         c as (select doc_id, min(m) as component_id from r group by doc_id)
         select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, c.component_id
