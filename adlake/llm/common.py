@@ -36,22 +36,22 @@ def held_out(key: str, modulus: int):
 SUM_BYTES = 1 << 17  # of one summed piece
 
 
-def summed(df: DataFrame, add: Callable[[Iterator[pa.RecordBatch]], np.ndarray], dtype: str) -> np.ndarray:
-    """The element-wise sum of one array per task, of the same fixed length in all tasks.
+PIECE = "place long, length long, piece binary"
 
-    Pieces are summed on the executors by their place; the driver receives the sum alone.
-    """
-    step = SUM_BYTES // np.dtype(dtype).itemsize
 
-    def per_task(batches):
-        total = add(batches)
-        for i in range(0, len(total), step):
-            piece = total[i:i + step]
-            if piece.any():
-                yield pa.RecordBatch.from_pydict({
-                    "place": pa.array([i], pa.int64()), "length": pa.array([len(total)], pa.int64()),
-                    "piece": pa.array([piece.astype(dtype).tobytes()], pa.binary())})
+def pieces(total: np.ndarray) -> Iterator[dict[str, list]]:
+    """An array in pieces of SUM_BYTES, without those that are zero."""
+    step = SUM_BYTES // total.dtype.itemsize
+    for i in range(0, len(total), step):
+        if (piece := total[i:i + step]).any():
+            yield {"place": [i], "length": [len(total)], "piece": [piece.tobytes()]}
 
+
+def sum_pieces(df: DataFrame, dtype: str = "int64") -> np.ndarray:
+    """The element-wise sum of the arrays whose pieces (PIECE) df holds.
+
+    Pieces are summed on the executors by their place; the driver receives the sum alone.
+    """
     def per_place(batches):
         totals, length = {}, 0
         for batch in batches:
@@ -63,8 +63,7 @@ def summed(df: DataFrame, add: Callable[[Iterator[pa.RecordBatch]], np.ndarray],
                 "place": pa.array([place], pa.int64()), "length": pa.array([length], pa.int64()),
                 "piece": pa.array([total.tobytes()], pa.binary())})
 
-    schema = "place long, length long, piece binary"
-    rows = few_tasks(df).mapInArrow(per_task, schema).repartition("place").mapInArrow(per_place, schema).collect()
+    rows = df.select("place", "length", "piece").repartition("place").mapInArrow(per_place, PIECE).collect()
     if not rows:
         return np.empty(0, dtype)
     out = np.zeros(rows[0]["length"], dtype)
@@ -74,6 +73,15 @@ def summed(df: DataFrame, add: Callable[[Iterator[pa.RecordBatch]], np.ndarray],
     return out
 
 
+def summed(df: DataFrame, add: Callable[[Iterator[pa.RecordBatch]], np.ndarray], dtype: str = "int64") -> np.ndarray:
+    """The element-wise sum of one array per task, of the same fixed length in all tasks."""
+    def per_task(batches):
+        for piece in pieces(add(batches)):
+            yield pa.RecordBatch.from_pydict(piece)
+
+    return sum_pieces(few_tasks(df).mapInArrow(per_task, PIECE), dtype)
+
+
 def components(edges: DataFrame, label: str) -> DataFrame:
     """(node, root): the smallest node reachable, for every node of ``edges`` (a, b).
 

@@ -1,11 +1,14 @@
 """Prefix-tree join: pairs of sets whose Jaccard similarity reaches a threshold, exactly.
 
 Method
-  * Every set holds hashes of five-word runs in one global order: rare first, by a table of
-    counts over all rows, then by value. Two sets that reach the threshold share one of
-    their first ``n - ceil(t * n) + 1`` values, so only these are shuffled.
-  * Rows with one set are joined to their smallest key first. Sets that share a leading
-    value are gathered into groups, and a group that is large is cut into blocks by size.
+  * Every set holds hashes of five-word runs in one global order: by value, and those that
+    many rows share last, by a table of counts over all rows. Two sets that reach the
+    threshold have KEPT of a set's values in common within their leading parts (see
+    ``_lead``), so only these parts are shuffled, without the often shared values.
+  * A set with fewer shared values in its leading part than that has no partner and is done.
+    Of the others' shared values, the rarest suffice for every pair to meet in one.
+  * Rows with one set are joined to their smallest key first. Sets that share a rare value
+    are gathered into groups, and a group that is large is cut into blocks by size.
   * In a group, the sets are stored in a trie (frequent first, so that alike sets share
     their path). Each set walks down the trie level by level: the overlap with a path is
     counted once for all sets below it, and a subtree is left when its overlap and the
@@ -30,59 +33,172 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from adlake.llm.common import components, summed, written
+from adlake.llm.common import components, few_tasks, pieces, sum_pieces, written
 from adlake.llm.words import chunks, distinct, mix, shingles, split_words
 
 WIDTH = 5
 THRESHOLD = (4, 5)
-COUNT_BITS = 18  # of the table of counts that orders the values
+KEPT = (1, 5)  # part of a set that a pair has in common in its leading parts
+COUNT_BITS = 20  # of the table of counts that finds the often shared values
 GROUP_VALUES = 1 << 16  # values of a group that one task takes whole
+SENT_VALUES = 1 << 21  # of leading parts that leave a task together
 _U = np.uint64
 
 
-def _sets(rows, data, at, width) -> list[np.ndarray]:
+def _sets(data, at, width) -> tuple[np.ndarray, np.ndarray]:
     return distinct(*shingles(split_words(data, at), width))
 
 
-def _counts(docs: DataFrame, width: int) -> np.ndarray:
-    """How many sets hold a value of each of 2**COUNT_BITS buckets, over all rows."""
-    def add(batches) -> np.ndarray:
-        total = np.zeros(1 << COUNT_BITS, dtype=np.int64)
-        for rows, data, at in chunks(batches):
-            found = _sets(rows, data, at, width)
-            values = np.concatenate(found) if found else np.empty(0, _U)
-            total += np.bincount((values >> _U(64 - COUNT_BITS)).astype(np.int64), minlength=len(total))
-        return total
+def _up(n, num: int, den: int):
+    return (num * n + den - 1) // den
 
-    return summed(docs.select("text"), add, "int64")
 
+def _described(docs: DataFrame, width: int) -> DataFrame:
+    """Per row: key, set size, and a 128-bit mark of the set; and pieces of the counts of
+    values over 2**COUNT_BITS buckets."""
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << COUNT_BITS, dtype=np.int64)
 
-def _described(docs: DataFrame, counts: np.ndarray, width: int, num: int, den: int) -> DataFrame:
-    """Per row: key, set size, a 128-bit mark of the set, and its leading values."""
-    shared = docs.sparkSession.sparkContext.broadcast(counts)
+        def batch(ids=None, n=(), marks=(), place=(), length=(), piece=()):
+            size = max(len(n), len(place))
+            none = [None] * size
+            return pa.RecordBatch.from_pydict({
+                "id": pa.array(none, pa.int64()) if ids is None else ids, "n": pa.array(n if len(n) else none, pa.int64()),
+                "mark": pa.array(marks or none, pa.binary()), "place": pa.array(place or none, pa.int64()),
+                "length": pa.array(length or none, pa.int64()), "piece": pa.array(piece or none, pa.binary())})
 
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
         for rows, data, at in chunks(batches):
-            sizes, marks, lead, ends = [], [], [], [0]
-            for values in _sets(rows, data, at, width):
-                n = len(values)
-                sizes.append(n)
-                if n:
-                    high, low = (np.bitwise_xor.reduce(mix(values ^ _U(s))) ^ values.sum(dtype=_U) for s in (0x5A5A, 0xC3C3))
-                    marks.append(high.tobytes() + low.tobytes())
-                    order = np.argsort(table[(values >> _U(64 - COUNT_BITS)).astype(np.int64)], kind="stable")
-                    lead.append(values[order[:n - (num * n + den - 1) // den + 1]])
-                else:
-                    marks.append(None)
-                ends.append(ends[-1] + (len(lead[-1]) if n else 0))
-            flat = np.concatenate(lead) if lead else np.empty(0, _U)
+            values, ptr = _sets(data, at, width)
+            bucket, often = np.unique((values >> _U(64 - COUNT_BITS)).astype(np.int64), return_counts=True)
+            total[bucket] += often
+            count, marks = np.diff(ptr), np.zeros((len(ptr) - 1, 2), dtype=np.uint64)
+            some = np.flatnonzero(count)
+            if len(some):
+                for k, salt in enumerate((0x5A5A5A5A5A5A5A5A, 0x3C3C3C3C3C3C3C3C)):
+                    mixed = mix(values ^ _U(salt))
+                    marks[some, k] = np.add.reduceat(mixed, ptr[:-1][some])
+            yield batch(rows.column("id"), count, [m.tobytes() if n else None for m, n in zip(marks, count, strict=True)])
+        for p in pieces(total):
+            yield batch(**p)
+
+    return few_tasks(docs).mapInArrow(describe, "id long, n long, mark binary, place long, length long, piece binary")
+
+
+def _often(counts: np.ndarray) -> np.ndarray:
+    """Buckets that hold a value which many rows share: far more than the usual count."""
+    usual = float(np.median(counts)) if len(counts) else 0.0
+    return counts > usual + 6 * np.sqrt(usual) + 32
+
+
+def _lead(docs: DataFrame, counts: np.ndarray, width: int, num: int, den: int, slices: int) -> DataFrame:
+    """The leading parts of all sets, dealt by value into ``slices``; see KEPT.
+
+    A part has n - ceil(t n) + ceil(k n) values, so a pair that reaches t has ceil(k n) of
+    the smaller set's at least in common in both parts. Rows: of one slice, the values, which
+    of ``ids`` holds each, and the sizes of their sets. Often shared values need no partner:
+    they come in slices of their own, from ``slices`` on, with their bucket's count.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((counts, _often(counts)))
+
+    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often, hot = shared.value
+        turn = 0
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def flush():
+            values, ids, sizes = (np.concatenate(c) for c in zip(*held, strict=True))
+            bucket = (values >> _U(64 - COUNT_BITS)).astype(np.int64)
+            known = hot[bucket]
+            slice_of = np.where(known, slices, (values % _U(slices)).astype(np.int64))
+            order = np.argsort(slice_of, kind="stable")
+            values, ids, sizes, bucket = values[order], ids[order], sizes[order], bucket[order]
+            cuts = np.searchsorted(slice_of[order], np.arange(slices + 2))
+            rows = [(k, a, b) for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if b > a]
+            spare = slices + int(ids[0] + turn) % slices if len(ids) else slices
             yield pa.RecordBatch.from_pydict({
-                "id": rows.column("id").cast(pa.int64()), "n": pa.array(sizes, pa.int64()),
-                "mark": pa.array(marks, pa.binary()),
-                "lead": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))})
+                "slice": pa.array([k if k < slices else spare for k, _, _ in rows], pa.int32()),
+                "values": pa.array([values[a:b].tobytes() for _, a, b in rows], pa.binary()),
+                "ids": pa.array([ids[a:b].tobytes() for _, a, b in rows], pa.binary()),
+                "sizes": pa.array([sizes[a:b].tobytes() for _, a, b in rows], pa.binary()),
+                "often": pa.array([often[bucket[a:b]].tobytes() if k == slices else None for k, a, b in rows], pa.binary())})
 
-    return docs.mapInArrow(describe, "id long, n long, mark binary, lead array<long>")
+        sent = 0
+        for rows, data, at in chunks(batches):
+            values, ptr = _sets(data, at, width)
+            n = np.diff(ptr)
+            text = np.repeat(np.arange(len(n)), n)
+            known = hot[(values >> _U(64 - COUNT_BITS)).astype(np.int64)]
+            order = np.lexsort((known, text))  # keeps the order by value
+            take = n - _up(n, num, den) + _up(n, *KEPT)
+            first = (np.arange(len(values)) - ptr[text]) < take[text]
+            at = order[first]
+            ids = np.asarray(rows.column("id").to_numpy(zero_copy_only=False), dtype=np.int64)
+            held.append((values[at], ids[text[at]], n[text[at]].astype(np.int32)))
+            sent += len(at)
+            if sent >= SENT_VALUES:
+                yield from flush()
+                held, sent, turn = [], 0, turn + 1
+        if held:
+            yield from flush()
+
+    return docs.mapInArrow(lead, "slice int, values binary, ids binary, sizes binary, often binary")
+
+
+_SHARED = "id long, n int, value long, often long"
+
+
+def _shared_values(lead: DataFrame) -> DataFrame:
+    """(id, n, value, often): the values of the leading parts that two rows hold or more."""
+    def table(ids, sizes, values, often):
+        return pa.RecordBatch.from_pydict({"id": pa.array(ids), "n": pa.array(sizes), "value": pa.array(values.view(np.int64)),
+                                           "often": pa.array(often)})
+
+    def read(raws, dtype):
+        return np.concatenate([np.frombuffer(r, dtype) for r in raws])
+
+    def meet(batches):
+        now, held = None, []
+
+        def found():
+            values, ids, sizes = (read(c, d) for c, d in zip(zip(*held, strict=True), (np.uint64, np.int64, np.int32), strict=True))
+            order = np.argsort(values)
+            values = values[order]
+            first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+            times = np.diff(np.append(first, len(values)))
+            often = np.repeat(times, times)
+            keep = often > 1
+            return table(ids[order][keep], sizes[order][keep], values[keep], often[keep])
+
+        for batch in batches:
+            for k, often, *raw in zip(*(batch.column(c).to_pylist() for c in ("slice", "often", "values", "ids", "sizes")), strict=True):
+                if often is not None:
+                    yield table(read(raw[1:2], np.int64), read(raw[2:], np.int32), read(raw[:1], np.uint64), read([often], np.int64))
+                    continue
+                if k != now:
+                    if held:
+                        yield found()
+                    now, held = k, []
+                held.append(raw)
+        if held:
+            yield found()
+
+    return lead.repartition("slice").sortWithinPartitions("slice").mapInArrow(meet, _SHARED)
+
+
+def _edges(shared: DataFrame, num: int, den: int) -> DataFrame:
+    """(id, other): each row with the smallest key among those that share one of its rarest
+    shared values; every pair that reaches the threshold meets in one of these.
+
+    A pair has m = ceil(k t n) of a set's shared values in common at least, so it has one
+    among all but the last m - 1 of either set.
+    """
+    need = F.ceil(F.col("n") * (KEPT[0] * num) / (KEPT[1] * den)).cast("int")
+    rank = F.row_number().over(W.partitionBy("id", "n").orderBy("often", "value"))
+    size = F.count("*").over(W.partitionBy("id", "n"))
+    rare = (shared.withColumn("rank", rank).withColumn("size", size).withColumn("need", need)
+            .where("rank <= size - need + 1").select("id", "value"))
+    least = rare.groupBy("value").agg(F.min("id").alias("other"), F.max("id").alias("most")).where("other < most")
+    return rare.join(least.select("value", "other"), "value").where("id != other").select("id", "other").distinct()
 
 
 # --- the trie -----------------------------------------------------------------------------
@@ -262,10 +378,11 @@ def _links(members: DataFrame, docs: DataFrame, width: int, num: int, den: int)
 
     def to_sets(batches):
         for rows, data, at in chunks(batches):
-            found = _sets(rows, data, at, width)
+            values, ptr = _sets(data, at, width)
             yield pa.RecordBatch.from_arrays(
                 [rows.column("id"), rows.column("grp"), rows.column("parts"),
-                 pa.array([s.tobytes() for s in found], pa.binary())], names=["id", "grp", "parts", "held"])
+                 pa.array([values[a:b].tobytes() for a, b in zip(ptr[:-1], ptr[1:], strict=True)], pa.binary())],
+                names=["id", "grp", "parts", "held"])
 
     kind = "array<struct<p:int,q:int,r:int,s:int,side:int>>"
     spread = (texts.mapInArrow(to_sets, f"id long, grp long, parts {kind}, held binary")
@@ -315,17 +432,20 @@ def near_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     """
     num, den = threshold
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    sets = written(_described(rows, _counts(rows, width), width, num, den), "sets")
-    named = sets.where("id is not null and n > 0")
+    told = written(_described(rows, width), "described")
+    sets = told.where("piece is null").select("id", "n", "mark")
+    counts = sum_pieces(told.where("piece is not null"))
+    counts = counts if len(counts) else np.zeros(1 << COUNT_BITS, dtype=np.int64)
     # Rows of one set: their smallest key stands for them.
+    named = sets.where("id is not null and n > 0")
     first = named.groupBy("mark").agg(F.min("id").alias("rep"))
     member = written(named.select("id", "mark", "n").join(first, "mark").select("id", "rep", "n"), "members")
 
-    value = named.select("id", F.explode("lead").alias("value"))
-    one = F.first("id").over(W.partitionBy("value").orderBy("id"))
-    shared = value.select("id", one.alias("other")).where("id != other").distinct()
+    slices = 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lead = _lead(rows.where("id is not null"), counts, width, num, den, slices)
+    met = written(_edges(_shared_values(lead), num, den), "met")
     reps = member.groupBy("id").agg(F.min("rep").alias("rep"))
-    near = (shared.join(reps, "id").select(F.col("rep").alias("a"), "other")
+    near = (met.join(reps, "id").select(F.col("rep").alias("a"), "other")
             .join(reps.select(F.col("id").alias("other"), F.col("rep").alias("b")), "other").select("a", "b"))
     groups = components(near, "candidates")
 

@@ -137,6 +137,11 @@ def shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(out[keep]), kept[ptr]
 
 
-def distinct(values: np.ndarray, ptr: np.ndarray) -> list[np.ndarray]:
-    """The sorted set of values of each text."""
-    return [np.unique(values[a:b]) for a, b in zip(ptr[:-1], ptr[1:], strict=True)]
+def distinct(values: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted set of values of each text, and where each begins; ``values`` is sorted in place."""
+    for a, b in zip(ptr[:-1].tolist(), ptr[1:].tolist(), strict=True):
+        values[a:b].sort()
+    keep = np.ones(len(values), dtype=bool)
+    keep[1:] = values[1:] != values[:-1]
+    keep[ptr[:-1][ptr[:-1] < len(values)]] = True
+    return values[keep], np.concatenate(([0], np.cumsum(keep)))[ptr]
