@@ -19,7 +19,10 @@ the same. Other columns are not read. An empty table gives no pieces.
 
 from __future__ import annotations
 
+import functools
 import os
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,9 +36,9 @@ from adlake.llm.common import written
 WINDOW = 4096
 END = 2
 MAX_QUEUES = 1024
-KEPT_WORDS = 200_000  # word encodings that a task remembers; only for speed
+KEPT_WORDS = 400_000  # word encodings that a worker remembers; only for speed
 LONG_WORD = 64  # not remembered
-BATCH_TOKENS = 1 << 20  # of pieces returned at once
+BATCH_TOKENS = 1 << 20  # of rows that are cut at once
 ROUNDS = 4096  # looked at together
 PIECES = "doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -46,46 +49,93 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Encoder:
-    """Token ids of texts. The tokenizer drops white space, so words are encoded on their own."""
+class Encoder(dict):
+    """Token ids of words, as bytes, learned as they are asked for.
+
+    The tokenizer drops spaces and line ends, and parts letters from marks, so words are
+    encoded on their own, and letters of Latin-1 apart from the marks that follow them.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
-
-    def __call__(self, text: str) -> bytes:
-        """The ids as unsigned 32-bit numbers."""
-        words = text.replace("\n", " ").split(" ")
-        known = self.known
-        new = [w for w in set(words) if w not in known]
-        if new:
-            if len(known) > KEPT_WORDS:
-                known = self.known = {"": b""}
-                new = list(set(words) - {""})
-            coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            found = {w: np.array(c.ids, dtype="<u4").tobytes() for w, c in zip(new, coded, strict=True)}
-            known.update((w, ids) for w, ids in found.items() if len(w) <= LONG_WORD)
-            if any(len(w) > LONG_WORD for w in new):
-                return b"".join(found[w] if w in found else known[w] for w in words)
-        return b"".join(map(known.__getitem__, words))
+        super().__init__({"": b""})
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.marks: dict[str, bytes] = {"": b""}
+        self.letters = _byte_letters() if _parts_letters(self.tokenizer) else None
+
+    def _ids(self, text: str) -> bytes:
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        m = _LETTERS_AND_MARKS.fullmatch(word) if self.letters else None
+        if m:
+            letters, marks = m.groups()
+            if marks not in self.marks:
+                self.marks[marks] = self._ids(marks)
+            plain = letters.lower().translate(self.letters)
+            ids = array(self.code, [t.id for t in self.model.tokenize(plain)]).tobytes() + self.marks[marks]
+        else:
+            ids = self._ids(word)
+        if len(word) <= LONG_WORD:
+            if len(self) > KEPT_WORDS:
+                self.clear()
+                self[""] = b""
+            self[word] = ids
+        return ids
+
+    def encode(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+
+
+_LETTERS_AND_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?;:&%$#*|]{0,8})")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Latin-1 letters as the byte-level alphabet writes their UTF-8: printable bytes stand
+    for themselves, the others for the characters from 256 on, in order."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in set(printable)]
+    name = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+    return {c: "".join(name[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
+def _parts_letters(tokenizer) -> bool:
+    """Whether letters may be encoded apart: shown on words that hold every letter."""
+    table = _byte_letters()
+    probe = ["the", "caf\u00e9", "\u00dcber", *("a" + chr(c) + "b" for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7))]
+    for word in probe:
+        for marks in ("", ",", ".!?", "###"):
+            whole = tokenizer.encode(word + marks, add_special_tokens=False).ids
+            apart = [t.id for t in tokenizer.model.tokenize(word.lower().translate(table))]
+            if whole != apart + (tokenizer.encode(marks, add_special_tokens=False).ids if marks else []):
+                return False
+    return True
+
+
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """One per Python worker; what it has learned serves its next tasks too."""
+    return Encoder(path)
 
 
 def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Each row's ids, and its place among the rows of its source in its partition."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, taken = Encoder(tokenizer), {}
+        words, taken = encoder(tokenizer), {}
+        end, width = array(words.code, [END]).tobytes(), array(words.code).itemsize
         for batch in batches:
             sources = batch.column("source").to_pylist()
             at, sizes, coded = [], [], []
             for source, text in zip(sources, batch.column("text"), strict=True):
-                ids = np.frombuffer(encoder(text.as_py() or ""), dtype="<u4")
-                ids = np.append(ids, END).astype("<u4")
+                ids = words.encode(text.as_py() or "") + end
                 at.append(taken.get(source, 0))
-                sizes.append(len(ids))
-                coded.append(ids.astype("<u2").tobytes() if ids.max() < 1 << 16 else ids.tobytes())
-                taken[source] = at[-1] + len(ids)
+                sizes.append(len(ids) // width)
+                coded.append(ids)
+                taken[source] = at[-1] + sizes[-1]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "source": batch.column("source"), "part": batch.column("part"),
                 "at": pa.array(at, pa.int64()), "n": pa.array(sizes, pa.int64()), "ids": pa.array(coded, pa.binary())})
@@ -117,15 +167,18 @@ class Grants:
             r = r + early
         return r
 
-    def places(self, queue: int, first: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Runs of tokens first..first+n of a queue: their start in it, length, global place."""
-        if self.whole[queue]:
-            ends = self.round_of(np.array([first, first + n - 1]), queue)
-            rounds = np.arange(ends[0], ends[1] + 1)
-        else:
-            rounds = self.round_of(np.arange(first, first + n), queue)
-        begin = np.maximum(self.upto(rounds, queue), first)
-        stop = np.minimum(self.upto(rounds + 1, queue), first + n)
+    def places(self, queue: int, first: np.ndarray, n: np.ndarray):
+        """Runs of the tokens first..first+n of each row of a queue: the row, the run's start
+        in the queue, its length, and its place among all tokens."""
+        if self.whole[queue]:  # some tokens in every round
+            low, high = self.round_of(first, queue), self.round_of(first + n - 1, queue)
+            row = np.repeat(np.arange(len(n)), high - low + 1)
+            rounds = np.arange(len(row)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1) + low[row]
+        else:  # one token at most
+            row = np.repeat(np.arange(len(n)), n)
+            rounds = self.round_of(np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + first[row], queue)
+        begin = np.maximum(self.upto(rounds, queue), first[row])
+        stop = np.minimum(self.upto(rounds + 1, queue), (first + n)[row])
         place = np.empty(len(rounds), dtype=np.int64)
         every = np.arange(len(self.totals))
         for i in range(0, len(rounds), ROUNDS):
@@ -133,21 +186,21 @@ class Grants:
             before = self.upto(r, every)
             granted = self.upto(r + 1, every[:queue]) - before[:, :queue]
             place[i:i + ROUNDS] = before.sum(axis=1) + granted.sum(axis=1) - before[:, queue]
-        return begin, stop - begin, place + begin
+        return row, begin, stop - begin, place + begin
 
 
-def cut(begin: np.ndarray, length: np.ndarray, place: np.ndarray, window: int):
+def cut(row: np.ndarray, begin: np.ndarray, length: np.ndarray, place: np.ndarray, window: int):
     """Runs cut at the ends of windows, and joined where they follow each other in one."""
     n = (place + length - 1) // window - place // window + 1
     run = np.repeat(np.arange(len(n)), n)
     k = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
     low = np.maximum(place[run], (place[run] // window + k) * window)
     high = np.minimum((place + length)[run], (place[run] // window + k + 1) * window)
-    begin = begin[run] + low - place[run]
+    begin, row = begin[run] + low - place[run], row[run]
     new = np.ones(len(run), dtype=bool)
-    new[1:] = (low[1:] != high[:-1]) | (low[1:] % window == 0)
+    new[1:] = (low[1:] != high[:-1]) | (low[1:] % window == 0) | (row[1:] != row[:-1])
     at = np.flatnonzero(new)
-    return begin[at], np.add.reduceat(high - low, at), low[at]
+    return row[at], begin[at], np.add.reduceat(high - low, at), low[at]
 
 
 def pack(docs: DataFrame, *, tokenizer: str | None = None, window: int = WINDOW, max_queues: int = MAX_QUEUES) -> DataFrame:
@@ -172,31 +225,36 @@ def pack(docs: DataFrame, *, tokenizer: str | None = None, window: int = WINDOW,
     grants = Grants(totals, window)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
-        kinds = [pa.int64(), pa.string(), *[pa.int64()] * 5, pa.binary()]
-        out, tokens = [], 0
-
-        def flush():
-            columns = list(zip(*out, strict=True))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x for part in c for x in part], k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-        for batch in batches:
-            for doc, source, queue, first, n, raw in zip(*(batch.column(c).to_pylist() for c in (
-                    "doc_id", "source", "queue", "first", "n", "ids")), strict=True):
-                ids = np.frombuffer(raw, dtype="<u2" if len(raw) == 2 * n else "<u4").astype("<u4").tobytes()
-                begin, length, place = cut(*grants.places(queue, first, n), window)
-                begin = begin - first
-                count = len(begin)
-                out.append(([doc] * count, [source] * count, begin.tolist(), length.tolist(), [n] * count,
-                            (place // window).tolist(), (place % window).tolist(),
-                            [ids[4 * b:4 * (b + m)] for b, m in zip(begin.tolist(), length.tolist(), strict=True)]))
-                tokens += n
-                if tokens >= BATCH_TOKENS:
-                    yield flush()
-                    out, tokens = [], 0
-        if out:
-            yield flush()
+        for whole in batches:
+            sizes = np.cumsum(whole.column("n").to_numpy())
+            at = 0
+            while at < whole.num_rows:
+                stop = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BATCH_TOKENS)))
+                yield of_rows(whole.slice(at, stop - at))
+                at = stop
+
+    def of_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        queue, first, n = (batch.column(c).to_numpy() for c in ("queue", "first", "n"))
+        found = []
+        for q in np.unique(queue).tolist():
+            rows = np.flatnonzero(queue == q)
+            row, begin, length, place = cut(*grants.places(q, first[rows], n[rows]), window)
+            found.append((rows[row], begin, length, place))
+        row, begin, length, place = (np.concatenate(c) for c in zip(*found, strict=True))
+        start = begin - first[row]
+        ids, at = [], np.argsort(row, kind="stable")
+        last, held = -1, b""
+        for r, a, m in zip(row[at].tolist(), start[at].tolist(), length[at].tolist(), strict=True):
+            if r != last:
+                raw = batch.column("ids")[r].as_py()
+                held = raw if len(raw) == 4 * n[r] else np.frombuffer(raw, dtype="<u2").astype("<u4").tobytes()
+                last = r
+            ids.append(held[4 * a:4 * (a + m)])
+        row, start, length, place = row[at], start[at], length[at], place[at]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(pa.array(row)), batch.column("source").take(pa.array(row)), pa.array(start),
+             pa.array(length), pa.array(n[row]), pa.array(place // window), pa.array(place % window), pa.array(ids, pa.binary())],
+            names=["doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
     here = placed.select(F.col("source").alias("of"), F.col("part").alias("in_part"), "queue", "before")
     at = rows.join(here, rows.source.eqNullSafe(here.of) & (rows.part == here.in_part))
