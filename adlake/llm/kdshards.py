@@ -32,7 +32,7 @@ from adlake.llm.common import written
 
 DIM_BITS, TIE_BITS = 20, 43
 BINS = 2048
-FINE = 1000  # a bin lighter than this part of a shard is not searched further
+FINE = 400  # a bin lighter than this part of a shard is not searched further
 PARTS = 256  # of a shard, that number their slots side by side
 ROW_BYTES = 16
 
@@ -133,10 +133,10 @@ def kd_shards(df: DataFrame, *, dims: list[str], weight: Column, shards: int, ke
     kept = [f"c{i}" for i in range(len(keep))]
     tie = F.xxhash64(*keep, F.monotonically_increasing_id())
     rows = written(df.select(*(c.alias(n) for c, n in zip(keep, kept, strict=True)), weight.cast("long").alias("weight"),
-                             *(scaled(k).alias(k) for k in numbers), tie.alias("tie")), "kd-rows")
+                             *(scaled(k).alias(k) for k in numbers), tie.alias("tie"), F.lit(0).cast("long").alias("node")), "kd-rows")
     total = rows.agg(F.sum("weight")).first()[0] or 0
     names = list(numbers)
-    placed, level = rows.withColumn("node", F.lit(0).cast("long")), [Node(0, shards)] if shards > 1 else []
+    placed, level = rows, [Node(0, shards)] if shards > 1 else []
     while level:
         _cut(placed, level, names, total, shards)
         placed = _down(placed, level, names)
