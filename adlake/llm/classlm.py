@@ -186,7 +186,16 @@ class ClassModel:
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         train = rows.where(F.coalesce(held_out("doc_id", FOLDS) != OUT, F.lit(False)))
         self.counts = written(word_counts(train), "words")
-        head = self.counts.orderBy(F.desc("c"), "word").limit(HEAD).collect()
+        # The most frequent words, HEAD at most: those above a step of the logarithm of the count.
+        height = F.floor(F.log2("c") * 16).cast("int")
+        steps = sorted(((r["h"], r["n"]) for r in self.counts.groupBy(height.alias("h")).agg(F.count("*").alias("n")).collect()), reverse=True)
+        total, least = 0, None
+        for h, n in steps:
+            if total + n > HEAD:
+                break
+            total, least = total + n, h
+        in_head = height >= F.lit(least) if least is not None else F.lit(False)
+        head = sorted(self.counts.where(in_head).collect(), key=lambda r: (-r["c"], r["word"]))
         word = np.array([r["word"] for r in head], dtype=np.int64).view(np.uint64)
         often = np.array([r["c"] for r in head], dtype=np.int64)
         named = np.concatenate((word[:UNITS], [END_HASH])) if END_HASH not in word[:UNITS] else word[:UNITS]
@@ -230,13 +239,7 @@ class ClassModel:
         order = np.argsort(word)
         self.model = Model(word[order], often[order], units, unit_of, classes, step, np.log10(spread), int(classes[end]), tokens, words)
         self.shared = spark.sparkContext.broadcast(self.model)
-        # Words beyond the head; the head's last word in order of count tells them apart.
-        self.tail = self.counts.select("word", "c")
-        if len(head) == HEAD:
-            c, w = head[-1]["c"], head[-1]["word"]
-            self.tail = self.tail.where((F.col("c") < c) | ((F.col("c") == c) & (F.col("word") > w)))
-        else:
-            self.tail = self.tail.where(F.lit(False))
+        self.tail = self.counts.where(~in_head).select("word", "c")
 
     def scored(self, docs: DataFrame) -> DataFrame:
         """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
