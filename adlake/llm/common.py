@@ -23,6 +23,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_IDS = 1 << 20  # rows of one whole number, some 16 MB
+
+
+def by_ids(df: DataFrame, key: str, ids: DataFrame, how: str) -> DataFrame:
+    """``left_semi`` or ``left_anti`` join of df on a written table of ids (one column, id).
+
+    Few ids go to every task, so that df is not shuffled; more than BROADCAST_IDS are left
+    to Spark's own choice of join.
+    """
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return df.join(F.broadcast(ids) if few else ids, df[key] == ids["id"], how)
+
+
 def few_tasks(df: DataFrame) -> DataFrame:
     """As many tasks as cores, twice over: for steps whose output per task has a fixed size."""
     return df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)

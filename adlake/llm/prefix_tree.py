@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from adlake.llm.common import components, few_tasks, pieces, sum_pieces, written
+from adlake.llm.common import by_ids, components, few_tasks, pieces, sum_pieces, written
 from adlake.llm.words import chunks, distinct, mix, shingles, split_words
 
 WIDTH = 5
@@ -374,7 +374,8 @@ def _links(members: DataFrame, docs: DataFrame, width: int, num: int, den: int)
             F.transform(F.sequence(zero, F.coalesce("above", F.lit(1)) - 1), lambda k: part(b, own, b + 1, k, 0))),
         F.when(F.col("below").isNull(), F.array().cast("array<struct<p:int,q:int,r:int,s:int,side:int>>")).otherwise(
             F.transform(F.sequence(zero, F.coalesce("below", F.lit(1)) - 1), lambda k: part(b - 1, k, b, own, 1)))))
-    texts = plan.select("id", "grp", parts.alias("parts")).join(docs, "id")
+    asked = written(members.select("id").distinct(), "asked")
+    texts = plan.select("id", "grp", parts.alias("parts")).join(by_ids(docs, "id", asked, "left_semi"), "id")
 
     def to_sets(batches):
         for rows, data, at in chunks(batches):

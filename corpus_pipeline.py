@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.llm import decontaminate, packing, pii, prefix_tree, quality
-from adlake.llm.common import table, written
+from adlake.llm.common import by_ids, table, written
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,11 +23,15 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Of several rows with that key one stays; rows without a key stay.
     """
-    groups = prefix_tree.near_components(docs)
-    kept = written(groups.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("same")), "kept")
-    once = docs.join(kept.where("same = 1").select("doc_id"), "doc_id", "left_semi")
-    often = docs.join(kept.where("same > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(often).unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    groups = written(prefix_tree.near_components(docs), "groups")
+    gone = written(groups.where("doc_id != component_id").select(F.col("doc_id").alias("id")).distinct(), "gone")
+    kept = by_ids(docs, "doc_id", gone, "left_anti")
+    again = written(groups.where("doc_id = component_id").groupBy(F.col("doc_id").alias("id"))
+                    .agg(F.count("*").alias("same")).where("same > 1").select("id"), "again")
+    if again.isEmpty():
+        return kept
+    once = by_ids(kept, "doc_id", again, "left_anti")
+    return once.unionByName(by_ids(kept, "doc_id", again, "left_semi").dropDuplicates(["doc_id"]))
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
