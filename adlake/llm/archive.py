@@ -32,7 +32,10 @@ MIN_SHARED = 100
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HEADERS = ["page_id", "record_type", "payload_digest", "payload_bytes", "refers_to", "head"]
-_EMPTY = F.lit("").cast("binary")
+
+
+def _empty() -> Column:
+    return F.lit("").cast("binary")
 
 
 @dataclass(frozen=True)
@@ -80,7 +83,7 @@ def write_archive(pages: DataFrame, path: str, *, key: str = "page_id", url: str
                   date: str = DATE) -> Archive:
     """Archive a record for every row of pages in a new folder."""
     archive = Archive(path)
-    body = F.coalesce(F.col(payload).cast("binary"), _EMPTY)
+    body = F.coalesce(F.col(payload).cast("binary"), _empty())
     rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), body.alias("payload"))
     rows = rows.withColumn("payload_digest", F.sha2("payload", 256)).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
     # The content goes to the exchange once per different payload and task.
@@ -112,7 +115,7 @@ def read_archive(spark: SparkSession, archive: Archive) -> DataFrame:
     rows = heads.join(read_payloads(spark, archive), "payload_digest", "left")
     missing = F.raise_error(F.concat(F.lit("no payload "), F.col("payload_digest"))).cast("binary")
     rows = rows.withColumn("payload", F.coalesce("payload", missing))
-    body = F.when(F.col("record_type") == "revisit", _EMPTY).otherwise(F.col("payload"))
+    body = F.when(F.col("record_type") == "revisit", _empty()).otherwise(F.col("payload"))
     return rows.select(*HEADERS, "payload", F.concat("head", body, F.lit("\r\n\r\n").cast("binary")).alias("record"))
 
 
