@@ -21,14 +21,14 @@ def resolve_accounts(discovered: DataFrame, allowlist: str | None) -> tuple[Data
     """(accounts to pull, requested accounts that are not visible).
 
     Without an allowlist all discovered accounts are pulled. With one, its order and its
-    repetitions are kept. Only the allowlist, a job parameter, is broadcast: the
-    discovered accounts are cut down to it before anything moves.
+    repetitions are kept. The allowlist is a job parameter, so Spark measures it as small
+    and cuts the discovered accounts down to it before anything moves.
     """
     if not allowlist:
         none = discovered.select(ACCOUNT).filter(F.lit(False))
         return discovered.select(ACCOUNT), none
     requested = requested_accounts(discovered, allowlist)
-    wanted = F.broadcast(requested.select(ACCOUNT))
+    wanted = requested.select(ACCOUNT)
     visible = discovered.select(ACCOUNT).join(wanted, ACCOUNT, "left_semi").distinct()
     return (
         requested.join(visible, ACCOUNT, "left_semi"),

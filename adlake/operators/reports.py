@@ -9,13 +9,15 @@ on the order in which rows arrive.
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+UNMAPPED = "unmapped"
 BREAKDOWN_TYPE, BREAKDOWN_VALUE = "breakdown_type", "breakdown_value"
 
-_MONEY = "decimal(18,6)"
+_MONEY = "decimal(28,10)"
 _MONEY_COLUMNS = {"spend"}
 _RATIOS = {"cost_per_lead", "ecpc", "cpm", "ctr"}
 
@@ -76,20 +78,29 @@ def with_entity(fact: DataFrame, dimension: DataFrame, key: str, columns: dict[s
 
 
 def reconcile(whole: DataFrame, parts: DataFrame, keys, metrics) -> DataFrame:
-    """Each row of ``whole`` beside the summed rows of ``parts``: ``<m>_parts`` and the
-    remainder ``<m>_rest``. Rows without parts get nulls.
+    """Each row of ``whole`` beside the summed rows of ``parts``: ``<m>_parts``, the
+    remainder ``<m>_rest``, and the ``side`` that has the key: both, whole or parts. A
+    missing side counts as 0, so what is not attributed at all is in the remainder.
 
     With a breakdown as parts the remainder is unattributed traffic; with ads as parts of
     a campaign it should be zero.
     """
     sums = totals(parts, keys, metrics)
-    sums = sums.select(*keys, *(F.col(m).alias(f"{m}_parts") for m in metrics))
-    joined = whole.select(*keys, *metrics).join(sums, list(keys), "left")
+    own = whole.select(*keys, *metrics, F.lit(True).alias("_whole")).alias("own")
+    sums = sums.select(*keys, *(F.col(m).alias(f"{m}_parts") for m in metrics), F.lit(True).alias("_parts")).alias("sums")
+    same = reduce(and_, (F.col(f"own.{k}").eqNullSafe(F.col(f"sums.{k}")) for k in keys))
+    has_whole, has_parts = F.col("_whole").isNotNull(), F.col("_parts").isNotNull()
+    side = F.when(has_whole & has_parts, "both").when(has_whole, "whole").otherwise("parts")
+    joined = own.join(sums, same, "full").select(
+        *(F.coalesce(f"own.{k}", f"sums.{k}").alias(k) for k in keys),
+        *(F.when(has_whole, F.col(m)).otherwise(F.lit(0)).alias(m) for m in metrics),
+        *(F.when(has_parts, F.col(f"{m}_parts")).otherwise(F.lit(0)).alias(f"{m}_parts") for m in metrics),
+        side.alias("side"))
     return joined.select("*", *(_rest(m).alias(f"{m}_rest") for m in metrics))
 
 
 def _rest(metric: str) -> Column:
-    own, parts = F.col(metric), F.col(f"{metric}_parts")
+    own, parts = (F.coalesce(F.col(c), F.lit(0)) for c in (metric, f"{metric}_parts"))
     if metric in _MONEY_COLUMNS:
         return (own.cast(_MONEY) - parts.cast(_MONEY)).cast("double")
     return own - parts
@@ -124,8 +135,9 @@ def by_common_market(left: DataFrame, right: DataFrame, crosswalk: DataFrame, me
     """Totals of two market taxonomies side by side, joined through an explicit crosswalk
     ``(dma_code, other_code, market)`` and never on code or name.
 
-    Both sides are summed per code first, so the joins see one row per market code. Check
-    the crosswalk with ``crosswalk_problems``: an unmapped code is left out of the sums.
+    Both sides are summed per code first, so the joins see one row per market code. Totals
+    in equal totals out: codes without a market are summed under UNMAPPED, and a code with
+    two markets fails the query. ``crosswalk_problems`` lists both.
     """
     first = _market_totals(left, "dma_code", crosswalk, metrics, "dma")
     second = _market_totals(right, "other_code", crosswalk, metrics, "other")
@@ -134,7 +146,10 @@ def by_common_market(left: DataFrame, right: DataFrame, crosswalk: DataFrame, me
 
 def _market_totals(df: DataFrame, code: str, crosswalk: DataFrame, metrics, side: str) -> DataFrame:
     per_code = totals(df, [code], metrics)
-    mapped = per_code.join(crosswalk.select(code, "market").distinct(), code)
+    markets = crosswalk.groupBy(code).agg(F.min("market").alias("market"), F.max("market").alias("_other"))
+    ambiguous = F.raise_error(F.concat(F.lit(f"{code} with two markets: "), F.col(code)))
+    market = F.when(F.col("market") != F.col("_other"), ambiguous).otherwise(F.coalesce("market", F.lit(UNMAPPED)))
+    mapped = per_code.join(markets, code, "left").withColumn("market", market)
     summed = totals(mapped, ["market"], metrics)
     return summed.select("market", *(F.col(m).alias(f"{side}_{m}") for m in metrics))
 
@@ -143,9 +158,13 @@ def _market_totals(df: DataFrame, code: str, crosswalk: DataFrame, metrics, side
 
 
 def run_counts(fact: DataFrame, entity: str) -> DataFrame:
-    """Rows, accounts and entities of a run, in one row per day."""
-    return fact.groupBy("stat_date").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct("ad_account_id").alias("n_accounts"),
-        F.count_distinct(entity).alias("n_entities"),
-    )
+    """Rows, accounts and entities of a run, in one row per day.
+
+    Facts are counted per day, account and entity first; only these counts move on.
+    """
+    counts = fact.groupBy("stat_date", "ad_account_id", entity).agg(F.count(F.lit(1)).alias("n"))
+    accounts = (counts.groupBy("stat_date", "ad_account_id").agg(F.sum("n").alias("n"))
+                .groupBy("stat_date").agg(F.sum("n").alias("n_rows"), F.count("ad_account_id").alias("n_accounts")))
+    entities = (counts.select(F.col("stat_date").alias("_day"), entity).distinct()
+                .groupBy("_day").agg(F.count(entity).alias("n_entities")))
+    return accounts.join(entities, F.col("stat_date").eqNullSafe(F.col("_day"))).drop("_day")

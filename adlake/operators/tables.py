@@ -41,9 +41,6 @@ from adlake.operators.checks import duplicate_keys
 from adlake.session import discard, is_complete, run_dir
 from adlake.specs import TableSpec
 
-# More touched days than this are matched by a join instead of a literal list.
-MAX_DAY_LITERALS = 4000
-
 # Rows that one task of the final write takes, about 200 MB of a fact.
 ROWS_PER_TASK = 2_000_000
 
@@ -142,20 +139,13 @@ def _stage(df: DataFrame, path: str) -> tuple[DataFrame, int]:
 # --- upsert --------------------------------------------------------------------------
 
 
-def _touched(staged: DataFrame, day: str):
-    """The distinct days of the source: a list on the driver while that is short, beyond
-    that the frame itself."""
-    days = staged.select(day).distinct()
-    head = days.limit(MAX_DAY_LITERALS + 1).collect()
-    return (days, None) if len(head) > MAX_DAY_LITERALS else (days, [r[0] for r in head])
+def _touched(staged: DataFrame, day: str) -> list:
+    """The distinct days of the source. The calendar bounds their number, not the data."""
+    return [r[0] for r in staged.select(day).distinct().collect()]
 
 
-def _of_days(target: DataFrame, day: str, days: DataFrame, values: list | None) -> DataFrame:
-    """Target rows of the touched days. Literals prune partitions when the scan is planned;
-    the join prunes them at run time."""
-    if values is None:
-        same = target[day].eqNullSafe(days[day])
-        return target.join(days, same, "left_semi")
+def _of_days(target: DataFrame, day: str, values: list) -> DataFrame:
+    """Target rows of the touched days. Literals prune partitions when the scan is planned."""
     hit = F.col(day).isin([v for v in values if v is not None])
     return target.filter(hit | F.col(day).isNull() if None in values else hit)
 
@@ -171,12 +161,22 @@ def _write_tasks(spark: SparkSession, rows: int, days: int) -> int:
     return max(-(-rows // ROWS_PER_TASK), min(days, spark.sparkContext.defaultParallelism))
 
 
-def merged_days(target: DataFrame, staged: DataFrame, spec: TableSpec,
-                days: DataFrame, values: list | None, rows: int, touched: int) -> DataFrame:
+def _not_older(staged: DataFrame, current: DataFrame, spec: TableSpec, stamp: str) -> DataFrame:
+    """Source rows that the target does not hold in a later version."""
+    held = current.select(*spec.key, F.col(stamp).alias("_held")).alias("held")
+    joined = staged.alias("source").join(held, _same_key(staged, held, spec.key), "left")
+    fresh = F.col("_held").isNull() | (F.col("_held") <= F.col(f"source.{stamp}"))
+    return joined.filter(fresh).select("source.*")
+
+
+def merged_days(target: DataFrame, staged: DataFrame, spec: TableSpec, values: list, rows: int,
+                newer_by: str | None = None) -> DataFrame:
     """Complete new content of the touched days. Counting the current rows reads no column,
     only the row counts in the files' footers."""
-    current = _of_days(target, spec.partition, days, values).alias("target")
-    tasks = _write_tasks(target.sparkSession, rows + current.count(), touched)
+    current = _of_days(target, spec.partition, values).alias("target")
+    tasks = _write_tasks(target.sparkSession, rows + current.count(), len(values))
+    if newer_by:
+        staged = _not_older(staged, current, spec, newer_by)
     keys = staged.select(*spec.key).alias("source")
     kept = current.join(keys, _same_key(current, keys, spec.key), "left_anti")
     order = [spec.partition, *(k for k in spec.key if k != spec.partition)]
@@ -212,24 +212,25 @@ def publish_staged(spark: SparkSession, staging: str, target: Target, spec: Tabl
 
 
 def upsert(df: DataFrame, target: Target, spec: TableSpec, *, check_duplicates: bool = True,
-           durable: bool = True, staging: str | None = None) -> WriteReport:
+           durable: bool = True, staging: str | None = None, newer_by: str | None = None) -> WriteReport:
     """Overwrite matching rows in every column, insert the others, keep the rest.
 
     An empty source leaves the target alone. A duplicate key is an error; callers that
     have made keys unique (``checks.latest_per_key``) may switch the check off.
     ``staging`` names the folder to stage in and keeps it; without it a fresh one is used
-    and removed after success.
+    and removed after success. ``newer_by`` names a column that orders versions: a row that
+    the table holds in a later one stays as it is.
     """
     spark = df.sparkSession
     work = staging or run_dir(spark, f"upsert-{spec.name}")
-    report = _upsert(df, target, spec, work, check_duplicates, durable)
+    report = _upsert(df, target, spec, work, check_duplicates, durable, newer_by)
     if staging is None:
         discard(spark, work)
     return report
 
 
 def _upsert(df: DataFrame, target: Target, spec: TableSpec, work: str,
-            check_duplicates: bool, durable: bool) -> WriteReport:
+            check_duplicates: bool, durable: bool, newer_by: str | None) -> WriteReport:
     spark = df.sparkSession
     staged, rows = _stage(conform(df, spec), f"{work}/source")
     if rows == 0:
@@ -239,28 +240,28 @@ def _upsert(df: DataFrame, target: Target, spec: TableSpec, work: str,
         if repeated:
             raise DuplicateKeys(f"{spec.name}: {[r.asDict() for r in repeated]}")
     create_if_missing(spark, target, spec)
-    days, values = _touched(staged, spec.partition)
-    touched = days.count() if values is None else len(values)
+    values = _touched(staged, spec.partition)
     if target.is_native(spark):
-        _merge_native(staged, target, spec, values)
-        return WriteReport(rows, touched)
-    merged = merged_days(target.read(spark, spec), staged, spec, days, values, rows, touched)
+        _merge_native(staged, target, spec, values, newer_by)
+        return WriteReport(rows, len(values))
+    merged = merged_days(target.read(spark, spec), staged, spec, values, rows, newer_by)
     if durable:
         merged.write.partitionBy(spec.partition).parquet(f"{work}/merged")
         publish_staged(spark, work, target, spec)
     else:
         publish(spark, merged, target, spec)
-    return WriteReport(rows, touched)
+    return WriteReport(rows, len(values))
 
 
-def _merge_native(staged: DataFrame, target: Target, spec: TableSpec, values: list | None) -> None:
+def _merge_native(staged: DataFrame, target: Target, spec: TableSpec, values: list, newer_by: str | None) -> None:
     """The table format's own MERGE, with the touched days as literals to prune its scan."""
     match = [f"{target.table}.{k} = source.{k}" for k in spec.key]
-    if values is not None and None not in values:
+    if None not in values:
         days = ", ".join(f"DATE'{v}'" for v in sorted(values))
         match.append(f"{target.table}.{spec.partition} IN ({days})")
     merge = staged.alias("source").mergeInto(target.table, F.expr(" AND ".join(match)))
-    merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
+    newer = F.expr(f"source.{newer_by} >= {target.table}.{newer_by}") if newer_by else None
+    (merge.whenMatched(newer) if newer_by else merge.whenMatched()).updateAll().whenNotMatched().insertAll().merge()
 
 
 # --- replace -------------------------------------------------------------------------

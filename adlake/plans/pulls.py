@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.functions.dates import date_window
+from adlake.functions.dates import window_of
 from adlake.operators import batching, flatten
 from adlake.operators.accounts import ACCOUNT, resolve_accounts
 from adlake.operators.tables import Target, WriteReport, replace_all, replace, upsert
@@ -86,7 +86,7 @@ def pull_fact(spark: SparkSession, spec: TableSpec, source: Source, target: Targ
     Accounts without entities give no batch and so no request.
     """
     accounts, missing = discover(spark, source, allowlist)
-    first, last = date_window(run_date, lookback, start, end)
+    first, last = window_of(spark, run_date, lookback, start, end)
     listings = source.land(batching.listing_requests(accounts, spec.endpoint), spec.endpoint)
     ids = landed.listed_ids(listings, "id").select(ACCOUNT, landed.PAGE_NO, landed.ITEM_POS, "id")
     batches = batching.request_batches(ids, "id", spec.batch_size)

@@ -44,23 +44,20 @@ def read_response_files(spark: SparkSession, path: str, partitions: str = "") ->
 # --- unreadable bodies ---------------------------------------------------------------
 
 
-def _enclosed(body: Column, first: str, last: str) -> Column:
-    """Cheap check of the outermost brackets; the JSON reader accepts text after the end."""
-    text = F.trim(F.regexp_replace(body, r"^\s+|\s+$", ""))
-    plain = F.trim(body)
-    bare = plain.startswith(first) & plain.endswith(last)
-    return F.when(bare, True).otherwise(text.startswith(first) & text.endswith(last))
+def _roots(body: Column, schema) -> Column:
+    """The body as the first of two elements of an array. The JSON reader accepts text after
+    a value's end; inside an array it is a further element, or an error."""
+    if isinstance(schema, str):
+        schema = T.DataType.fromDDL(schema)
+    return F.from_json(F.concat(F.lit("["), body, F.lit(",null]")), T.ArrayType(schema))
 
 
-def _array_ok(body: Column, parsed: Column) -> Column:
-    return parsed.isNotNull() & _enclosed(body, "[", "]")
-
-
-def _envelope_ok(body: Column, parsed: Column, key: str) -> Column:
+def _envelope_ok(body: Column, value: Column, key: str) -> Column:
     """An object is readable if its list was read, or if it is valid and lacks the key."""
-    value = F.variant_get(F.try_parse_json(body), f"$.{key}", "variant")
-    absent = F.try_parse_json(body).isNotNull() & F.schema_of_variant(value).isNull()
-    return _enclosed(body, "{", "}") & F.when(parsed.isNotNull(), True).otherwise(absent)
+    found = F.variant_get(F.try_parse_json(body), f"$.{key}", "variant")
+    object_ = F.trim(F.regexp_replace(body, r"^\s+", "")).startswith("{")
+    absent = object_ & F.try_parse_json(body).isNotNull() & F.schema_of_variant(found).isNull()
+    return F.when(value.isNotNull(), True).otherwise(absent)
 
 
 _SHAPES = {
@@ -71,17 +68,18 @@ _SHAPES = {
 }
 
 
-def _readable(body: Column, parsed: Column, key: str | None) -> Column:
-    ok = _array_ok(body, parsed) if key is None else _envelope_ok(body, parsed, key)
-    return F.coalesce(ok, F.lit(False))
+def _readable(body: Column, roots: Column, key: str | None) -> Column:
+    """Whether a body is one value of the expected shape, and nothing after it."""
+    root = F.get(roots, F.lit(0))
+    shape = root.isNotNull() if key is None else _envelope_ok(body, root[key], key)
+    return F.coalesce((F.size(roots) == 2) & shape, F.lit(False))
 
 
 def split_unreadable(responses: DataFrame, shape: str) -> tuple[DataFrame, DataFrame]:
     """(readable, unreadable) responses. Valid JSON without its list counts as readable and
     empty; anything that is not JSON of the expected root is unreadable."""
     key, schema = _SHAPES[shape]
-    parsed = F.from_json("body", schema)
-    ok = _readable(F.col("body"), parsed[key] if key else parsed, key)
+    ok = _readable(F.col("body"), _roots(F.col("body"), schema), key)
     checked = responses.withColumn("_ok", ok)
     return checked.filter("_ok").drop("_ok"), checked.filter("not _ok").drop("_ok")
 
@@ -89,11 +87,11 @@ def split_unreadable(responses: DataFrame, shape: str) -> tuple[DataFrame, DataF
 def _parse(responses: DataFrame, schema, key: str | None) -> DataFrame:
     """Replace the body by its parsed list; an unreadable body aborts the job, in the same
     pass that reads it and so before anything is written."""
-    parsed = F.from_json("body", schema)
-    frame = responses.withColumn(_PARSED, parsed[key] if key else parsed)
+    frame = responses.withColumn(_PARSED, _roots(F.col("body"), schema))
+    root = F.get(F.col(_PARSED), F.lit(0))
     message = F.concat(F.lit("unreadable response: "), F.left("body", F.lit(200)))
     ok = _readable(F.col("body"), F.col(_PARSED), key)
-    return frame.withColumn(_PARSED, F.when(ok, F.col(_PARSED)).otherwise(F.raise_error(message)))
+    return frame.withColumn(_PARSED, F.when(ok, root[key] if key else root).otherwise(F.raise_error(message)))
 
 
 def _listed(frame: DataFrame, columns: list[str], pos: str, name: str) -> DataFrame:
@@ -111,11 +109,13 @@ def _context(responses: DataFrame) -> list[str]:
 
 
 def listed_ids(pages: DataFrame, name: str = "id") -> DataFrame:
-    """Ids of all listed objects, without keeping the objects' text."""
+    """Ids of all listed objects, without keeping the objects' text. An object without an id
+    aborts the job, since its data would be missing without notice."""
     context = [c for c in _context(pages) if c != name]
     frame = _parse(pages, "items array<struct<id:string>>", "items")
     items = _listed(frame, context, ITEM_POS, "_item")
-    return items.select(*context, ITEM_POS, F.col("_item.id").alias(name))
+    missing = F.raise_error(F.concat(F.lit("listed object without id at "), F.col(ITEM_POS).cast("string")))
+    return items.select(*context, ITEM_POS, F.coalesce(F.col("_item.id"), missing).alias(name))
 
 
 def listed_accounts(pages: DataFrame) -> DataFrame:

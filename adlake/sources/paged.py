@@ -48,7 +48,8 @@ def request(fetch: Fetch, params: dict, policy: RetryPolicy) -> str:
         if status != 429 and status < 500:
             break
         if attempt < policy.attempts:
-            hint = headers.get("Retry-After") if status == 429 else None
+            named = {name.lower(): value for name, value in headers.items()}  # names have no case
+            hint = named.get("retry-after") if status == 429 else None
             policy.sleep(wait if hint is None else float(hint))
             wait *= 2
     raise RequestFailed(f"status {status} after {attempt} attempt(s): {body[:200]}")

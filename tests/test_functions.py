@@ -60,7 +60,7 @@ RUN = dt.date(2024, 3, 15)
     ("7", "2024-01-01", "2024-01-31", ("2024-01-01", "2024-01-31")),
 ])
 def test_windows(spark, lookback, start, end, want):
-    assert dates.date_window(RUN, lookback, start, end) == want
+    assert dates.window_of(spark, RUN, lookback, start, end) == want
     text = lambda v: F.lit(v).cast("string")
     first, last = dates.window_columns(F.lit(RUN), text(lookback), text(start), text(end))
     row = spark.range(1).select(first.cast("string"), last.cast("string")).first()
@@ -69,5 +69,5 @@ def test_windows(spark, lookback, start, end, want):
 
 def test_inverted_window_is_empty(spark):
     days = spark.createDataFrame([(RUN,), (dt.date(2024, 3, 14),)], "d date")
-    window = dates.date_window(RUN, "0")
+    window = dates.window_of(spark, RUN, "0")
     assert days.filter(dates.in_window(F.col("d"), *window)).count() == 0

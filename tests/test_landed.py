@@ -79,3 +79,26 @@ def test_response_files_keep_ids_as_text(spark, tmp_path):
     rows = landed.listed_ids(files).collect()
     assert [(r["ad_account_id"], r["page_no"], r["item_pos"], r["id"]) for r in rows] == [
         ("007", 0, 0, "1"), ("007", 0, 1, "2")]
+
+
+@pytest.mark.parametrize("bad", [
+    '{"items":[{"id":"1"}]}{"items":[{"id":"2"}]}', '{"items":[{"id":"1"}]} x', '{"items":[{"id":"1"}]}]', "[1]", "<html>", ""])
+def test_text_after_a_listing_is_unreadable(spark, bad):
+    rows = spark.createDataFrame([("a", 0, '{"items":[{"id":"1"}]}'), ("b", 0, bad)], "account string, page_no int, body string")
+    good, rest = landed.split_unreadable(rows, "listing")
+    assert [r["account"] for r in good.collect()] == ["a"] and [r["account"] for r in rest.collect()] == ["b"]
+    with pytest.raises(Exception, match="unreadable response"):
+        landed.listed_ids(rows).collect()
+
+
+@pytest.mark.parametrize("bad", ['[{"DATE":"x"}][{"DATE":"y"}]', '[{"DATE":"x"}] ]', '[{"DATE":"x"}], 1'])
+def test_text_after_a_report_is_unreadable(spark, bad):
+    rows = spark.createDataFrame([('[{"DATE":"x"}]',), (' [ ] ',), (bad,)], "body string")
+    good, rest = landed.split_unreadable(rows, "report")
+    assert good.count() == 2 and rest.count() == 1
+
+
+def test_an_object_without_id_aborts(spark):
+    rows = spark.createDataFrame([("a", '{"items":[{"id":"1"},{"name":"x"},{"id":"3"}]}')], "account string, body string")
+    with pytest.raises(Exception, match="without id"):
+        landed.listed_ids(rows).collect()

@@ -89,3 +89,10 @@ def test_a_failing_request_fails_the_job(spark):
     accounts = spark.createDataFrame([("1",)], "ad_account_id string")
     with pytest.raises(PySparkException, match="status 401"):
         fetch_pages(accounts, refuse).collect()
+
+
+def test_the_wait_header_has_no_case():
+    waits = []
+    fetch = Script((429, {"retry-after": "7"}, ""), (429, {"RETRY-AFTER": "9"}, ""), OK)
+    assert request(fetch, {}, RetryPolicy(sleep=waits.append)) == "body"
+    assert waits == [7.0, 9.0]

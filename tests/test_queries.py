@@ -1,8 +1,4 @@
-"""Every registered query against its SQL, at the smallest scale.
-
-Queries that write the whole history as day partitions take long on a local file system;
-they run with ADLAKE_ALL=1.
-"""
+"""Every query of the library against its SQL, at the smallest scale."""
 
 import os
 
@@ -12,9 +8,7 @@ import __spark_entry__ as entry
 import compare
 
 SF = os.environ.get("ADLAKE_SF_DIR", "/root/testdata/sf0.001")
-WHOLE_HISTORY = {"merge_upsert", "merge_upsert_catalog", "lookback_window", "empty_pull", "stream_upsert",
-                 "stream_late_rows"}
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = entry.QUERIES, entry.ORACLE
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
@@ -25,6 +19,4 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
-    if name in WHOLE_HISTORY and not os.environ.get("ADLAKE_ALL"):
-        pytest.skip("writes the whole history")
     assert compare.difference(QUERIES[name](spark, SF), compare.duck(SF), ORACLE[name]) == ""

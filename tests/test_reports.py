@@ -41,8 +41,28 @@ def test_rollup_recomputes_ratios(fact):
 def test_reconcile(spark, fact):
     parts = spark.createDataFrame([("x", "a", D, 4.0, 60, 1, 0), ("x", "a", D, 6.0, 30, 1, 0)], FACT)
     rows = reports.reconcile(fact, parts, ["ad_account_id", "ad_id", "stat_date"], ["spend", "impressions"])
-    got = {r["ad_id"]: (r["spend_rest"], r["impressions_rest"]) for r in rows.collect()}
-    assert got == {"a": (0.1, 10), "b": (None, None), "c": (None, None)}
+    got = {r["ad_id"]: (r["spend_rest"], r["impressions_rest"], r["side"]) for r in rows.collect()}
+    whole = {r["ad_id"]: (r["spend"] or 0.0, r["impressions"] or 0, "whole") for r in fact.collect()}
+    assert got == {"a": (0.1, 10, "both"), "b": whole["b"], "c": whole["c"]}
+
+
+def test_reconcile_keeps_both_sides(spark):
+    whole = spark.createDataFrame([("a", 10), ("b", 5), (None, 2)], "k string, clicks int")
+    parts = spark.createDataFrame([("a", 4), ("c", 7), (None, 2)], "k string, clicks int")
+    rows = reports.reconcile(whole, parts, ["k"], ["clicks"]).collect()
+    assert {(r["k"], r["clicks"], r["clicks_parts"], r["clicks_rest"], r["side"]) for r in rows} == {
+        ("a", 10, 4, 6, "both"), ("b", 5, 0, 5, "whole"), ("c", 0, 7, -7, "parts"), (None, 2, 2, 0, "both")}
+
+
+def test_money_of_any_size(spark):
+    rows = spark.createDataFrame([("a", 1e-7)] * 10 + [("b", 2e12)], "k string, spend double")
+    assert {tuple(r) for r in reports.totals(rows, ["k"], ["spend"]).collect()} == {("a", 1e-6), ("b", 2e12)}
+
+
+def test_run_counts_without_expand(spark, fact):
+    rows = reports.run_counts(fact, "ad_id")
+    assert "Expand" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert sum(r["n_rows"] for r in rows.collect()) == fact.count()
 
 
 def test_names(spark):
@@ -60,7 +80,10 @@ def test_crosswalk(spark):
     problems = reports.crosswalk_problems(left, walk, "dma_code").collect()
     assert {tuple(r) for r in problems} == {("9", "unmapped"), ("2", "ambiguous")}
     rows = reports.by_common_market(left, right, walk, ["clicks"]).collect()
-    assert {tuple(r) for r in rows} == {("m", 5, 3), ("n", 7, 4)}
+    assert {tuple(r) for r in rows} == {("m", 5, 3), ("n", 7, 4), ("unmapped", 1, None)}
+    twice = walk.unionByName(spark.createDataFrame([("1", "A", "other")], walk.schema))
+    with pytest.raises(Exception, match="two markets"):
+        reports.by_common_market(left, right, twice, ["clicks"]).collect()
 
 
 def test_duplicates_and_latest(spark):

@@ -51,3 +51,13 @@ def test_stream_of_revisions(spark, tmp_path):
         frame = spark.createDataFrame([("acct", "2024-01-06", 1, text)], LANDED_SCHEMA)
         upsert(fact_rows(frame, specs.AD_FACT, TS), batch, specs.AD_FACT)
     assert content(spark, batch) == content(spark, target)
+
+
+def test_an_earlier_pull_that_comes_late_changes_nothing(spark, tmp_path):
+    landing, target = str(tmp_path / "landing"), Target(path=str(tmp_path / "table"))
+    for number, spend in ((2, 200.0), (1, 100.0), (3, 300.0), (2, 250.0)):
+        land(spark, landing, (number, body(("a", "2024-01-10", spend))))
+        stream_revisions(spark, landing, target, specs.AD_FACT, checkpoint=str(tmp_path / "check"),
+                         run_date=RUN, run_ts=TS).awaitTermination()
+        want = {2: 200.0, 1: 200.0, 3: 300.0}[number] if spend != 250.0 else 300.0
+        assert content(spark, target) == [("a", "2024-01-10", want)]

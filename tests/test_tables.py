@@ -129,13 +129,6 @@ def test_staging_is_removed_after_success(spark, target):
         discard(spark, "/tmp/elsewhere")
 
 
-def test_many_days_go_by_join(spark, target, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_DAY_LITERALS", 1)
-    tables.upsert(facts(spark, OLD), target, SPEC)
-    tables.upsert(facts(spark, NEW), target, SPEC)
-    assert content(target, spark) == MERGED
-
-
 def test_overwrite_mode_is_restored(spark):
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)

@@ -269,17 +269,23 @@ from ads_base group by ad_account_id, ad_id, campaign_id, stat_date, campaign_na
   select ad_account_id, ad_id, stat_date, cast(sum(impressions) as bigint) as impressions_parts,
     cast(sum(cast(spend as decimal(18,2))) as double) as spend_parts
   from market_perf group by ad_account_id, ad_id, stat_date)
-select a.ad_account_id, a.ad_id, a.stat_date, a.impressions, a.spend, p.impressions_parts, p.spend_parts,
-  a.impressions - p.impressions_parts as impressions_rest,
-  cast(cast(a.spend as decimal(18,2)) - cast(p.spend_parts as decimal(18,2)) as double) as spend_rest
-from ad_perf a left join parts p
+select coalesce(a.ad_account_id, p.ad_account_id) as ad_account_id, coalesce(a.ad_id, p.ad_id) as ad_id,
+  coalesce(a.stat_date, p.stat_date) as stat_date,
+  case when a.ad_id is null then 0 else a.impressions end as impressions,
+  case when a.ad_id is null then 0 else a.spend end as spend,
+  case when p.ad_id is null then 0 else p.impressions_parts end as impressions_parts,
+  case when p.ad_id is null then 0 else p.spend_parts end as spend_parts,
+  case when a.ad_id is null then 'parts' when p.ad_id is null then 'whole' else 'both' end as side,
+  coalesce(a.impressions, 0) - coalesce(p.impressions_parts, 0) as impressions_rest,
+  cast(cast(coalesce(a.spend, 0) as decimal(18,2)) - cast(coalesce(p.spend_parts, 0) as decimal(18,2)) as double) as spend_rest
+from ad_perf a full join parts p
   on a.ad_account_id = p.ad_account_id and a.ad_id = p.ad_id and a.stat_date = p.stat_date""",
     "level_reconcile": f"""{_WITH}, {_AD_PERF}, {_CAMPAIGN_PERF}, parts as (
   select ad_account_id, campaign_id, stat_date, cast(sum(clicks) as bigint) as clicks_parts,
     cast(sum(conversions) as bigint) as conversions_parts,
     cast(sum(cast(spend as decimal(18,2))) as double) as spend_parts
   from ad_perf group by ad_account_id, campaign_id, stat_date)
-select c.ad_account_id, c.campaign_id, c.stat_date, c.clicks, c.conversions, c.spend,
+select c.ad_account_id, c.campaign_id, c.stat_date, c.clicks, c.conversions, c.spend, 'both' as side,
   clicks_parts, conversions_parts, spend_parts, clicks - clicks_parts as clicks_rest,
   conversions - conversions_parts as conversions_rest,
   cast(cast(spend as decimal(18,2)) - cast(spend_parts as decimal(18,2)) as double) as spend_rest
@@ -303,11 +309,11 @@ from ads_base group by campaign_id""",
     "market_crosswalk": f"""{_WITH}, walk as (
   select n_nationkey, 'region ' || cast(n_regionkey as varchar) as market from nation
   where n_name <> 'CHINA' and n_nationkey <> 4),
-d as (select market, cast(sum(amt) as double) as dma_spend, cast(count(*) as bigint) as dma_clicks
-  from ads_base join walk on dma_code = cast(n_nationkey as varchar) group by market),
-o as (select market, cast(sum(cast(o_totalprice as decimal(18,6))) as double) as other_spend,
+d as (select coalesce(market, 'unmapped') as market, cast(sum(amt) as double) as dma_spend, cast(count(*) as bigint) as dma_clicks
+  from ads_base left join walk on dma_code = cast(n_nationkey as varchar) group by 1),
+o as (select coalesce(market, 'unmapped') as market, cast(sum(cast(o_totalprice as decimal(18,6))) as double) as other_spend,
     cast(count(*) as bigint) as other_clicks
-  from orders join customer on o_custkey = c_custkey join walk on c_nationkey = n_nationkey group by market)
+  from orders join customer on o_custkey = c_custkey left join walk on c_nationkey = n_nationkey group by 1)
 select coalesce(d.market, o.market) as market, dma_spend, dma_clicks, other_spend, other_clicks
 from d full join o on d.market = o.market""",
     "crosswalk_problems": f"""{_WITH}

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from adlake import specs
 from adlake.functions import lists, values
-from adlake.functions.dates import date_window, in_window, window_columns
+from adlake.functions.dates import in_window, window_columns, window_of
 from adlake.operators import batching, checks, flatten, reports, tables
 from adlake.operators.accounts import resolve_accounts
 from adlake.operators.tables import Target
@@ -205,7 +205,7 @@ def report_requests(spark, sf):
     """The complete work list of a market breakdown run."""
     spec = specs.AD_MARKET_FACT
     batches = batching.request_batches(_ad_ids(spark, sf), "ad_id", spec.batch_size)
-    return batching.report_requests(batches, spec, *date_window(WINDOW_RUN))
+    return batching.report_requests(batches, spec, *window_of(spark, WINDOW_RUN))
 
 
 def accounts_with_entities(spark, sf):
@@ -283,7 +283,7 @@ def _ship(spark: SparkSession) -> None:
 def _revision(rows: DataFrame) -> DataFrame:
     """The 14-day window pulled again: revised spend, leads not delivered, ads ending in -7
     not returned."""
-    window = in_window(F.col("stat_date"), *date_window(WINDOW_RUN))
+    window = in_window(F.col("stat_date"), *window_of(rows.sparkSession, WINDOW_RUN))
     kept = rows.filter(window & ~F.col("ad_id").endswith("-7"))
     return kept.withColumn("spend", F.col("spend") + 1000).withColumn(
         "leads", F.lit(None).cast("bigint"))
@@ -326,7 +326,7 @@ def _history(application: str, sf: str) -> Target:
 def lookback_window(spark, sf):
     """The default window of a run, read from the day-partitioned table."""
     rows = _history(spark.sparkContext.applicationId, sf).read(spark, specs.AD_FACT)
-    window = in_window(F.col("stat_date"), *date_window(WINDOW_RUN))
+    window = in_window(F.col("stat_date"), *window_of(spark, WINDOW_RUN))
     return rows.filter(window).select("ad_account_id", "ad_id", "stat_date", "spend")
 
 
@@ -539,7 +539,7 @@ def _stream(spark, sf, lookback: str):
     landing, check = run_dir(spark, "landing"), run_dir(spark, "stream-checkpoint")
     target = Target(path=run_dir(spark, "campaign-performance"))
     first = R.campaign_report(spark, sf).withColumn(PULL, F.lit(1).cast("bigint"))
-    revised = campaign_facts(spark, sf).filter(in_window(F.col("stat_date"), *date_window(WINDOW_RUN)))
+    revised = campaign_facts(spark, sf).filter(in_window(F.col("stat_date"), *window_of(spark, WINDOW_RUN)))
     record = F.struct(
         F.col("stat_date").cast("string").alias("DATE"), F.col("campaign_id").alias("CAMPAIGN_ID"),
         (F.col("spend") + 1000).alias("SPEND_IN_DOLLAR"))
