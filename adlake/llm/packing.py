@@ -36,7 +36,7 @@ from adlake.llm.common import written
 WINDOW = 4096
 END = 2
 MAX_QUEUES = 1024
-KEPT_WORDS = 300_000  # word encodings that a worker remembers; only for speed
+KEPT_WORDS = 250_000  # word encodings that a worker remembers; only for speed
 LONG_WORD = 64  # not remembered
 BATCH_TOKENS = 1 << 20  # of rows that are cut at once
 ROUNDS = 4096  # looked at together

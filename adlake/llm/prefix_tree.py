@@ -41,7 +41,7 @@ THRESHOLD = (4, 5)
 KEPT = (1, 5)  # part of a set that a pair has in common in its leading parts
 COUNT_BITS = 20  # of the table of counts that finds the often shared values
 GROUP_VALUES = 1 << 16  # values of a group that one task takes whole
-SENT_VALUES = 1 << 21  # of leading parts that leave a task together
+SENT_VALUES = 1 << 20  # of leading parts that leave a task together
 _U = np.uint64
 
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20  # texts handled at a time; a longer text is one chunk
+CHUNK_BYTES = 1 << 18  # texts handled at a time; a longer text is one chunk
 BLOCK_BYTES = 1 << 20  # bytes hashed at a time, cut between words
 _BASE = 0x9E3779B97F4A7C15
 _U = np.uint64
