@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import held_out, summed, written
+from adlake.llm.common import held_out, in_batches, summed, written
 from adlake.llm.words import Words, chunks, mix, split_words
 
 FOLDS, OUT = 7, 2
@@ -90,7 +90,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         if held:
             yield flush()
 
-    found = docs.select("text").mapInArrow(count, "word long, affix int, c long")
+    found = in_batches(docs.select("text")).mapInArrow(count, "word long, affix int, c long")
     return found.groupBy("word").agg(F.first("affix").alias("affix"), F.sum("c").alias("c"))
 
 
@@ -284,7 +284,7 @@ class ClassModel:
 
         kind = ("doc_id long, held_out boolean, row long, n_tokens long, known long, seen double, fit double, "
                 "words array<long>, times array<int>")
-        local = written(rows.mapInArrow(score, kind), "scores")
+        local = written(in_batches(rows).mapInArrow(score, kind), "scores")
         asked = local.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
             "row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
         answered = (asked.join(self.tail, "word").groupBy("row")

@@ -23,6 +23,24 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 4 << 20  # of rows that an executor hands to a Python worker together
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+_SPARKS_BATCH = "67108864b"
+
+
+def in_batches(df: DataFrame) -> DataFrame:
+    """The frame, whose rows ``mapInArrow`` gets in batches of about BATCH_BYTES.
+
+    Spark's batches of 64 MB are held in the executor, on the way, and in the worker at once.
+    The bound is a setting of the session; one that a session has chosen itself stays. A
+    larger row is a batch of its own.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH, _SPARKS_BATCH) == _SPARKS_BATCH:
+        conf.set(_BATCH, str(BATCH_BYTES))
+    return df
+
+
 BROADCAST_IDS = 1 << 20  # rows of one whole number, some 16 MB
 
 
@@ -76,7 +94,7 @@ def sum_pieces(df: DataFrame, dtype: str = "int64") -> np.ndarray:
                 "place": pa.array([place], pa.int64()), "length": pa.array([length], pa.int64()),
                 "piece": pa.array([total.tobytes()], pa.binary())})
 
-    rows = df.select("place", "length", "piece").repartition("place").mapInArrow(per_place, PIECE).collect()
+    rows = in_batches(df.select("place", "length", "piece").repartition("place")).mapInArrow(per_place, PIECE).collect()
     if not rows:
         return np.empty(0, dtype)
     out = np.zeros(rows[0]["length"], dtype)
@@ -92,7 +110,7 @@ def summed(df: DataFrame, add: Callable[[Iterator[pa.RecordBatch]], np.ndarray],
         for piece in pieces(add(batches)):
             yield pa.RecordBatch.from_pydict(piece)
 
-    return sum_pieces(few_tasks(df).mapInArrow(per_task, PIECE), dtype)
+    return sum_pieces(in_batches(few_tasks(df)).mapInArrow(per_task, PIECE), dtype)
 
 
 def components(edges: DataFrame, label: str) -> DataFrame:

@@ -30,6 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlake.llm.common import in_batches
 from adlake.llm.words import Words, chunks, shingles, split_words, text_buffers
 
 WIDTH = 5
@@ -194,7 +195,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, threshold: tuple[int,
                         pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64()), strict=True)],
                     names=["doc_id", "item_id", "start_word", "n_words", "hamming", "similarity"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(search, MATCHES)
+    return in_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(search, MATCHES)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -216,4 +217,4 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield batch.slice(first, rows.num_rows).filter(pa.array(good, pa.bool_()))
                 first += rows.num_rows
 
-    return docs.mapInArrow(keep, schema)
+    return in_batches(docs).mapInArrow(keep, schema)

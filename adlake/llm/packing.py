@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from adlake.llm.common import written
+from adlake.llm.common import in_batches, written
 
 WINDOW = 4096
 END = 2
@@ -142,7 +142,7 @@ def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
                        F.col("text"), F.spark_partition_id().cast("long").alias("part"))
-    return rows.mapInArrow(encode, "doc_id long, source string, part long, at long, n long, ids binary")
+    return in_batches(rows).mapInArrow(encode, "doc_id long, source string, part long, at long, n long, ids binary")
 
 
 class Grants:
@@ -258,5 +258,5 @@ def pack(docs: DataFrame, *, tokenizer: str | None = None, window: int = WINDOW,
 
     here = placed.select(F.col("source").alias("of"), F.col("part").alias("in_part"), "queue", "before")
     at = rows.join(here, rows.source.eqNullSafe(here.of) & (rows.part == here.in_part))
-    return at.select("doc_id", "source", "queue", (F.col("before") + F.col("at")).alias("first"), "n", "ids") \
-        .mapInArrow(pieces, PIECES)
+    at = at.select("doc_id", "source", "queue", (F.col("before") + F.col("at")).alias("first"), "n", "ids")
+    return in_batches(at).mapInArrow(pieces, PIECES)

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from adlake.llm.common import in_batches
 from adlake.llm.words import chunks
 
 KINDS = ("email", "ip", "card", "phone")
@@ -364,7 +365,7 @@ def found(docs: DataFrame) -> DataFrame:
                 "base": pa.array(base, pa.string()), "spans": pa.array(spans, pa.string())})
 
     schema = "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base string, spans string"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(search, schema)
+    return in_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).mapInArrow(search, schema)
 
 
 def mask(text: str, spans: list[tuple[str, int, int]]) -> str:
@@ -409,4 +410,4 @@ def redacted(docs: DataFrame) -> DataFrame:
                     part = pa.RecordBatch.from_arrays(columns, schema=part.schema)
                 yield part
 
-    return docs.mapInArrow(change, docs.schema)
+    return in_batches(docs).mapInArrow(change, docs.schema)

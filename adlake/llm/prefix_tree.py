@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from adlake.llm.common import by_ids, components, few_tasks, pieces, sum_pieces, written
+from adlake.llm.common import by_ids, components, few_tasks, in_batches, pieces, sum_pieces, written
 from adlake.llm.words import chunks, distinct, mix, shingles, split_words
 
 WIDTH = 5
@@ -81,7 +81,7 @@ def _described(docs: DataFrame, width: int) -> DataFrame:
         for p in pieces(total):
             yield batch(**p)
 
-    return few_tasks(docs).mapInArrow(describe, "id long, n long, mark binary, place long, length long, piece binary")
+    return in_batches(few_tasks(docs)).mapInArrow(describe, "id long, n long, mark binary, place long, length long, piece binary")
 
 
 def _often(counts: np.ndarray) -> np.ndarray:
@@ -141,7 +141,7 @@ def _lead(docs: DataFrame, counts: np.ndarray, width: int, num: int, den: int, s
         if held:
             yield from flush()
 
-    return docs.mapInArrow(lead, "slice int, values binary, ids binary, sizes binary, often binary")
+    return in_batches(docs).mapInArrow(lead, "slice int, values binary, ids binary, sizes binary, often binary")
 
 
 _SHARED = "id long, n int, value long, often long"
@@ -182,7 +182,7 @@ def _shared_values(lead: DataFrame) -> DataFrame:
         if held:
             yield found()
 
-    return lead.repartition("slice").sortWithinPartitions("slice").mapInArrow(meet, _SHARED)
+    return in_batches(lead.repartition("slice").sortWithinPartitions("slice")).mapInArrow(meet, _SHARED)
 
 
 def _edges(shared: DataFrame, num: int, den: int) -> DataFrame:
@@ -386,7 +386,7 @@ def _links(members: DataFrame, docs: DataFrame, width: int, num: int, den: int)
                 names=["id", "grp", "parts", "held"])
 
     kind = "array<struct<p:int,q:int,r:int,s:int,side:int>>"
-    spread = (texts.mapInArrow(to_sets, f"id long, grp long, parts {kind}, held binary")
+    spread = (in_batches(texts).mapInArrow(to_sets, f"id long, grp long, parts {kind}, held binary")
               .select("id", "grp", F.explode("parts").alias("part"), "held")
               .select("id", "grp", "part.*", "held"))
     key = ["grp", "p", "q", "r", "s"]
@@ -422,7 +422,7 @@ def _links(members: DataFrame, docs: DataFrame, width: int, num: int, den: int)
                 held.append(raw)
         yield from links()
 
-    return dealt.mapInArrow(join, "a long, b long")
+    return in_batches(dealt).mapInArrow(join, "a long, b long")
 
 
 def near_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = WIDTH,

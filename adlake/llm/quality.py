@@ -29,14 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import held_out, summed
-from adlake.llm.words import _SPACE, _VALUE, _hash_block, chunks
+from adlake.llm.common import held_out, in_batches, summed
+from adlake.llm.words import _SPACE, _VALUE, chunks, hash_runs
 
 BUCKET_BITS, DIMS, REACH = 15, 32, 2
 INPUTS = 2 * DIMS + 2
 TRAIN_ROWS = 20_000
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 3e-3, 1e-4
 FOLDS = 5
+BLOCK_TOKENS = 1 << 18  # handled at a time, within a long text too
 ACCEPT = 0.3
 _KIND = np.where(_SPACE, 0, 2).astype(np.int8)
 _KIND[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
@@ -52,7 +53,7 @@ def tokens(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inside = kind[1:n + 1] > 0
     starts = np.flatnonzero(inside & (cut[:n] | (kind[1:n + 1] != kind[:n])))
     ends = np.flatnonzero(inside & (cut[1:] | (kind[1:n + 1] != kind[2:]))) + 1
-    hashes = _hash_block(data, starts, ends, _VALUE)
+    hashes = hash_runs(data, starts, ends, _VALUE)
     return (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), np.searchsorted(starts, at)
 
 
@@ -72,18 +73,23 @@ def context_sums(docs: DataFrame) -> np.ndarray:
             n = len(bucket)
             if not n:
                 continue
-            text = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
-            near = np.zeros((n, DIMS + 1), dtype=np.int16)
-            near[:, DIMS] = 1
-            own = fixed[bucket]
-            for k in range(1, REACH + 1):
-                if n > k:
-                    same = (text[k:] == text[:-k])[:, None]
-                    near[k:, :DIMS] += own[:-k] * same
-                    near[:-k, :DIMS] += own[k:] * same
-            order = np.argsort(bucket, kind="stable")
-            first = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-            total[bucket[order[first]]] += np.add.reduceat(near[order], first, axis=0, dtype=np.int64)
+            of_text = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
+            for a in range(0, n, BLOCK_TOKENS):
+                b = min(a + BLOCK_TOKENS, n)
+                low, high = max(a - REACH, 0), min(b + REACH, n)  # a block and its surroundings
+                part, text = bucket[low:high], of_text[low:high]
+                near = np.zeros((high - low, DIMS + 1), dtype=np.int16)
+                near[:, DIMS] = 1
+                own = fixed[part]
+                for k in range(1, REACH + 1):
+                    if len(part) > k:
+                        same = (text[k:] == text[:-k])[:, None]
+                        near[k:, :DIMS] += own[:-k] * same
+                        near[:-k, :DIMS] += own[k:] * same
+                part, near = part[a - low:b - low], near[a - low:b - low]
+                order = np.argsort(part, kind="stable")
+                first = np.flatnonzero(np.diff(part[order], prepend=-1))
+                total[part[order[first]]] += np.add.reduceat(near[order], first, axis=0, dtype=np.int64)
         return total.ravel()
 
     found = summed(docs.select("text"), add, "int64")
@@ -105,19 +111,23 @@ def features(vectors: np.ndarray, data: np.ndarray, at: np.ndarray) -> np.ndarra
     count = np.diff(ptr)
     out = np.zeros((len(count), INPUTS), dtype=np.float64)
     some = np.flatnonzero(count)
-    if len(some):
-        held = vectors[bucket]
-        first = ptr[:-1][some]
-        n = count[some][:, None]
-        mean = np.add.reduceat(held, first, axis=0, dtype=np.float64) / n
-        square = np.add.reduceat(held * held, first, axis=0, dtype=np.float64) / n
-        out[some, :DIMS] = mean
-        out[some, DIMS:2 * DIMS] = np.sqrt(np.maximum(square - mean ** 2, 0))
-        out[some, 2 * DIMS] = np.log1p(n[:, 0])
-        like = np.zeros(len(bucket) + 1)
-        np.cumsum((held[:-1] * held[1:]).sum(axis=1), out=like[1:-1])
-        last = ptr[1:][some] - 1
-        out[some, 2 * DIMS + 1] = (like[last] - like[first]) / np.maximum(last - first, 1)
+    for a in range(0, len(bucket), BLOCK_TOKENS):
+        b = min(a + BLOCK_TOKENS, len(bucket))
+        held = vectors[bucket[a:b + 1]]  # and the token after the block, as a neighbour
+        own = held[:b - a]
+        texts = some[(ptr[some] < b) & (ptr[some + 1] > a)]
+        first, last = np.maximum(ptr[texts], a) - a, np.minimum(ptr[texts + 1] - 1, b) - a
+        out[texts, :DIMS] += np.add.reduceat(own, first, axis=0, dtype=np.float64)
+        out[texts, DIMS:2 * DIMS] += np.add.reduceat(own * own, first, axis=0, dtype=np.float64)
+        like = np.zeros(len(held))
+        np.cumsum((held[:-1] * held[1:]).sum(axis=1), out=like[1:])
+        out[texts, 2 * DIMS + 1] += like[last] - like[first]
+    n = count[some][:, None]
+    mean, square = out[some, :DIMS] / n, out[some, DIMS:2 * DIMS] / n
+    out[some, :DIMS] = mean
+    out[some, DIMS:2 * DIMS] = np.sqrt(np.maximum(square - mean ** 2, 0))
+    out[some, 2 * DIMS] = np.log1p(n[:, 0])
+    out[some, 2 * DIMS + 1] /= np.maximum(n[:, 0] - 1, 1)
     return out
 
 
@@ -192,7 +202,7 @@ class QualityModel:
                 yield pa.RecordBatch.from_pydict({
                     "id": part.column("id"), "y": part.column("y"), "x": pa.array([r.tobytes() for r in x], pa.binary())})
 
-        found = rows.mapInArrow(describe, "id long, y int, x binary").collect()
+        found = in_batches(rows).mapInArrow(describe, "id long, y int, x binary").collect()
         found.sort(key=lambda r: (r["id"], r["x"]))
         x = np.array([np.frombuffer(r["x"], np.float32) for r in found], dtype=float).reshape(-1, INPUTS)
         self.network = context.broadcast(Network(x, np.array([r["y"] for r in found], dtype=float)))
@@ -209,7 +219,7 @@ class QualityModel:
 
         out = F.coalesce(held_out("doc_id", FOLDS) == 0, F.lit(True)).alias("held_out")
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select("doc_id", out, "text")
-        return rows.mapInArrow(score, "doc_id long, held_out boolean, score double")
+        return in_batches(rows).mapInArrow(score, "doc_id long, held_out boolean, score double")
 
     def accepted(self, docs: DataFrame, accept: float = ACCEPT) -> DataFrame:
         """The rows of docs that score ``accept`` at least, with all their columns."""
@@ -224,7 +234,7 @@ class QualityModel:
                     yield batch.slice(first, part.num_rows).filter(pa.array(good))
                     first += part.num_rows
 
-        return docs.mapInArrow(keep, docs.schema)
+        return in_batches(docs).mapInArrow(keep, docs.schema)
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -70,6 +70,16 @@ def _hash_block(data, starts, ends, value) -> np.ndarray:
     return mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
 
 
+def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Hashes of the runs data[starts:ends], BLOCK_BYTES at a time."""
+    n = len(data)
+    if n <= BLOCK_BYTES:
+        return _hash_block(data, starts, ends, value)
+    at = np.unique(np.searchsorted(starts, np.arange(0, n + BLOCK_BYTES, BLOCK_BYTES)))
+    parts = [_hash_block(data, starts[a:b], ends[a:b], value) for a, b in zip(at[:-1], at[1:], strict=True)]
+    return np.concatenate(parts) if parts else np.empty(0, dtype=np.uint64)
+
+
 def split_words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words:
     """Words of the texts data[offsets[i]:offsets[i+1]] (UTF-8 bytes)."""
     n = len(data)
@@ -81,13 +91,7 @@ def split_words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Wo
     last = inside[:n] & (cut[1:] | ~inside[1:])
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     value = _VALUE_LOWER if lower else _VALUE
-    if n <= BLOCK_BYTES:
-        hashes = _hash_block(data, starts, ends, value)
-    else:
-        at = np.unique(np.searchsorted(starts, np.arange(0, n + BLOCK_BYTES, BLOCK_BYTES)))
-        parts = [_hash_block(data, starts[a:b], ends[a:b], value) for a, b in zip(at[:-1], at[1:], strict=True)]
-        hashes = np.concatenate(parts) if parts else np.empty(0, dtype=np.uint64)
-    return Words(np.searchsorted(starts, offsets), hashes, starts, ends, data)
+    return Words(np.searchsorted(starts, offsets), hash_runs(data, starts, ends, value), starts, ends, data)
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
