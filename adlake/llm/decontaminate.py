@@ -2,8 +2,8 @@
 
 Method
   * Words are lower-cased (sharp s as ss) and bare of ASCII punctuation; an item is its run
-    of words, and a window is a run of as many words of a document. Both are weighted sets: five-word
-    shingles with their counts.
+    of words, and a window is a run of as many words of a document, or all of a document that
+    has fewer. Both are weighted sets: five-word shingles with their counts.
   * A window that holds no shingle of an item of its length has no likeness to any, so only
     windows around such shingles get a 64-bit SimHash, from running sums over the document.
   * Items are indexed in BLOCKS blocks of their fingerprint, each under every value within
@@ -16,8 +16,8 @@ Of the windows that match an item, the best (earliest on ties) stands for each r
 overlapping ones.
 
 Defined cases: null or wordless texts and items match nothing. An item of fewer than five
-words is one shingle. Repeated rows and items match each on their own. Other columns are
-not read. The items go to every task and are bounded: beyond MAX_ITEM_BYTES the call fails.
+words is one shingle and matches only a text of just these words. Repeated rows and items match
+each on their own. Other columns are not read. The items go to every task and are bounded: beyond MAX_ITEM_BYTES the call fails.
 """
 
 from __future__ import annotations
@@ -131,8 +131,9 @@ class ItemIndex:
                 hits.setdefault(length, []).append(p)
         out = []
         for length, places in sorted(hits.items()):
-            span = max(1, length - self.width + 1)  # shingles of a window
-            if length > n_words or (length < self.width and n_words != length):
+            size = min(length, n_words)  # a shorter text is one window
+            span = max(1, size - self.width + 1)  # shingles of a window
+            if (length < self.width and n_words != length) or den * span < num * (length - self.width + 1):
                 continue
             first = np.unique((np.array(places)[:, None] - np.arange(span)[None, :]).ravel())
             first = first[(first >= 0) & (first + span <= len(values))]
@@ -150,12 +151,12 @@ class ItemIndex:
             for item, found in best.items():
                 kept: list[tuple[int, int, float]] = []
                 for one in sorted(found):
-                    if kept and one[0] < kept[-1][0] + length:
+                    if kept and one[0] < kept[-1][0] + size:
                         if one[2] > kept[-1][2]:
                             kept[-1] = one
                     else:
                         kept.append(one)
-                out += [(int(self.ids[item]), begin, length, apart, like) for begin, apart, like in kept]
+                out += [(int(self.ids[item]), begin, size, apart, like) for begin, apart, like in kept]
         return out
 
 

@@ -99,6 +99,16 @@ def test_decontamination(spark, documents):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in rows} - {r["doc_id"] for r in found}
 
 
+def test_decontamination_of_texts_shorter_than_the_item(spark, documents):
+    words = [f"w{k}" for k in range(59)]
+    bench = spark.createDataFrame([(0, " ".join(words)), (1, "b1 b2 b3 b4 b5 b6 b7 b8 b9")], "item_id long, text string")
+    rows = [(1, words[:-1]), (2, words[1:]), (3, words[:48]), (4, words[:47]), (5, words), (6, words[20:24]), (7, [f"b{k}" for k in range(1, 8)])]
+    found = decontaminate.contaminated(documents([(i, " ".join(w)) for i, w in rows]), bench).collect()
+    assert {(r["doc_id"], r["item_id"], r["start_word"], r["n_words"], r["similarity"]) for r in found} == {
+        (1, 0, 0, 58, 54 / 55), (2, 0, 0, 58, 54 / 55), (3, 0, 0, 48, 44 / 55), (5, 0, 0, 59, 1.0)}
+    assert {r["doc_id"] for r in decontaminate.clean(documents([(i, " ".join(w)) for i, w in rows]), bench).collect()} == {4, 6, 7}
+
+
 def test_decontamination_odd_rows(spark, odd, empty):
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert decontaminate.clean(odd, bench).count() == 10 and decontaminate.contaminated(odd, bench).count() == 0
