@@ -3,15 +3,20 @@
 Method
   * Tokens are the lower-cased words of a text and one end. Counts of all words come from all
     training rows and stay distributed.
-  * The UNITS most frequent words are units of their own; every other word falls to one of
-    AFFIXES units by its last bytes, so that rare and unknown words have a class as well.
-  * Bigrams of units are counted over all training rows. Exchange clustering moves units
-    between classes for as long as the likelihood of the class bigrams grows.
+  * Bigrams of words are counted over all training rows and stay distributed. Every training
+    word has a class of its own choice; words not met in training fall to one of AFFIXES
+    units by their last bytes, and take that unit's class.
+  * A start: the UNITS most frequent words and the affixes are exchanged on the driver, and
+    every word takes its unit's class.
+  * Exchange clustering in rounds: how often each word stands before and after each class is
+    summed by joins and grouping, and each word moves to its best class given the table of
+    class bigrams. A round that loses likelihood is taken back and half as many words move.
+    Rounds end when one gains less than MIN_GAIN a token, in natural logarithms.
   * log10 p(w | v) = log10 p(class w | class v) + log10 p(w | class w). Transitions are
     smoothed by the classes' own frequency, emissions by adding one, with one unknown word
     per class; so the sum over the words after any word is one.
 
-The counts of the words of a text meet the text by a shuffle on word hashes. The HEAD most
+The counts and classes of the words of a text meet the text by a shuffle on word hashes. The HEAD most
 frequent words are looked up in the task instead, which takes the hot keys out of it.
 
 Defined cases: a null text is empty, and an empty text is its end alone. Rows with a null key
@@ -27,10 +32,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlake.llm.common import held_out, in_batches, summed, written
+from adlake.session import discard, run_dir
 from adlake.llm.words import Words, chunks, mix, split_words
 
 FOLDS, OUT = 7, 2
@@ -39,6 +45,9 @@ CLASSES, SWEEPS = 48, 8
 HEAD = 1 << 16  # words looked up without a shuffle
 FLUSH_TOKENS = 1 << 21  # counted together before they leave a task
 SMOOTH = 0.5
+MIN_GAIN = 1e-3  # of a round, in natural logarithms a token
+MOVE_WORDS = 1024  # whose moves are weighed together
+OWN = 2 * CLASSES  # place of a word after itself; before it stand the classes after and before a word
 END_HASH = np.uint64(0xE2D0E2D0E2D0E2D1)
 _U = np.uint64
 
@@ -94,24 +103,213 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(F.first("affix").alias("affix"), F.sum("c").alias("c"))
 
 
+def word_bigrams(docs: DataFrame, head: np.ndarray) -> DataFrame:
+    """(v, w, vi, wi, n): how often w follows v; the words' places in head, or -1."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def flush():
+            word, at = np.unique(np.concatenate([[END_HASH], *held]), return_inverse=True)
+            code, n = np.unique(at[:-1] * len(word) + at[1:], return_counts=True)
+            v, w = np.divmod(code, len(word))
+            return pa.RecordBatch.from_pydict({
+                "v": pa.array(word[v].view(np.int64)), "w": pa.array(word[w].view(np.int64)), "n": pa.array(n)})
+
+        n = 0
+        for _, data, at in chunks(batches):
+            held.append(with_ends(split_words(data, at))[0])
+            n += len(held[-1])
+            if n >= FLUSH_TOKENS:
+                yield flush()
+                held, n = [], 0
+        if held:
+            yield flush()
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({
+                "v": b["v"], "w": b["w"], "vi": pa.array(place_in(head, b["v"].to_numpy().view(np.uint64))),
+                "wi": pa.array(place_in(head, b["w"].to_numpy().view(np.uint64))), "n": b["n"]})
+
+    found = in_batches(docs.select("text")).mapInArrow(count, "v long, w long, n long")
+    return found.groupBy("v", "w").agg(F.sum("n").alias("n")).mapInArrow(place, "v long, w long, vi int, wi int, n long")
+
+
+def place_in(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where hashes are in the sorted words, or -1."""
+    if not len(words):
+        return np.full(len(hashes), -1, dtype=np.int32)
+    at = np.searchsorted(words, hashes).clip(max=len(words) - 1)
+    return np.where(words[at] == hashes, at, -1).astype(np.int32)
+
+
+def neighbours(bigrams: DataFrame, words: DataFrame, tail: DataFrame, head_class: np.ndarray) -> DataFrame:
+    """(word, c, class, slots, times): every word with the classes around it and how often.
+
+    Slot k is class k after the word, CLASSES + k class k before it, OWN the word after itself.
+    ``words`` has (word, c, class), ``tail`` those of them that are not in the head.
+    """
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            v, w, vi, wi, n = (b[k].to_numpy() for k in ("v", "w", "vi", "wi", "n"))
+            after, before, same = wi >= 0, vi >= 0, v == w
+            yield pa.RecordBatch.from_pydict({
+                "word": pa.array(np.concatenate((v[after], w[before], v[same]))),
+                "slot": pa.array(np.concatenate((head_class[wi[after]], CLASSES + head_class[vi[before]],
+                                                 np.full(same.sum(), OWN))).astype(np.int32)),
+                "n": pa.array(np.concatenate((n[after], n[before], n[same])))})
+
+    met = tail.select(F.col("word").alias("other"), F.col("class").alias("at"))
+    after = bigrams.where("wi < 0").select("v", "w", "n").join(met, F.col("w") == F.col("other"))
+    before = bigrams.where("vi < 0").select("v", "w", "n").join(met, F.col("v") == F.col("other"))
+    rows = (in_batches(bigrams).mapInArrow(near, "word long, slot int, n long")
+            .unionByName(after.select(F.col("v").alias("word"), F.col("at").alias("slot"), "n"))
+            .unionByName(before.select(F.col("w").alias("word"), (F.col("at") + CLASSES).alias("slot"), "n")))
+    sums = rows.groupBy("word", "slot").agg(F.sum("n").alias("n"))
+    each = sums.groupBy("word").agg(F.collect_list(F.struct("slot", "n")).alias("around"))
+    return each.join(words, "word").select("word", "c", "class", F.col("around.slot").alias("slots"), F.col("around.n").alias("times"))
+
+
+def xlogx(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1))
+
+
+def best_classes(pair: np.ndarray, old: np.ndarray, right: np.ndarray, left: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The class that gains most for each word, if it alone moves; class 0 is not chosen.
+
+    ``pair`` has the class bigrams; ``right`` and ``left`` (words, classes) how often each
+    class follows and precedes a word, ``own`` how often the word follows itself.
+    """
+    k = np.arange(len(old))
+    right, left = right.copy(), left.copy()
+    right[k, old] -= own
+    left[k, old] -= own
+
+    def along(table, mine, other):
+        """Per word and class: what the counts of ``mine`` gain in table[class, place]."""
+        word, place = np.nonzero(mine)
+        add, at, e = mine[word, place], old[word], np.arange(len(word))
+        without = table[:, place].T.copy()
+        without[e, at] -= add
+        inner = np.flatnonzero(place == at)
+        without[inner] -= other[word[inner]]
+        without[inner, at[inner]] -= own[word[inner]]
+        gain = xlogx(without + add[:, None]) - xlogx(without)
+        out = np.zeros(mine.shape)
+        if len(word):
+            first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            out[word[first]] = np.add.reduceat(gain, first, axis=0)
+        return out
+
+    gain = along(pair, right, left) + along(pair.T, left, right)
+    corner = np.tile(np.diagonal(pair), (len(old), 1))
+    corner[k, old] -= right[k, old] + left[k, old] + own
+    gain += (xlogx(corner + right + left + own[:, None]) + xlogx(corner)
+             - xlogx(corner + right) - xlogx(corner + left))
+    for mine, sums in ((right, pair.sum(axis=1)), (left, pair.sum(axis=0))):
+        size = (mine.sum(axis=1) + own)[:, None]
+        sums = np.tile(sums, (len(old), 1))
+        sums[k, old] -= size[:, 0]
+        gain -= xlogx(sums + size) - xlogx(sums)
+    gain[:, 0] = -np.inf
+    new = gain.argmax(axis=1)
+    return np.where(gain[k, new] > gain[k, old] + 1e-6, new, old)
+
+
+def moved(near: DataFrame, pair: np.ndarray, turn: int, part: int) -> DataFrame:
+    """(word, c, class) after one of ``part`` shares of the words has moved; the end stays."""
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, MOVE_WORDS):
+                b = batch.slice(i, MOVE_WORDS)
+                word, old = b["word"].to_numpy().view(np.uint64), b["class"].to_numpy().astype(np.int64)
+                around = np.zeros((len(old), OWN + 1))
+                row = np.repeat(np.arange(len(old)), b["slots"].value_lengths().to_numpy())
+                around[row, b["slots"].flatten().to_numpy()] = b["times"].flatten().to_numpy()
+                new = best_classes(pair, old, around[:, :CLASSES], around[:, CLASSES:OWN], around[:, OWN])
+                stays = (word == END_HASH) | ((mix(word) + _U(turn)) % _U(part) != 0)
+                yield pa.RecordBatch.from_pydict({
+                    "word": b["word"], "c": b["c"], "class": pa.array(np.where(stays, old, new).astype(np.int32))})
+
+    return in_batches(near).mapInArrow(move, "word long, c long, class int")
+
+
+def class_pairs(near: DataFrame) -> np.ndarray:
+    """The class bigrams, from the words' neighbours."""
+    pair = np.zeros((CLASSES, CLASSES))
+    rows = near.select("class", F.explode(F.arrays_zip("slots", "times")).alias("a")).where(F.col("a.slots") < CLASSES)
+    for r in rows.groupBy("class", F.col("a.slots").alias("slot")).agg(F.sum("a.times").alias("n")).collect():
+        pair[r["class"], r["slot"]] = r["n"]
+    return pair
+
+
+def likelihood(pair: np.ndarray) -> float:
+    """The part of the log-likelihood that depends on the classes."""
+    return float(xlogx(pair).sum() - xlogx(pair.sum(axis=1)).sum() - xlogx(pair.sum(axis=0)).sum())
+
+
+def settled(bigrams: DataFrame, words: DataFrame, head: np.ndarray, in_head: Column) -> tuple[DataFrame, np.ndarray, list[float]]:
+    """Exchange in rounds from the classes in ``words`` (word, c, class).
+
+    Gives the words with their last classes, the class bigrams under these, and the
+    likelihood a token before and after every round that was kept.
+    """
+    spark = bigrams.sparkSession
+
+    def kept(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+        path = run_dir(spark, f"llm-{label}")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path), path
+
+    def look(words: DataFrame):
+        head_class = np.zeros(len(head), dtype=np.int64)
+        rows = words.where(in_head).select("word", "class").collect()
+        hashes = np.array([r["word"] for r in rows], dtype=np.int64).view(np.uint64)
+        head_class[place_in(head, hashes)] = [r["class"] for r in rows]
+        near, path = kept(neighbours(bigrams, words, words.where(~in_head), head_class), "neighbours")
+        pair = class_pairs(near)
+        return near, path, pair, likelihood(pair) / max(pair.sum(), 1)
+
+    near, path, pair, best = look(words)
+    turn, part, gains, words_path = 0, 1, [best], None
+    while pair.any():
+        turn += 1
+        trial, trial_path = kept(moved(near, pair, turn, part), "classes")
+        then = look(trial)
+        if then[3] > best:
+            gain, stale = then[3] - best, path
+            words, (near, path, pair, best) = trial, then
+            gains.append(best)
+            discard(spark, stale)
+            if words_path:
+                discard(spark, words_path)
+            words_path = trial_path
+            if gain < MIN_GAIN:
+                break
+        else:
+            discard(spark, then[1])
+            discard(spark, trial_path)
+            part *= 2
+            if part > CLASSES:
+                break
+    discard(spark, path)
+    return words, pair, gains
+
+
 @dataclass
 class Model:
     """What scoring needs of the classes; its size is fixed."""
 
     head: np.ndarray  # sorted hashes of the most frequent words
     head_count: np.ndarray
-    units: np.ndarray  # sorted hashes of the words that are units
-    unit_of: np.ndarray
-    classes: np.ndarray  # of the units, then of the affixes
+    head_class: np.ndarray
+    affix_class: np.ndarray  # of words not met in training
     step: np.ndarray  # log10 of class transitions
     spread: np.ndarray  # log10 of each class's tokens and words with the unknown one
     end_class: int
     tokens: int
     words: int
 
-    def unit(self, hashes: np.ndarray, affix: np.ndarray) -> np.ndarray:
-        return units_of(self.units, self.unit_of, hashes, affix)
-
 
 def units_of(units: np.ndarray, unit_of: np.ndarray, hashes: np.ndarray, affix: np.ndarray) -> np.ndarray:
     if not len(units):
@@ -124,7 +322,8 @@ def exchange(bigrams: np.ndarray, often: np.ndarray, end: int, classes: int = CL
     """Classes of units from their bigram counts; the end keeps class 0 for itself.
 
     A unit is moved to the class that gains most of the sum of n log n over class bigrams
-    less that over classes, which is the likelihood's part that depends on the classes.
+    less that over classes, which is the likelihood's part that depends on the classes. It
+    stops after ``sweeps``, as its classes are where the rounds over all words begin.
     """
     size = len(often)
     order = [u for u in np.argsort(-often, kind="stable").tolist() if u != end]
@@ -132,9 +331,6 @@ def exchange(bigrams: np.ndarray, often: np.ndarray, end: int, classes: int = CL
     for k, u in enumerate(order):
         group[u] = 1 + k % (classes - 1)
 
-    def xlogx(x):
-        return x * np.log(np.maximum(x, 1))
-
     member = np.zeros((size, classes))
     member[np.arange(size), group] = 1
     pair = member.T @ bigrams @ member
@@ -218,28 +414,32 @@ class ClassModel:
         found = summed(train.select("text"), add, "int64")
         bigrams = found.reshape(size, size).astype(float) if len(found) else np.zeros((size, size))
         classes = exchange(bigrams, bigrams.sum(axis=0), end)
-        member = np.zeros((size, CLASSES))
-        member[np.arange(size), classes] = 1
-        pair = member.T @ bigrams @ member
-        share = (pair.sum(axis=0) + 1) / (pair.sum() + CLASSES)
-        step = np.log10((pair + SMOOTH * CLASSES * share) / (pair.sum(axis=1, keepdims=True) + SMOOTH * CLASSES))
 
-        # Tokens and different words of each class, from the distributed counts.
         def of_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 unit = units_of(units, unit_of, b["word"].to_numpy().view(np.uint64), b["affix"].to_numpy().astype(np.int64))
-                yield pa.RecordBatch.from_pydict({"class": pa.array(classes[unit]), "c": b["c"]})
+                yield pa.RecordBatch.from_pydict({"word": b["word"], "c": b["c"], "class": pa.array(classes[unit].astype(np.int32))})
+
+        order = np.argsort(word)
+        word, often = word[order], often[order]
+        start = written(self.counts.select("word", "affix", "c").mapInArrow(of_class, "word long, c long, class int"), "classes")
+        bigrams = written(word_bigrams(train, word), "bigrams")
+        self.words, pair, self.gains = settled(bigrams, start, word, in_head)
+        share = (pair.sum(axis=0) + 1) / (pair.sum() + CLASSES)
+        step = np.log10((pair + SMOOTH * CLASSES * share) / (pair.sum(axis=1, keepdims=True) + SMOOTH * CLASSES))
 
+        # Tokens and different words of each class.
         spread = np.ones(CLASSES)
         tokens = words = 0
-        per_class = self.counts.select("word", "affix", "c").mapInArrow(of_class, "class long, c long")
-        for r in per_class.groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect():
+        for r in self.words.groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect():
             spread[r["class"]] += r["c"] + r["v"]
             tokens, words = tokens + r["c"], words + r["v"]
-        order = np.argsort(word)
-        self.model = Model(word[order], often[order], units, unit_of, classes, step, np.log10(spread), int(classes[end]), tokens, words)
+        head_class = np.zeros(len(word), dtype=np.int64)
+        rows = self.words.where(in_head).select("word", "class").collect()
+        head_class[place_in(word, np.array([r["word"] for r in rows], dtype=np.int64).view(np.uint64))] = [r["class"] for r in rows]
+        self.model = Model(word, often, head_class, classes[UNITS:], step, np.log10(spread), int(classes[end]), tokens, words)
         self.shared = spark.sparkContext.broadcast(self.model)
-        self.tail = self.counts.where(~in_head).select("word", "c")
+        self.tail = self.words.where(~in_head)
 
     def scored(self, docs: DataFrame) -> DataFrame:
         """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
@@ -252,15 +452,11 @@ class ClassModel:
             m = shared.value
             for part, data, at in chunks(batches):
                 hashes, affix, ptr = with_ends(split_words(data, at))
-                group = m.classes[m.unit(hashes, affix)]
-                before = np.concatenate(([m.end_class], group[:-1]))
-                before[ptr[:-1]] = m.end_class
-                fit = m.step[before, group] - m.spread[group]
-                if len(m.head):
-                    k = np.searchsorted(m.head, hashes).clip(max=len(m.head) - 1)
-                    c = np.where(m.head[k] == hashes, m.head_count[k], 0)
-                else:
-                    c = np.zeros(len(hashes), dtype=np.int64)
+                k = place_in(m.head, hashes)
+                c, group = np.zeros(len(hashes), dtype=np.int64), m.affix_class[affix]
+                rest = k < 0
+                group[ptr[1:] - 1] = m.end_class
+                c[k >= 0], group[k >= 0] = m.head_count[k[k >= 0]], m.head_class[k[k >= 0]]
                 text = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
                 rest = c == 0
                 # Different words beyond the head, with how often each text has them.
@@ -273,23 +469,57 @@ class ClassModel:
                 own = text[order[first]]
                 ends = np.searchsorted(own, np.arange(len(ptr)))
                 n = len(ptr) - 1
+                # Classes in a row; a word beyond the head by its place among the text's, as -1, -2 ...
+                code = group.copy()
+                code[order] = ends[text[order]] - np.cumsum(new)
+                before = np.concatenate(([m.end_class], code[:-1]))
+                before[ptr[:-1]] = m.end_class
+                sure = (before >= 0) & (code >= 0)
+                fit = np.zeros(len(code))
+                fit[sure] = m.step[before[sure], code[sure]] - m.spread[code[sure]]
+                unsure = np.flatnonzero(~sure)
+                cut = pa.array(np.searchsorted(text[unsure], np.arange(len(ptr))).astype(np.int32))
+                cuts = pa.array(ends.astype(np.int32))
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part["doc_id"], "held_out": part["held_out"], "row": part["row"],
                     "n_tokens": pa.array(np.diff(ptr)),
                     "known": pa.array(np.bincount(text, weights=~rest, minlength=n).astype(np.int64)),
                     "seen": pa.array(np.bincount(text, weights=np.log10(c + 1.0), minlength=n)),
                     "fit": pa.array(np.bincount(text, weights=fit, minlength=n)),
-                    "words": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(hashes[order[first]].view(np.int64))),
-                    "times": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(times.astype(np.int32)))})
-
-        kind = ("doc_id long, held_out boolean, row long, n_tokens long, known long, seen double, fit double, "
-                "words array<long>, times array<int>")
-        local = written(in_batches(rows).mapInArrow(score, kind), "scores")
-        asked = local.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
-            "row", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
+                    "words": pa.ListArray.from_arrays(cuts, pa.array(hashes[order[first]].view(np.int64))),
+                    "times": pa.ListArray.from_arrays(cuts, pa.array(times.astype(np.int32))),
+                    "others": pa.ListArray.from_arrays(cuts, pa.array(group[order[first]].astype(np.int32))),
+                    "before": pa.ListArray.from_arrays(cut, pa.array(before[unsure].astype(np.int32))),
+                    "after": pa.ListArray.from_arrays(cut, pa.array(code[unsure].astype(np.int32)))})
+
+        def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            m = shared.value
+            for b in batches:
+                group = b["others"].flatten().to_numpy().copy()
+                first = np.concatenate(([0], np.cumsum(b["others"].value_lengths().to_numpy())))
+                row = np.repeat(np.arange(b.num_rows), b["places"].value_lengths().fill_null(0).to_numpy())
+                group[first[row] + b["places"].flatten().to_numpy()] = b["classes"].flatten().to_numpy()
+                row = np.repeat(np.arange(b.num_rows), b["after"].value_lengths().to_numpy())
+                before, code = (b[k].flatten().to_numpy().astype(np.int64) for k in ("before", "after"))
+                for x in (before, code):
+                    far = x < 0
+                    x[far] = group[first[row[far]] - 1 - x[far]]
+                fit = np.bincount(row, weights=m.step[before, code] - m.spread[code], minlength=b.num_rows)
+                yield pa.RecordBatch.from_arrays(
+                    [*(b[k] for k in told), pa.array(fit + b["fit"].to_numpy())], names=[*told, "fit"])
+
+        kind = "doc_id long, held_out boolean, row long, n_tokens long, known long, seen double, fit double"
+        lists = "words array<long>, times array<int>, others array<int>, before array<int>, after array<int>"
+        local = written(in_batches(rows).mapInArrow(score, f"{kind}, {lists}"), "scores")
+        asked = local.select("row", F.posexplode(F.arrays_zip("words", "times")).alias("place", "w")).select(
+            "row", "place", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
         answered = (asked.join(self.tail, "word").groupBy("row")
-                    .agg(F.sum("times").alias("known2"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("seen2")))
-        done = local.drop("words", "times").join(answered, "row", "left").na.fill(0, ["known2", "seen2"])
+                    .agg(F.sum("times").alias("known2"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("seen2"),
+                         F.collect_list(F.struct("place", "class")).alias("found")))
+        answered = answered.select("row", "known2", "seen2", F.col("found.place").alias("places"), F.col("found.class").alias("classes"))
+        told = ["doc_id", "held_out", "n_tokens", "known", "seen", "known2", "seen2"]
+        done = (in_batches(local.drop("words", "times").join(answered, "row", "left").na.fill(0, ["known2", "seen2"]))
+                .mapInArrow(finish, "doc_id long, held_out boolean, n_tokens long, known long, seen double, known2 long, seen2 double, fit double"))
         seen = F.col("seen") + F.col("seen2")
         if model.tokens:
             base = seen - F.col("n_tokens") * F.log10(F.lit(float(model.tokens + model.words + 1)))

@@ -9,7 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from adlake.llm import archive, classlm, kdshards, packing, pii, quality, transcripts
+from adlake.llm import archive, classlm, kdshards, packing, pii, quality, transcripts, words
 
 
 def test_archive_round_trip(spark, tmp_path):
@@ -82,6 +82,60 @@ def test_class_model(documents, monkeypatch, head):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+@pytest.mark.parametrize("head", [1 << 16, 20])
+def test_every_training_word_is_clustered_by_its_contexts(spark, documents, monkeypatch, head):
+    monkeypatch.setattr(classlm, "HEAD", head)
+    rng = random.Random(7)
+    rows = [(i, " ".join(f"{rng.choice(('the', 'a'))} n{rng.randrange(600)}x {rng.choice(('will', 'can'))} v{rng.randrange(600)}x"
+                         for _ in range(rng.randrange(1, 120)))) for i in range(150)]
+    model = classlm.ClassModel(documents(rows))
+    train = [[None, *t.split(), None] for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    names = sorted({w for t in train for w in t if w})
+    hashes = words.split_words(np.frombuffer(" ".join(names).encode(), np.uint8), np.array([0, len(" ".join(names))])).hashes
+    got = {r["word"]: r["class"] for r in model.words.collect()}
+    group = {w: got[int(h)] for w, h in zip(names, hashes.view(np.int64), strict=True)} | {None: 0}
+    assert len(got) == len(group) and model.gains == sorted(model.gains)
+    # Nouns and verbs have the same ends, so only their contexts tell them apart.
+    nouns, verbs = ({group[w] for w in names if w[0] == k and w[-1] == "x"} for k in "nv")
+    assert not nouns & verbs
+    pair = np.zeros((classlm.CLASSES, classlm.CLASSES))
+    for t in train:
+        for v, w in zip(t, t[1:], strict=False):
+            pair[group[v], group[w]] += 1
+    assert model.gains[-1] == pytest.approx(classlm.likelihood(pair) / pair.sum())
+    share = (pair.sum(axis=0) + 1) / (pair.sum() + classlm.CLASSES)
+    near = classlm.SMOOTH * classlm.CLASSES
+    step = np.log10((pair + near * share) / (pair.sum(axis=1, keepdims=True) + near))
+    assert np.allclose(model.model.step, step)
+    # Scores, word by word.
+    count = Counter(w for t in train for w in t[1:])
+    spread = np.ones(classlm.CLASSES)
+    for w, c in count.items():
+        spread[group[w]] += c + 1
+    scores = {r["doc_id"]: r["score"] for r in model.scored(documents(rows)).collect()}
+    for i, t in rows:
+        line = [None, *t.split(), None]
+        if all(w in group for w in line):
+            assert scores[i] == pytest.approx(sum(step[group[v], group[w]] + math.log10((count[w] + 1) / spread[group[w]])
+                                                  for v, w in zip(line, line[1:], strict=False)))
+
+
+def test_moves_gain_what_they_promise():
+    rng = np.random.default_rng(3)
+    big = rng.poisson(0.6, (30, 30)).astype(float)
+    group = np.where(np.arange(30) == 0, 0, 1 + np.arange(30) % 5)
+
+    def table(g):
+        member = np.eye(classlm.CLASSES)[g]
+        return member.T @ big @ member
+
+    member = np.eye(classlm.CLASSES)[group]
+    new = classlm.best_classes(table(group), group, big @ member, big.T @ member, np.diagonal(big).copy())
+    for u in range(1, 30):
+        tried = {c: classlm.likelihood(table(np.where(np.arange(30) == u, c, group))) for c in range(1, classlm.CLASSES)}
+        assert tried[new[u]] == pytest.approx(max(tried.values()))
+
+
 def test_class_model_is_a_distribution(documents):
     rows = [(i, "a b a c b a the of" * (i % 4)) for i in range(40)]
     m = classlm.ClassModel(documents(rows)).model
