@@ -1,9 +1,12 @@
 """Similarity operators against brute force."""
 
+import itertools
 import random
+import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from adlake.llm import decontaminate, prefix_tree, spotsigs
 from adlake.llm.prefix_tree import Trie, forest
@@ -135,6 +138,39 @@ def test_spotsigs(documents, odd, empty):
     assert spotsigs.fingerprints_of_edits(odd).count() == 10 and spotsigs.fingerprints_of_edits(empty).count() == 0
 
 
+def brute_signatures(text, anchors, chain=2):
+    w = re.findall(r"[^\W_]+", text.lower())
+    found = {("^", *[x for x in w if x not in anchors][:chain])} if w else set()
+    for i, x in enumerate(w):
+        if x in anchors and (after := [y for y in w[i + 1:] if y not in anchors][:chain]):
+            found.add((x, *after))
+    at = 0
+    for is_anchor, run in itertools.groupby(w, lambda x: x in anchors):
+        run = list(run)
+        at += len(run)
+        if not is_anchor and (len(run) >= spotsigs.STRETCH or len(run) == len(w)):
+            found |= {tuple(run[i:i + chain + 1]) for i in range(len(run))}
+    return found
+
+
+def test_spotsigs_see_the_whole_text(documents):
+    tail = " ".join(f"x{k}" for k in range(30))
+    rows = [(k, f"so k{k} but l{k}, so m{k}") for k in range(100, 140)] + [
+        (1, "alfa beta " + tail), (2, "alfa beta " + tail.replace("x", "z")), (3, "so n1 but n2 " + tail), (4, "so n1 but n2 " + tail[:-6] + "y y"),
+        (5, "uno dos tres"), (6, "uno dos tres quatro")]
+    docs = documents(rows)
+    words = spotsigs.common_words(docs)
+    assert {"so", "but"} <= set(words)
+    sets = {r["doc_id"]: r["n"] for r in docs.selectExpr("doc_id", "text").withColumn("n", F.size(spotsigs.signatures(F.col("text"), words))).collect()}
+    brute = {i: brute_signatures(t, set(words)) for i, t in rows}
+    assert sets == {i: len(b) for i, b in brute.items()}
+    got = {r["doc_id"]: r for r in spotsigs.fingerprints_of_edits(docs).collect()}
+    assert len({got[i]["fingerprint"] for i in range(1, 7)}) == 6
+    for i in range(1, 6):
+        assert got[i]["near_next"] == pytest.approx(len(brute[i] & brute[i + 1]) / len(brute[i] | brute[i + 1]))
+    assert all(got[i]["near_edited"] < 1 for i in range(1, 5))
+
+
 def test_next_rows_are_in_order(documents, monkeypatch):
     monkeypatch.setattr(spotsigs, "MIN_BLOCKS", 7)
     rows = [(i * i, f"t{i}") for i in range(100)]
