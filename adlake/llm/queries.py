@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm import archive, classlm, decontaminate, kdshards, packing, pii, prefix_tree, quality, spotsigs, transcripts
+from adlake.llm import (
+    archive, classlm, decontaminate, kdshards, packing, periodic, pii, prefix_tree, quality, repair, spotsigs, topk, transcripts,
+)
 from adlake.llm.common import table
 
 
@@ -56,9 +58,23 @@ def op10_personal_data(spark: SparkSession, sf: str) -> DataFrame:
                        F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
 
 
+def op11_segment_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return topk.top_k(table(spark, sf, "embeddings"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return periodic.digests(periodic.periodic(table(spark, sf, "documents"), plant=True))
+
+
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    conversations = table(spark, sf, "conversations")
+    return repair.report(conversations, repair.damaged(conversations))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_decontamination, op2_warc_archive, op3_quality, op4_prefix_tree_join, op5_class_ngrams, op6_mixture_packing,
-    op7_transcripts, op8_spotsigs, op9_kd_shards, op10_personal_data)}
+    op7_transcripts, op8_spotsigs, op9_kd_shards, op10_personal_data, op11_segment_top_k, op12_periodic_runs,
+    op13_conversation_repair)}
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -99,4 +115,13 @@ ORACLE: dict[str, str] = {
         c as (select doc_id, min(m) as component_id from r group by doc_id)
         select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, c.component_id
         from documents d join c using (doc_id) left join n using (doc_id)""",
+    "op11_segment_top_k": """
+        with v as (
+            select vec_id, row_number() over () as r, list_transform(embedding, x -> floor(64 * x::double)) as e
+            from embeddings where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+        s as (
+            select q.vec_id as query_id, q.r, c.vec_id, list_dot_product(q.e, c.e)::bigint as score
+            from v q, v c where q.vec_id % 20 = 0 and q.r <> c.r)
+        select query_id, rank::integer as rank, vec_id, score from (
+            select *, row_number() over (partition by r order by score desc, vec_id) as rank from s) where rank <= 20""",
 }
