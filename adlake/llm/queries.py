@@ -117,8 +117,8 @@ ORACLE: dict[str, str] = {
         from documents d join c using (doc_id) left join n using (doc_id)""",
     "op11_segment_top_k": """
         with v as (
-            select vec_id, row_number() over () as r, list_transform(embedding, x -> floor(64 * x::double)) as e
-            from embeddings where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+            select vec_id, row_number() over () as r, list_transform(embedding, lambda x: floor(64 * x::double)) as e
+            from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
         s as (
             select q.vec_id as query_id, q.r, c.vec_id, list_dot_product(q.e, c.e)::bigint as score
             from v q, v c where q.vec_id % 20 = 0 and q.r <> c.r)
