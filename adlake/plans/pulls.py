@@ -1,7 +1,8 @@
 """Four job shapes: performance, breakdown, dimensions, reference.
 
 Each step lands its responses as Parquet before the next one reads them, so that nothing
-is requested twice, and a run leaves its raw responses for a later replay. Performance
+is requested twice, also not by a run that takes up one that died (``Source.landing``), and
+a run leaves its raw responses for a later replay. Performance
 and breakdown runs differ only in their table specification. Every step is a frame:
 accounts, entities and requests never pass through the driver.
 """
@@ -20,7 +21,8 @@ from adlake.operators.accounts import ACCOUNT, resolve_accounts
 from adlake.operators.tables import Target, WriteReport, replace_all, replace, upsert
 from adlake.session import run_dir
 from adlake.sources import landed
-from adlake.sources.paged import Fetch, RetryPolicy, fetch_pages
+from adlake.sources.landing import PER_TASK, land
+from adlake.sources.paged import Fetch, RetryPolicy
 from adlake.specs import (
     AD_DIM, AD_GROUP_DIM, CAMPAIGN_DIM, MARKET_REFERENCE, PAGE_SIZE, TableSpec,
 )
@@ -28,21 +30,24 @@ from adlake.specs import (
 
 @dataclass(frozen=True)
 class Source:
-    """How a run reaches the API: the caller's fetch, how many calls at once, retries, and
-    where responses land (by default a fresh shared folder)."""
+    """How a run reaches the API: the caller's fetch, retries, requests per task, an upper bound
+    of calls at once (by default what the cluster has room for), and where responses land.
+
+    ``landing`` is the folder of one run (by default a fresh shared one). A run that died is
+    repeated with the same folder and goes on with the requests that it does not hold yet.
+    """
 
     fetch: Fetch
-    concurrency: int = 8
+    concurrency: int | None = None
     policy: RetryPolicy = RetryPolicy()
     landing: str | None = None
+    per_task: int = PER_TASK
 
     def land(self, worklist: DataFrame, label: str) -> DataFrame:
-        """Request every row of the work list and land the pages."""
-        spark = worklist.sparkSession
-        base = self.landing or run_dir(spark, "landing")
-        pages = fetch_pages(worklist, self.fetch, concurrency=self.concurrency, policy=self.policy)
-        pages.write.mode("overwrite").parquet(f"{base}/{label}")
-        return spark.read.schema(pages.schema).parquet(f"{base}/{label}")
+        """Request every row of the work list that has not landed, and read all pages."""
+        base = self.landing or run_dir(worklist.sparkSession, "landing")
+        return land(worklist, self.fetch, f"{base}/{label}", policy=self.policy, per_task=self.per_task,
+                    concurrency=self.concurrency)
 
 
 @dataclass(frozen=True)
