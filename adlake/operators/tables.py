@@ -13,13 +13,20 @@ matched row never changes partition and only the touched days are rewritten:
 1. stage the source (one evaluation; strict checks fail here, before any target changes)
 2. touched days, and duplicate keys, from the staged copy
 3. kept = target rows of the touched days without a partner in the source
-4. stage kept + source, then publish with dynamic partition overwrite
+4. write kept + source once, by day, into a hidden folder of the table, and switch day by
+   day: a catalog table's partition gets the new folder as its location, a plain folder's
+   day is renamed away and the new one into its place
 
-Step 4 writes touched days twice. This makes a run that dies while swapping folders
-recoverable: its staging folder then still exists, and ``publish_staged`` completes the
-run, any number of times. After a good run the folder is removed. ``durable=False`` skips
-that copy. Either way there must be one writer at a time, and days become visible one
-after another.
+Rows of touched days are written once. A run that dies before step 4 has ended leaves the
+table as it was. One that dies while switching is finished by ``finish_upserts``, which the
+next upsert calls first; a hidden folder that is not complete is removed. There must be one
+writer at a time, and days become visible one after another. With ``staging`` a copy of the
+merged days is kept, which ``publish_staged`` can publish again, any number of times; that
+copy is a second write, as is what a table gets whose partitions the catalog does not know.
+
+A replaced table is staged beside its place, too, and switched in two phases: a manifest is
+written when all tables are staged, and from then on ``finish_replace`` completes the
+switches, however often it is called, wherever a run has died.
 
 Merged rows are range-partitioned by day and key: tasks get equal shares whatever the
 skew of the days, a day that holds most rows is split by key range, a run of small days
@@ -28,6 +35,8 @@ shares a task, and each file covers a narrow key range.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
@@ -38,13 +47,21 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from adlake.operators.checks import duplicate_keys
-from adlake.session import discard, is_complete, run_dir
+from adlake.session import (
+    children, discard, exists, is_complete, read_text, remove, rename, run_dir, write_text,
+)
 from adlake.specs import TableSpec
 
 # Rows that one task of the final write takes, about 200 MB of a fact.
 ROWS_PER_TASK = 2_000_000
 
-_FILE_FORMATS = {"parquet", "orc", "csv", "json", "text", "avro"}
+_FILE_FORMATS = {"parquet", "orc", "csv", "json", "text", "avro", "hive"}
+_HIDDEN = "_upserts"        # in a table's folder; readers skip names that begin with _
+_REPLACED = "_replaced"     # days that an upsert has renamed away
+_PUBLISHED = "_PUBLISHED"   # in place of _SUCCESS once a catalog knows all days
+_SNAPSHOTS = "_snapshots"   # in a replaced table's folder
+_MANIFEST = "manifest.json"
+_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -66,12 +83,27 @@ class Target:
         if self.table is None:
             return False
         parts = self.table.split(".")
-        if len(parts) > 2 and parts[0] != "spark_catalog":
-            return True
+        other = len(parts) > 2 and parts[0] != "spark_catalog"
+        if other and not spark.conf.get(f"spark.sql.catalog.{parts[0]}", None):
+            return True  # not bound in this session: its name is all there is
         if not spark.catalog.tableExists(self.table):
-            return spark.conf.get("spark.sql.catalog.spark_catalog", "builtin") != "builtin"
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {self.table}").filter("col_name = 'Provider'")
-        return rows.first()["data_type"].lower() not in _FILE_FORMATS
+            return other or spark.conf.get("spark.sql.catalog.spark_catalog", "builtin") != "builtin"
+        return self.described(spark).get("Provider", "").lower() not in _FILE_FORMATS
+
+    def described(self, spark: SparkSession) -> dict[str, str]:
+        """What the catalog says of the table: Provider, Location, Partition Provider, ..."""
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {self.table}").collect()
+        return {r["col_name"]: r["data_type"] for r in rows}
+
+    def home(self, spark: SparkSession) -> str:
+        """The folder that the table owns, whatever snapshot it shows."""
+        if self.table is None:
+            return self.path
+        if spark.catalog.tableExists(self.table):
+            return self.described(spark)["Location"].split(f"/{_SNAPSHOTS}/")[0]
+        database, _, name = self.table.rpartition(".")
+        base = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+        return self.path or f"{base.rstrip('/')}/{name}"
 
     def read(self, spark: SparkSession, spec: TableSpec) -> DataFrame:
         """The rows now in the table; none if it does not exist."""
@@ -90,10 +122,12 @@ class Target:
 
 @dataclass(frozen=True)
 class WriteReport:
-    """What a write did: rows of the source, days rewritten."""
+    """What a write did: rows of the source, days rewritten, and for a replace the name by
+    which ``finish_replace`` knows it."""
 
     rows: int
     days: int = 0
+    staging: str | None = None
 
 
 def table_name(catalog: str, database: str, table: str) -> str:
@@ -211,6 +245,86 @@ def publish_staged(spark: SparkSession, staging: str, target: Target, spec: Tabl
     publish(spark, spark.read.schema(spec.schema).parquet(folder), target, spec)
 
 
+# --- days switched in place ----------------------------------------------------------
+
+
+def _switches_days(spark: SparkSession, target: Target) -> bool:
+    """Whether single days can be switched: a plain folder, or Parquet partitions that the
+    catalog knows. Other tables take their rows through ``publish``."""
+    if target.table is None:
+        return True
+    found = target.described(spark)
+    return found.get("Provider", "").lower() == "parquet" and found.get("Partition Provider") == "Catalog"
+
+
+def _days(spark: SparkSession, folder: str) -> list[str]:
+    return [name for name in children(spark, folder) if "=" in name]
+
+
+def _switch_renamed(spark: SparkSession, work: str, target: Target) -> None:
+    """Move each day of ``work`` into the table's folder. What is still in ``work`` is to do:
+    a day whose old folder is away already is only moved in."""
+    for day in _days(spark, work):
+        live = f"{target.path}/{day}"
+        if exists(spark, live):
+            rename(spark, live, f"{work}/{_REPLACED}/{day}")
+        rename(spark, f"{work}/{day}", live)
+    remove(spark, work)
+
+
+def _spec_of(day: str) -> str:
+    column, value = day.split("=", 1)
+    return f"PARTITION (`{column}` = " + ("null)" if value == _NO_DAY else f"'{value}')")
+
+
+def _switch_located(spark: SparkSession, work: str, target: Target) -> None:
+    """Point each day's partition at its folder in ``work``. New days are declared in one
+    statement; a known day is one metadata change, and its old folder goes afterwards."""
+    home, staged = target.home(spark), _days(spark, work)
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {target.table}").collect()}
+    fresh = [f"{_spec_of(day)} LOCATION '{work}/{day}'" for day in staged if day not in known]
+    if fresh:
+        spark.sql(f"ALTER TABLE {target.table} ADD IF NOT EXISTS {' '.join(fresh)}")
+    old = []
+    for day in staged:
+        if day in known:
+            rows = spark.sql(f"DESCRIBE TABLE EXTENDED {target.table} {_spec_of(day)}").collect()
+            shown = next(r["data_type"] for r in rows if r["col_name"] == "Location")
+            spark.sql(f"ALTER TABLE {target.table} {_spec_of(day)} SET LOCATION '{work}/{day}'")
+            if not shown.endswith(f"{work}/{day}".split(":", 1)[-1]):
+                old.append(shown)
+    rename(spark, f"{work}/_SUCCESS", f"{work}/{_PUBLISHED}")
+    spark.catalog.refreshTable(target.table)
+    for folder in old:
+        if folder.startswith(home):
+            remove(spark, folder)
+    for name in children(spark, f"{home}/{_HIDDEN}"):
+        if not _days(spark, f"{home}/{_HIDDEN}/{name}"):
+            remove(spark, f"{home}/{_HIDDEN}/{name}")
+
+
+def _switch_days(spark: SparkSession, work: str, target: Target) -> None:
+    (_switch_renamed if target.table is None else _switch_located)(spark, work, target)
+
+
+def finish_upserts(spark: SparkSession, target: Target) -> int:
+    """Complete what a dead upsert had written whole, and remove what it had not; the number
+    of upserts completed. Nothing else may write to the table meanwhile."""
+    if target.table is not None and not spark.catalog.tableExists(target.table):
+        return 0
+    hidden, done = f"{target.home(spark)}/{_HIDDEN}", 0
+    for name in children(spark, hidden):
+        work = f"{hidden}/{name}"
+        if is_complete(spark, work):
+            _switch_days(spark, work, target)
+            done += 1
+        elif not exists(spark, f"{work}/{_PUBLISHED}"):
+            if target.table is None and children(spark, f"{work}/{_REPLACED}"):
+                raise ValueError(f"days are away and the upsert is incomplete: {work}")
+            remove(spark, work)
+    return done
+
+
 def upsert(df: DataFrame, target: Target, spec: TableSpec, *, check_duplicates: bool = True,
            durable: bool = True, staging: str | None = None, newer_by: str | None = None) -> WriteReport:
     """Overwrite matching rows in every column, insert the others, keep the rest.
@@ -218,39 +332,61 @@ def upsert(df: DataFrame, target: Target, spec: TableSpec, *, check_duplicates:
     An empty source leaves the target alone. A duplicate key is an error; callers that
     have made keys unique (``checks.latest_per_key``) may switch the check off.
     ``staging`` names the folder to stage in and keeps it; without it a fresh one is used
-    and removed after success. ``newer_by`` names a column that orders versions: a row that
+    and removed after success. ``durable=False`` overwrites the days in place, which cannot be
+    finished if it is cut off. ``newer_by`` names a column that orders versions: a row that
     the table holds in a later one stays as it is.
     """
     spark = df.sparkSession
     work = staging or run_dir(spark, f"upsert-{spec.name}")
-    report = _upsert(df, target, spec, work, check_duplicates, durable, newer_by)
+    report, days = _upsert(df, target, spec, work, check_duplicates, durable, staging is not None, newer_by)
+    if days:
+        _switch_days(spark, days, target)
     if staging is None:
         discard(spark, work)
     return report
 
 
-def _upsert(df: DataFrame, target: Target, spec: TableSpec, work: str,
-            check_duplicates: bool, durable: bool, newer_by: str | None) -> WriteReport:
+def stage_upsert(df: DataFrame, target: Target, spec: TableSpec, *, check_duplicates: bool = True,
+                 newer_by: str | None = None) -> WriteReport:
+    """An upsert up to its switch: the new days stand ready, readers see the old ones.
+    ``finish_upserts``, or the next upsert, switches them."""
+    spark = df.sparkSession
+    work = run_dir(spark, f"upsert-{spec.name}")
+    report, _ = _upsert(df, target, spec, work, check_duplicates, True, False, newer_by)
+    discard(spark, work)
+    return report
+
+
+def _upsert(df: DataFrame, target: Target, spec: TableSpec, work: str, check_duplicates: bool,
+            durable: bool, keep: bool, newer_by: str | None) -> tuple[WriteReport, str | None]:
+    """What was written, and the folder of days that are still to be switched."""
     spark = df.sparkSession
+    native = target.is_native(spark)
+    if not native:
+        finish_upserts(spark, target)
     staged, rows = _stage(conform(df, spec), f"{work}/source")
     if rows == 0:
-        return WriteReport(0)
+        return WriteReport(0), None
     if check_duplicates:
         repeated = duplicate_keys(staged, spec.key).limit(3).collect()
         if repeated:
             raise DuplicateKeys(f"{spec.name}: {[r.asDict() for r in repeated]}")
     create_if_missing(spark, target, spec)
     values = _touched(staged, spec.partition)
-    if target.is_native(spark):
+    if native:
         _merge_native(staged, target, spec, values, newer_by)
-        return WriteReport(rows, len(values))
+        return WriteReport(rows, len(values)), None
     merged = merged_days(target.read(spark, spec), staged, spec, values, rows, newer_by)
+    if durable and not keep and _switches_days(spark, target):
+        days = f"{target.home(spark)}/{_HIDDEN}/{uuid.uuid4().hex}"
+        merged.write.partitionBy(spec.partition).parquet(days)
+        return WriteReport(rows, len(values)), days
     if durable:
         merged.write.partitionBy(spec.partition).parquet(f"{work}/merged")
         publish_staged(spark, work, target, spec)
     else:
         publish(spark, merged, target, spec)
-    return WriteReport(rows, len(values))
+    return WriteReport(rows, len(values)), None
 
 
 def _merge_native(staged: DataFrame, target: Target, spec: TableSpec, values: list, newer_by: str | None) -> None:
@@ -273,40 +409,86 @@ def _with_others(rows: DataFrame, target: Target, spec: TableSpec, scope: DataFr
     return others.join(scope.select("ad_account_id"), "ad_account_id", "left_anti").unionByName(rows)
 
 
-def replace_all(parts: Iterable[tuple[DataFrame, Target, TableSpec]],
-                scope: DataFrame | None = None) -> list[WriteReport]:
+def stage_replace(parts: Iterable[tuple[DataFrame, Target, TableSpec]], scope: DataFrame | None = None,
+                  staging: str | None = None) -> str:
+    """Compute every frame and write it beside its table; the name by which ``finish_replace``
+    switches them. Until this returns no table has changed, and none will."""
+    parts = list(parts)
+    if not parts:
+        raise ValueError("nothing to replace")
+    session = parts[0][0].sparkSession
+    staging = staging or run_dir(session, "replace")
+    items = []
+    for number, (df, target, spec) in enumerate(parts):
+        native = target.is_native(session)
+        name = f"{staging.rsplit('/', 1)[-1]}-{number}"
+        home = None if native else target.home(session)
+        folder = (f"{staging}/{number}" if native else f"{home}__{name}" if target.table is None
+                  else f"{home}/{_SNAPSHOTS}/{name}")
+        rows = conform(df, spec)
+        seen = Observation("replaced rows")
+        counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+        whole = counted if scope is None else _with_others(counted, target, spec, scope)
+        whole.write.parquet(folder)
+        items.append({"table": target.table, "path": target.path, "native_format": target.native_format, "native": native,
+                      "folder": folder, "rows": seen.get["rows"], "name": spec.name, "ddl": spec.ddl()})
+    write_text(session, f"{staging}/{_MANIFEST}", json.dumps(items))
+    return staging
+
+
+def finish_replace(spark: SparkSession, staging: str) -> list[WriteReport]:
+    """Switch every table of a staged replace that is not switched yet. One that had not been
+    staged whole is refused: its tables are untouched, the run can be started again."""
+    if not exists(spark, f"{staging}/{_MANIFEST}"):
+        raise ValueError(f"nothing to finish, staging was cut off or is done: {staging}")
+    items = json.loads(read_text(spark, f"{staging}/{_MANIFEST}"))
+    for item in items:
+        _switch(spark, item)
+    remove(spark, staging)
+    return [WriteReport(item["rows"], staging=staging) for item in items]
+
+
+def _switch(spark: SparkSession, item: dict) -> None:
+    """One table of a manifest. A folder that is gone has been switched."""
+    table, folder = item["table"], item["folder"]
+    if item["rows"] == 0:
+        remove(spark, folder)
+    elif item["native"]:
+        spark.read.parquet(folder).writeTo(table).using(item["native_format"]).createOrReplace()
+    elif table is not None:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({item['ddl']}) USING parquet LOCATION '{folder}'")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(table)
+    else:
+        away = f"{folder}-old"
+        if exists(spark, folder):
+            if exists(spark, item["path"]):
+                rename(spark, item["path"], away)
+            rename(spark, folder, item["path"])
+        remove(spark, away)
+
+
+def expire_snapshots(spark: SparkSession, target: Target) -> int:
+    """Remove a replaced catalog table's snapshots except the one it shows; how many went."""
+    shown, home = target.described(spark)["Location"], target.home(spark)
+    old = [n for n in children(spark, f"{home}/{_SNAPSHOTS}") if not shown.endswith(f"/{_SNAPSHOTS}/{n}")]
+    for name in old:
+        remove(spark, f"{home}/{_SNAPSHOTS}/{name}")
+    return len(old)
+
+
+def replace_all(parts: Iterable[tuple[DataFrame, Target, TableSpec]], scope: DataFrame | None = None,
+                staging: str | None = None) -> list[WriteReport]:
     """Make each table exactly its frame. All frames are computed and staged before the
     first table changes; an empty frame leaves its table alone.
 
-    A catalog table is switched to its staged folder by one metadata change, so readers
-    see the old rows or the new ones, and old snapshots stay for the owner to expire. A
-    plain folder is overwritten from the staged copy; repeat the call if that is cut off.
+    A catalog table is switched to its staged folder by one metadata change, so readers see
+    the old rows or the new ones; old snapshots stay until ``expire_snapshots``. A plain folder
+    is renamed away and the staged one into its place. ``staging`` names the run in advance,
+    so that whoever finds it dead can call ``finish_replace`` with that name.
     """
-    staged = []
-    for df, target, spec in parts:
-        spark = df.sparkSession
-        work = run_dir(spark, f"replace-{spec.name}")
-        fresh, rows = _stage(conform(df, spec), f"{work}/rows")
-        if rows and scope is not None:
-            fresh, _ = _stage(_with_others(fresh, target, spec, scope), f"{work}/scoped")
-        staged.append((fresh, target, spec, work, rows, "rows" if scope is None else "scoped"))
-    return [_switch(*item) for item in staged]
-
-
-def _switch(fresh: DataFrame, target: Target, spec: TableSpec, work: str, rows: int,
-            folder: str) -> WriteReport:
-    spark = fresh.sparkSession
-    if rows and target.table is not None and not target.is_native(spark):
-        create_if_missing(spark, Target(target.table, f"{work}/{folder}"), spec)
-        spark.sql(f"ALTER TABLE {target.table} SET LOCATION '{work}/{folder}'")
-        spark.catalog.refreshTable(target.table)
-        return WriteReport(rows)
-    if rows and target.table is None:
-        fresh.write.mode("overwrite").parquet(target.path)
-    elif rows:
-        fresh.writeTo(target.table).using(target.native_format).createOrReplace()
-    discard(spark, work)
-    return WriteReport(rows)
+    parts = list(parts)
+    return finish_replace(parts[0][0].sparkSession, stage_replace(parts, scope, staging)) if parts else []
 
 
 def replace(df: DataFrame, target: Target, spec: TableSpec,

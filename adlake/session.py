@@ -40,15 +40,57 @@ def _file_system(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether the job that wrote a folder has committed."""
-    files, marker = _file_system(spark, f"{path}/_SUCCESS")
-    return files.exists(marker)
+    return exists(spark, f"{path}/_SUCCESS")
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none if there is no folder."""
+    files, where = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(where)) if files.exists(where) else []
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Rename a file or folder within its file system; the new name must be free."""
+    files, where = _file_system(spark, old)
+    to = spark._jvm.org.apache.hadoop.fs.Path(new)
+    files.mkdirs(to.getParent())
+    if files.exists(to) or not files.rename(where, to):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a file or a whole folder, if it is there."""
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, under its name only when it is whole."""
+    files, where = _file_system(spark, f"{path}.part")
+    out = files.create(where, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    rename(spark, f"{path}.part", path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, where = _file_system(spark, path)
+    found = files.open(where)
+    try:
+        return bytes(found.readAllBytes()).decode()
+    finally:
+        found.close()
 
 
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a folder that ``run_dir`` has named."""
     if not path.startswith(f"{shared_dir(spark)}/adlake/"):
         raise ValueError(f"not a run folder: {path}")
-    files, where = _file_system(spark, path)
-    files.delete(where, True)
+    remove(spark, path)
