@@ -85,17 +85,17 @@ def reference_rows(responses: DataFrame, run_ts: dt.datetime) -> DataFrame:
 def pull_fact(spark: SparkSession, spec: TableSpec, source: Source, target: Target, *,
               run_date: dt.date, run_ts: dt.datetime, allowlist: str | None = None,
               lookback: str | None = None, start: str | None = None,
-              end: str | None = None) -> PullReport:
+              end: str | None = None, max_records: int | None = None, values: int = 1) -> PullReport:
     """A performance or breakdown run: list ids, batch them, request the window, upsert.
 
-    Accounts without entities give no batch and so no request.
+    Accounts without entities give no batch and so no request. ``max_records`` cuts a long
+    window into slices (``batching.report_requests``).
     """
     accounts, missing = discover(spark, source, allowlist)
     first, last = window_of(spark, run_date, lookback, start, end)
     listings = source.land(batching.listing_requests(accounts, spec.endpoint), spec.endpoint)
-    ids = landed.listed_ids(listings, "id").select(ACCOUNT, landed.PAGE_NO, landed.ITEM_POS, "id")
-    batches = batching.request_batches(ids, "id", spec.batch_size)
-    requests = batching.report_requests(batches, spec, first, last)
+    batches = batching.page_batches(landed.listed_pages(listings), spec.batch_size)
+    requests = batching.report_requests(batches, spec, first, last, max_records=max_records, values=values)
     responses = source.land(requests, spec.name)
     return PullReport([upsert(fact_rows(responses, spec, run_ts), target, spec)], missing)
 

@@ -26,6 +26,7 @@ from adlake.specs import DATE_KEY, TableSpec
 RAW = "raw"            # struct of payload texts
 ITEM = "item"          # JSON text of one listed entity
 PAGE_NO, ITEM_POS = "page_no", "item_pos"
+IDS = "ids"            # of one page
 VALUE = "targeting_value"
 HAS_DATE = "has_date"  # whether the record carries a date key at all
 
@@ -118,6 +119,15 @@ def listed_ids(pages: DataFrame, name: str = "id") -> DataFrame:
     return items.select(*context, ITEM_POS, F.coalesce(F.col("_item.id"), missing).alias(name))
 
 
+def listed_pages(pages: DataFrame) -> DataFrame:
+    """One row per page with the ``ids`` of its objects, in order; for ``batching``, which
+    numbers pages and not ids. An object without an id aborts the job."""
+    frame = _parse(pages, "items array<struct<id:string>>", "items")
+    missing = F.raise_error(F.lit("listed object without id")).cast("string")
+    ids = F.transform(F.coalesce(_PARSED, F.array()), lambda item: F.coalesce(item["id"], missing))
+    return frame.select(*_context(pages), ids.alias(IDS))
+
+
 def listed_accounts(pages: DataFrame) -> DataFrame:
     return listed_ids(pages, "ad_account_id")
 
