@@ -24,7 +24,9 @@ def to_long(text: Column) -> Column:
 
 
 def to_double(text: Column) -> Column:
-    return text.try_cast("double")
+    """A finite number; NaN and the infinities cannot be read."""
+    number = text.try_cast("double")
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def to_bool(text: Column) -> Column:

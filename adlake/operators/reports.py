@@ -26,12 +26,20 @@ class DoubleCounting(Exception):
     """A sum that would add up two slices of the same traffic."""
 
 
+def _money(amount: Column) -> Column:
+    """An amount as a decimal; one that is none (NaN, infinite, too large) fails the query, as a
+    sum would leave it out."""
+    exact = amount.try_cast(_MONEY)
+    lost = F.raise_error(F.concat(F.lit("not an amount: "), amount.cast("string")))
+    return F.when(amount.isNotNull() & exact.isNull(), lost.cast(_MONEY)).otherwise(exact)
+
+
 def total(metric: str) -> Column:
     """Sum of one additive metric, exact for money. Ratios have no sum."""
     if metric in _RATIOS:
         raise ValueError(f"{metric} is a ratio; recompute it from sums (rollup)")
     if metric in _MONEY_COLUMNS:
-        return F.sum(F.col(metric).cast(_MONEY)).cast("double").alias(metric)
+        return F.sum(_money(F.col(metric))).cast("double").alias(metric)
     return F.sum(metric).cast("bigint").alias(metric)
 
 
@@ -102,7 +110,7 @@ def reconcile(whole: DataFrame, parts: DataFrame, keys, metrics) -> DataFrame:
 def _rest(metric: str) -> Column:
     own, parts = (F.coalesce(F.col(c), F.lit(0)) for c in (metric, f"{metric}_parts"))
     if metric in _MONEY_COLUMNS:
-        return (own.cast(_MONEY) - parts.cast(_MONEY)).cast("double")
+        return (_money(own) - _money(parts)).cast("double")
     return own - parts
 
 

@@ -37,7 +37,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -46,7 +46,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.operators.checks import duplicate_keys
+from adlake.operators.checks import BadRows, duplicate_keys
 from adlake.session import (
     children, discard, exists, is_complete, read_text, remove, rename, run_dir, write_text,
 )
@@ -326,7 +326,8 @@ def finish_upserts(spark: SparkSession, target: Target) -> int:
 
 
 def upsert(df: DataFrame, target: Target, spec: TableSpec, *, check_duplicates: bool = True,
-           durable: bool = True, staging: str | None = None, newer_by: str | None = None) -> WriteReport:
+           durable: bool = True, staging: str | None = None, newer_by: str | None = None,
+           accept: Callable[[], None] | None = None) -> WriteReport:
     """Overwrite matching rows in every column, insert the others, keep the rest.
 
     An empty source leaves the target alone. A duplicate key is an error; callers that
@@ -334,11 +335,17 @@ def upsert(df: DataFrame, target: Target, spec: TableSpec, *, check_duplicates:
     ``staging`` names the folder to stage in and keeps it; without it a fresh one is used
     and removed after success. ``durable=False`` overwrites the days in place, which cannot be
     finished if it is cut off. ``newer_by`` names a column that orders versions: a row that
-    the table holds in a later one stays as it is.
+    the table holds in a later one stays as it is. ``accept`` is called when the source is
+    staged and may refuse it by an error (``checks.Problems.refuse``).
     """
     spark = df.sparkSession
     work = staging or run_dir(spark, f"upsert-{spec.name}")
-    report, days = _upsert(df, target, spec, work, check_duplicates, durable, staging is not None, newer_by)
+    try:
+        report, days = _upsert(df, target, spec, work, check_duplicates, durable, staging is not None, newer_by, accept)
+    except BadRows:
+        if staging is None:
+            discard(spark, work)
+        raise
     if days:
         _switch_days(spark, days, target)
     if staging is None:
@@ -352,19 +359,21 @@ def stage_upsert(df: DataFrame, target: Target, spec: TableSpec, *, check_duplic
     ``finish_upserts``, or the next upsert, switches them."""
     spark = df.sparkSession
     work = run_dir(spark, f"upsert-{spec.name}")
-    report, _ = _upsert(df, target, spec, work, check_duplicates, True, False, newer_by)
+    report, _ = _upsert(df, target, spec, work, check_duplicates, True, False, newer_by, None)
     discard(spark, work)
     return report
 
 
 def _upsert(df: DataFrame, target: Target, spec: TableSpec, work: str, check_duplicates: bool,
-            durable: bool, keep: bool, newer_by: str | None) -> tuple[WriteReport, str | None]:
+            durable: bool, keep: bool, newer_by: str | None, accept: Callable[[], None] | None) -> tuple[WriteReport, str | None]:
     """What was written, and the folder of days that are still to be switched."""
     spark = df.sparkSession
     native = target.is_native(spark)
     if not native:
         finish_upserts(spark, target)
     staged, rows = _stage(conform(df, spec), f"{work}/source")
+    if accept:
+        accept()
     if rows == 0:
         return WriteReport(0), None
     if check_duplicates:
@@ -410,7 +419,7 @@ def _with_others(rows: DataFrame, target: Target, spec: TableSpec, scope: DataFr
 
 
 def stage_replace(parts: Iterable[tuple[DataFrame, Target, TableSpec]], scope: DataFrame | None = None,
-                  staging: str | None = None) -> str:
+                  staging: str | None = None, accept: Callable[[], None] | None = None) -> str:
     """Compute every frame and write it beside its table; the name by which ``finish_replace``
     switches them. Until this returns no table has changed, and none will."""
     parts = list(parts)
@@ -418,20 +427,27 @@ def stage_replace(parts: Iterable[tuple[DataFrame, Target, TableSpec]], scope: D
         raise ValueError("nothing to replace")
     session = parts[0][0].sparkSession
     staging = staging or run_dir(session, "replace")
-    items = []
-    for number, (df, target, spec) in enumerate(parts):
-        native = target.is_native(session)
-        name = f"{staging.rsplit('/', 1)[-1]}-{number}"
-        home = None if native else target.home(session)
-        folder = (f"{staging}/{number}" if native else f"{home}__{name}" if target.table is None
-                  else f"{home}/{_SNAPSHOTS}/{name}")
-        rows = conform(df, spec)
-        seen = Observation("replaced rows")
-        counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-        whole = counted if scope is None else _with_others(counted, target, spec, scope)
-        whole.write.parquet(folder)
-        items.append({"table": target.table, "path": target.path, "native_format": target.native_format, "native": native,
-                      "folder": folder, "rows": seen.get["rows"], "name": spec.name, "ddl": spec.ddl()})
+    items, made = [], []
+    try:
+        for number, (df, target, spec) in enumerate(parts):
+            native = target.is_native(session)
+            name = f"{staging.rsplit('/', 1)[-1]}-{number}"
+            home = None if native else target.home(session)
+            folder = (f"{staging}/{number}" if native else f"{home}__{name}" if target.table is None
+                      else f"{home}/{_SNAPSHOTS}/{name}")
+            made.append(folder)
+            seen = Observation("replaced rows")
+            counted = conform(df, spec).observe(seen, F.count(F.lit(1)).alias("rows"))
+            whole = counted if scope is None else _with_others(counted, target, spec, scope)
+            whole.write.parquet(folder)
+            items.append({"table": target.table, "path": target.path, "native_format": target.native_format, "native": native,
+                          "folder": folder, "rows": seen.get["rows"], "ddl": spec.ddl()})
+        if accept:
+            accept()
+    except Exception:
+        for folder in made:
+            remove(session, folder)
+        raise
     write_text(session, f"{staging}/{_MANIFEST}", json.dumps(items))
     return staging
 
@@ -478,7 +494,7 @@ def expire_snapshots(spark: SparkSession, target: Target) -> int:
 
 
 def replace_all(parts: Iterable[tuple[DataFrame, Target, TableSpec]], scope: DataFrame | None = None,
-                staging: str | None = None) -> list[WriteReport]:
+                staging: str | None = None, accept: Callable[[], None] | None = None) -> list[WriteReport]:
     """Make each table exactly its frame. All frames are computed and staged before the
     first table changes; an empty frame leaves its table alone.
 
@@ -488,7 +504,7 @@ def replace_all(parts: Iterable[tuple[DataFrame, Target, TableSpec]], scope: Dat
     so that whoever finds it dead can call ``finish_replace`` with that name.
     """
     parts = list(parts)
-    return finish_replace(parts[0][0].sparkSession, stage_replace(parts, scope, staging)) if parts else []
+    return finish_replace(parts[0][0].sparkSession, stage_replace(parts, scope, staging, accept)) if parts else []
 
 
 def replace(df: DataFrame, target: Target, spec: TableSpec,

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from adlake.functions.dates import window_of
 from adlake.operators import batching, flatten
 from adlake.operators.accounts import ACCOUNT, resolve_accounts
+from adlake.operators.checks import Problems, watched
 from adlake.operators.tables import Target, WriteReport, replace_all, replace, upsert
 from adlake.session import run_dir
 from adlake.sources import landed
@@ -77,6 +78,18 @@ def dimension_rows(pages: DataFrame, spec: TableSpec, run_ts: dt.datetime) -> Da
     return flatten.strict(landed.entity_records(pages, spec), spec, run_ts)
 
 
+def watched_fact_rows(responses: DataFrame, spec: TableSpec, run_ts: dt.datetime, problems: Problems) -> DataFrame:
+    """As ``fact_rows``, but bad values pass as nulls and ``problems`` counts them all; whoever
+    writes the rows has to call ``problems.refuse`` before they become visible."""
+    read = landed.breakdown_records if spec.targeting_type else landed.report_records
+    return watched(flatten.typed(read(responses, spec, problems.unread()), spec, run_ts), spec, problems)
+
+
+def watched_dimension_rows(pages: DataFrame, spec: TableSpec, run_ts: dt.datetime, problems: Problems) -> DataFrame:
+    """As ``dimension_rows``, with all problems counted."""
+    return watched(flatten.typed(landed.entity_records(pages, spec, problems.unread()), spec, run_ts), spec, problems)
+
+
 def reference_rows(responses: DataFrame, run_ts: dt.datetime) -> DataFrame:
     """Landed code-to-name responses to checked table rows."""
     return flatten.strict(landed.option_names(responses), MARKET_REFERENCE, run_ts)
@@ -88,7 +101,8 @@ def pull_fact(spark: SparkSession, spec: TableSpec, source: Source, target: Targ
               end: str | None = None, max_records: int | None = None, values: int = 1) -> PullReport:
     """A performance or breakdown run: list ids, batch them, request the window, upsert.
 
-    Accounts without entities give no batch and so no request. ``max_records`` cuts a long
+    Accounts without entities give no batch and so no request. Bad values refuse the run, with
+    all of them counted per field (``checks.BadRows``), before the table changes. ``max_records`` cuts a long
     window into slices (``batching.report_requests``).
     """
     accounts, missing = discover(spark, source, allowlist)
@@ -97,7 +111,9 @@ def pull_fact(spark: SparkSession, spec: TableSpec, source: Source, target: Targ
     batches = batching.page_batches(landed.listed_pages(listings), spec.batch_size)
     requests = batching.report_requests(batches, spec, first, last, max_records=max_records, values=values)
     responses = source.land(requests, spec.name)
-    return PullReport([upsert(fact_rows(responses, spec, run_ts), target, spec)], missing)
+    problems = Problems(spec)
+    rows = watched_fact_rows(responses, spec, run_ts, problems)
+    return PullReport([upsert(rows, target, spec, accept=problems.refuse)], missing)
 
 
 def pull_dimensions(spark: SparkSession, source: Source, targets: dict[str, Target], *,
@@ -110,12 +126,13 @@ def pull_dimensions(spark: SparkSession, source: Source, targets: dict[str, Targ
     rows of the others.
     """
     accounts, missing = discover(spark, source, allowlist)
-    parts = []
+    parts, seen = [], []
     for spec in (CAMPAIGN_DIM, AD_GROUP_DIM, AD_DIM):
         pages = source.land(batching.listing_requests(accounts, spec.endpoint), spec.name)
-        parts.append((dimension_rows(pages, spec, run_ts), targets[spec.name], spec))
+        seen.append(Problems(spec))
+        parts.append((watched_dimension_rows(pages, spec, run_ts, seen[-1]), targets[spec.name], spec))
     scope = accounts.select(ACCOUNT).distinct() if scoped else None
-    return PullReport(replace_all(parts, scope), missing)
+    return PullReport(replace_all(parts, scope, accept=lambda: [p.refuse() for p in seen]), missing)
 
 
 def pull_reference(spark: SparkSession, source: Source, target: Target, *,

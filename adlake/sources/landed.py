@@ -16,7 +16,7 @@ Body shapes:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,13 +85,18 @@ def split_unreadable(responses: DataFrame, shape: str) -> tuple[DataFrame, DataF
     return checked.filter("_ok").drop("_ok"), checked.filter("not _ok").drop("_ok")
 
 
-def _parse(responses: DataFrame, schema, key: str | None) -> DataFrame:
+def _parse(responses: DataFrame, schema, key: str | None, unread: Observation | None = None) -> DataFrame:
     """Replace the body by its parsed list; an unreadable body aborts the job, in the same
-    pass that reads it and so before anything is written."""
+    pass that reads it and so before anything is written. With ``unread`` such bodies give no
+    records and are observed instead: their number and the first of them in text order."""
     frame = responses.withColumn(_PARSED, _roots(F.col("body"), schema))
     root = F.get(F.col(_PARSED), F.lit(0))
-    message = F.concat(F.lit("unreadable response: "), F.left("body", F.lit(200)))
     ok = _readable(F.col("body"), F.col(_PARSED), key)
+    if unread is not None:
+        frame = frame.withColumn("_ok", ok).observe(
+            unread, F.count_if(~F.col("_ok")).alias("n"), F.min(F.when(~F.col("_ok"), F.left("body", F.lit(200)))).alias("example"))
+        return frame.withColumn(_PARSED, F.when(F.col("_ok"), root[key] if key else root)).drop("_ok")
+    message = F.concat(F.lit("unreadable response: "), F.left("body", F.lit(200)))
     return frame.withColumn(_PARSED, F.when(ok, root[key] if key else root).otherwise(F.raise_error(message)))
 
 
@@ -132,15 +137,15 @@ def listed_accounts(pages: DataFrame) -> DataFrame:
     return listed_ids(pages, "ad_account_id")
 
 
-def listed_items(pages: DataFrame) -> DataFrame:
+def listed_items(pages: DataFrame, unread: Observation | None = None) -> DataFrame:
     """Whole listed objects as JSON text, nested values included."""
-    frame = _parse(pages, "items array<string>", "items")
+    frame = _parse(pages, "items array<string>", "items", unread)
     return _listed(frame, _context(pages), ITEM_POS, ITEM)
 
 
-def entity_records(pages: DataFrame, spec: TableSpec) -> DataFrame:
+def entity_records(pages: DataFrame, spec: TableSpec, unread: Observation | None = None) -> DataFrame:
     """Listed objects with the payload keys of ``spec`` read once into a struct of texts."""
-    return listed_items(pages).withColumn(RAW, F.from_json(ITEM, spec.payload_schema))
+    return listed_items(pages, unread).withColumn(RAW, F.from_json(ITEM, spec.payload_schema))
 
 
 # --- reports -------------------------------------------------------------------------
@@ -163,20 +168,20 @@ def _exploded(frame: DataFrame, context: list[str], record: Column, *extra: Colu
     return rows.select(*context, *extra, record.alias(RAW), flag.alias(HAS_DATE))
 
 
-def report_records(responses: DataFrame, spec: TableSpec) -> DataFrame:
+def report_records(responses: DataFrame, spec: TableSpec, unread: Observation | None = None) -> DataFrame:
     """Records of a report: one per entity and day."""
     fields = T.ArrayType(spec.payload_schema)
-    frame = _parse(responses, fields, None)
+    frame = _parse(responses, fields, None, unread)
     missing = F.exists(_PARSED, lambda r: r[DATE_KEY].isNull())
     flags = _present_dates(F.col("body"), missing, "array<map<string,string>>", lambda m: m)
     return _exploded(frame.withColumn(_FLAGS, flags), _context(responses), F.col("_rec"))
 
 
-def breakdown_records(responses: DataFrame, spec: TableSpec) -> DataFrame:
+def breakdown_records(responses: DataFrame, spec: TableSpec, unread: Observation | None = None) -> DataFrame:
     """Records of a breakdown: one per entity, day and breakdown value."""
     metrics = spec.payload_schema
     row = T.StructType().add(VALUE, "string").add("metrics", metrics)
-    frame = _parse(responses, T.StructType().add("data", T.ArrayType(row)), "data")
+    frame = _parse(responses, T.StructType().add("data", T.ArrayType(row)), "data", unread)
     missing = F.exists(_PARSED, lambda r: r["metrics"][DATE_KEY].isNull())
     flags = _present_dates(
         F.col("body"), missing, "data array<struct<metrics:map<string,string>>>",
