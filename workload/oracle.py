@@ -123,6 +123,13 @@ _REQUESTED = ("AD_ID,AD_GROUP_ID,CAMPAIGN_ID,AD_ACCOUNT_ID,SPEND_IN_DOLLAR,TOTAL
               "ECPC_IN_DOLLAR,CPM_IN_DOLLAR,CTR,TOTAL_VIDEO_P0_COMBINED,TOTAL_VIDEO_P25_COMBINED,"
               "TOTAL_VIDEO_P50_COMBINED,TOTAL_VIDEO_P75_COMBINED,TOTAL_VIDEO_P100_COMPLETE")
 
+_REPLACED = f"""with {_SUPPLIER}, g as (with {_GROUPS} select ad_group_id from entity),
+a as (with {_ADS} select {_AD_ID} as ad_id from entity)
+select 'campaign_dim' as table_name, campaign_id as entity_id,
+  (select count(*) from supplier_dim) as rows_written from supplier_dim
+union all select 'ad_group_dim', ad_group_id, (select count(*) from g) from g
+union all select 'ad_dim', ad_id, (select count(*) from a) from a"""
+
 ORACLE = {
     "ad_performance": f"{_WITH} {_fact(_AD)}",
     "ad_group_performance": f"""{_WITH}
@@ -249,12 +256,7 @@ select campaign_id, ad_account_id, name from supplier_dim where status = 'ACTIVE
     "scoped_replace": f"""with {_SUPPLIER}
 select campaign_id, ad_account_id, name from supplier_dim
 where status = 'ACTIVE' or ad_account_id not in ('3', '7')""",
-    "staged_multi_replace": f"""with {_SUPPLIER}, g as (with {_GROUPS} select ad_group_id from entity),
-a as (with {_ADS} select {_AD_ID} as ad_id from entity)
-select 'campaign_dim' as table_name, campaign_id as entity_id,
-  (select count(*) from supplier_dim) as rows_written from supplier_dim
-union all select 'ad_group_dim', ad_group_id, (select count(*) from g) from g
-union all select 'ad_dim', ad_id, (select count(*) from a) from a""",
+    "staged_multi_replace": _REPLACED,
     "spend_per_ad_day": f"""{_WITH}
 select ad_account_id, ad_id, stat_date, cast(sum(amt) as double) as spend, cast(count(*) as bigint) as clicks
 from ads_base group by ad_account_id, ad_id, stat_date""",
@@ -351,4 +353,60 @@ select cast(sum(case when stat_date >= date '2000-06-22' - 1000 then 1 else 0 en
   min(case when stat_date >= date '2000-06-22' - 1000 then stat_date end) as first_day,
   cast(sum(case when stat_date < date '2000-06-22' - 1000 then 1 else 0 end) as bigint) as late
 from campaign_perf""",
+    "listing_ids": f"with {_PLACED} select ad_account_id, ad_id, listing_pos from placed",
+    "sliced_requests": f"""with {_PLACED}, batches as ({_batches(250)}),
+sized as (select *, cast(greatest(1, floor(50000.0 / (n_ids * 25))) as integer) as days from batches),
+slices as (select *, unnest(range(0, 1826, days)) as first_day from sized)
+select ad_account_id, batch_no, ids,
+  cast(cast(date '1995-01-01' + cast(first_day as integer) as date) as varchar) as start_date,
+  cast(cast(least(date '1995-01-01' + cast(first_day + days - 1 as integer), date '1999-12-31') as date) as varchar) as end_date
+from slices""",
+    "resumed_fetch": f"""with {_ADS}, listed as (
+  select ad_account_id, campaign_id, p.page_no, string_agg({_AD_ID}, ',' order by {_AD_ID}) as ids
+  from entity right join (select distinct ad_account_id as a, campaign_id as c, unnest(range(0, 4)) as page_no from entity) p
+    on ad_account_id = p.a and campaign_id = p.c and cast(floor(part / 6.0) as bigint) = p.page_no
+  group by p.a, p.c, ad_account_id, campaign_id, p.page_no)
+select ad_account_id, campaign_id, page_no, case when cast(campaign_id as bigint) % 2 = 0 then 1 else 2 end as asked_by_run,
+  md5(coalesce(ids, '')) as ids from listed""",
+    "upsert_finished": _upserted(),
+    "upsert_finished_catalog": _upserted(),
+    "replace_finished": _REPLACED,
+    "refused_run": f"""with {_BAD_ORDERS}, kept as (select cast(count(*) as bigint) as n from judged where problems = ''),
+found as (
+  select 'ad_id missing' as problem, cast(count(*) as bigint) as n, cast(null as varchar) as example from judged where raw_ad_id is null
+  union all select 'stat_date missing', count(*), null from judged where stat_date is null
+  union all select 'impressions unreadable', count(*), min(raw_impressions) from judged where raw_impressions = 'n/a'
+  union all select 'unreadable response', count(*), null from pages where try_cast(html as json) is null)
+select problem, found.n, example, kept.n as rows_kept, kept.n as rows_before from found, kept where found.n > 0""",
+    "run_stamps": f"""{_WITH}, {_CAMPAIGN_PERF}
+select campaign_id, cast(epoch(timestamp '2024-01-02 03:04:05') as bigint) as stamp, cast(count(*) as bigint) as n
+from campaign_perf group by campaign_id""",
+    "fact_with_names": f"""{_WITH}, {_AD_PERF}, ads as (
+  with {_ADS} select ad_account_id as account, {_AD_ID} as id, case when n > 30 then 'ACTIVE' end as ad_status from entity)
+select ad_account_id, ad_id, stat_date, 'Group ' || ad_group_id as ad_group_name, 'Ad "' || ad_id || '" é' as ad_name,
+  ad_status, clicks from ad_perf left join ads on account = ad_account_id and id = ad_id""",
+    "gender_age_reconcile": f"""{_WITH}, {_AD_PERF}
+select ad_account_id, 'both' as side, cast(count(*) as bigint) as n, cast(0 as bigint) as impressions_rest,
+  cast(0 as double) as spend_rest, b.breakdown
+from ad_perf, (values ('gender'), ('age_bucket')) b(breakdown) group by ad_account_id, b.breakdown""",
+    "json_list_rows": f"""with {_ADS}
+select {_AD_ID} as ad_id, cast(0 as bigint) as pos, max_part as product, 'x' as kind, cast(null as varchar) as absent from entity""",
+    "json_shapes": f"""with {_GROUPS}
+select 'promotion_ids_json' as column, 'ARRAY<BIGINT>' as shape, cast(count(*) as bigint) as n from entity
+union all select 'targeting_spec_json', 'OBJECT<b: OBJECT<z: BIGINT>, geo: ARRAY<STRING>>', count(*) from entity
+union all select 'dca_assets_json', case when count(*) > 0 then 'STRING' end, count(*) from entity where part % 2 = 1
+union all select 'ext_features_json', null, 0""",
+    "json_changed_shapes": f"""with {_GROUPS}
+select 'promotion_ids_json' as column, 'ARRAY<BIGINT>' as before, 'ARRAY<STRING>' as after from entity having count(*) > 0
+union all select 'dca_assets_json', 'STRING', null from entity where part % 2 = 1 having count(*) > 0""",
+    "json_structs": f"""with {_GROUPS} select ad_group_id, campaign_id as geo, n as z from entity""",
+    "stream_quarantine": f"""with {_BAD_ORDERS}
+select ad_account_id, raw_ad_id, raw_impressions, spend, problems from judged where problems <> ''""",
+    "stream_ledger": f"""with {_BAD_ORDERS},
+g as (select cast(count(*) as bigint) as n from judged where problems = '' and stat_date >= date '1998-01-01'),
+l as (select cast(count(*) as bigint) as n from judged where problems = '' and stat_date < date '1998-01-01'),
+b as (select cast(count(*) as bigint) as n from judged where problems <> ''),
+u as (select cast(count(*) as bigint) as n from pages where try_cast(html as json) is null)
+select 0 as batch_id, g.n as rows, l.n as late, b.n as bad, 0 as unreadable, g.n as held from g, l, b
+union all select 1, 0, 0, 0, u.n, g.n from g, u""",
 }

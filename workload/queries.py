@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlake import specs
-from adlake.functions import lists, values
+from adlake.functions import lists, values, variants
 from adlake.functions.dates import in_window, window_columns, window_of
 from adlake.operators import batching, checks, flatten, reports, tables
 from adlake.operators.accounts import resolve_accounts
@@ -25,8 +25,11 @@ from adlake.operators.tables import Target
 from adlake.plans import pulls
 from adlake.session import run_dir
 from adlake.sources import landed
+from adlake.sources.landing import land
 from adlake.sources.paged import RetryPolicy, fetch_pages
-from adlake.streaming.revisions import LANDED_SCHEMA, PULL, StreamReport, stream_revisions
+from adlake.streaming.revisions import (
+    LANDED_SCHEMA, PULL, Sidings, StreamReport, divert_batch, stream_revisions,
+)
 from workload import responses as R
 
 RUN_TS = dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=dt.timezone.utc)
@@ -124,6 +127,34 @@ def unreadable_bodies(spark, sf):
         readable.select("response", F.lit("readable").alias("verdict")))
 
 
+def refused_run(spark, sf):
+    """What a run is told whose responses are bad: web pages among reports of uneven quality.
+    The table keeps the rows of the run before."""
+    target = Target(path=run_dir(spark, "ad-performance"))
+    good, _ = _order_rows(spark, sf)
+    before = tables.upsert(good, target, specs.AD_FACT, check_duplicates=False).rows
+    pages = R.table(spark, sf, "pages").select(
+        F.col("page_id").cast("string").alias("ad_account_id"), F.lit(R.FIRST_DAY).alias("start_date"), F.col("html").alias("body"))
+    problems = checks.Problems(specs.AD_FACT)
+    rows = pulls.watched_fact_rows(R.order_report(spark, sf).unionByName(pages), specs.AD_FACT, RUN_TS, problems)
+    try:
+        tables.upsert(rows, target, specs.AD_FACT, accept=problems.refuse)
+        found = []
+    except checks.BadRows as refused:
+        found = refused.problems
+    kept = target.read(spark, specs.AD_FACT).agg(F.count(F.lit(1)).alias("rows_kept"))
+    report = spark.createDataFrame([(p, n, e) for p, n, e in found], "problem string, n bigint, example string")
+    return report.where("problem != 'unreadable response'").unionByName(
+        report.where("problem = 'unreadable response'").withColumn("example", F.lit(None).cast("string"))) \
+        .join(kept).withColumn("rows_before", F.lit(before).cast("bigint"))
+
+
+def run_stamps(spark, sf):
+    """The run's stamp in every row of a table, as Unix seconds."""
+    return campaign_facts(spark, sf).groupBy("campaign_id", F.unix_seconds("ingested_at").alias("stamp")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 # --- dimensions and reference --------------------------------------------------------
 
 
@@ -188,26 +219,43 @@ def entity_files(spark, sf):
     )
 
 
-def _ad_ids(spark, sf):
-    return landed.listed_ids(R.ad_pages(spark, sf), "ad_id")
+def _ad_listing(spark, sf):
+    return landed.listed_pages(R.ad_pages(spark, sf))
 
 
 def listing_positions(spark, sf):
-    placed = batching.listing_position(_ad_ids(spark, sf))
-    return placed.select("ad_account_id", "ad_id", "listing_pos")
+    return batching.page_positions(_ad_listing(spark, sf), "ad_id")
 
 
 def request_batches(spark, sf):
-    return batching.request_batches(_ad_ids(spark, sf), "ad_id", specs.AD_FACT.batch_size)
+    return batching.page_batches(_ad_listing(spark, sf), specs.AD_FACT.batch_size)
 
 
 def report_requests(spark, sf):
     """The complete work list of a market breakdown run."""
     spec = specs.AD_MARKET_FACT
-    batches = batching.request_batches(_ad_ids(spark, sf), "ad_id", spec.batch_size)
+    batches = batching.page_batches(_ad_listing(spark, sf), spec.batch_size)
     return batching.report_requests(batches, spec, *window_of(spark, WINDOW_RUN))
 
 
+BACKFILL = ("1995-01-01", "1999-12-31")
+MAX_RECORDS, MARKETS = 50_000, 25
+
+
+def sliced_requests(spark, sf):
+    """The work list of a five-year backfill, cut so that a response stays near MAX_RECORDS."""
+    spec = specs.AD_MARKET_FACT
+    batches = batching.page_batches(_ad_listing(spark, sf), spec.batch_size)
+    requests = batching.report_requests(batches, spec, *BACKFILL, max_records=MAX_RECORDS, values=MARKETS)
+    return requests.select("ad_account_id", "batch_no", "start_date", "end_date", "ids")
+
+
+def listing_ids(spark, sf):
+    """Ids numbered within their listing, one row per id from the start."""
+    ids = landed.listed_ids(R.ad_pages(spark, sf), "ad_id")
+    return batching.listing_position(ids).select("ad_account_id", "ad_id", "listing_pos")
+
+
 def accounts_with_entities(spark, sf):
     """Customers as accounts and their orders as entities: a customer without orders gets
     no request."""
@@ -217,8 +265,8 @@ def accounts_with_entities(spark, sf):
     pages = R.listing_pages(orders, "o", F.floor(F.col("o") / R.PAGE_KEYS))
     accounts = R.table(spark, sf, "customer").select(
         F.col("c_custkey").cast("string").alias("ad_account_id"))
-    ids = landed.listed_ids(pages).join(accounts, "ad_account_id", "left_semi")
-    batches = batching.request_batches(ids, "id", specs.CAMPAIGN_FACT.batch_size)
+    known = landed.listed_pages(pages).join(accounts, "ad_account_id", "left_semi")
+    batches = batching.page_batches(known, specs.CAMPAIGN_FACT.batch_size)
     return batches.groupBy("ad_account_id").agg(F.sum("n_ids").alias("n_ids"))
 
 
@@ -238,9 +286,8 @@ class PagedListing:
         return 200, {}, request["pages"][int(request.get("bookmark", 0))]
 
 
-def paged_fetch(spark, sf):
-    """Ads of each campaign requested page by page, with retries, on the executors."""
-    _ship(spark)
+def _paged_worklist(spark, sf) -> DataFrame:
+    """One request per campaign, with the pages that its answers will be."""
     ads = R.entities(spark, sf, "ad_id").withColumn("page", F.floor(F.col("part") / 6))
     last = F.floor(F.lit(19) / 6)
     ids = F.concat_ws(",", F.expr("transform(sort_array(collect_list(ad_id)),"
@@ -254,14 +301,44 @@ def paged_fetch(spark, sf):
             F.lit('{"items":['), F.coalesce(F.element_at("by_page", p), F.lit("")), F.lit("]"),
             F.when(p < last, F.concat(F.lit(',"bookmark":"'), (p + 1).cast("string"), F.lit('"')))
             .otherwise(F.lit(',"bookmark":null')), F.lit("}")))
-    worklist = everyone.select("ad_account_id", "campaign_id", bodies.alias("pages"))
+    return everyone.select("ad_account_id", "campaign_id", bodies.alias("pages"))
+
+
+def paged_fetch(spark, sf):
+    """Ads of each campaign requested page by page, with retries, on the executors."""
+    _ship(spark)
     policy = RetryPolicy(first_wait=0)
-    fetched = fetch_pages(worklist, PagedListing(), concurrency=8, policy=policy).drop("pages")
+    fetched = fetch_pages(_paged_worklist(spark, sf), PagedListing(), concurrency=8, policy=policy).drop("pages")
     listed = landed.listed_ids(fetched, "ad_id")
     return listed.select("ad_account_id", "campaign_id", "page_no",
                          F.col("item_pos").cast("bigint").alias("item_pos"), "ad_id")
 
 
+class NumberedRun(PagedListing):
+    """The same answers, each naming the run that asked."""
+
+    def __init__(self, run: int):
+        super().__init__()
+        self.run = run
+
+    def __call__(self, request: dict):
+        status, headers, body = super().__call__(request)
+        return status, headers, body.replace("{", f'{{"run":{self.run},', 1) if status == 200 else body
+
+
+def resumed_fetch(spark, sf):
+    """A run that ends after the even campaigns, and a second one over all of them into the
+    same folder: which run asked for each page."""
+    _ship(spark)
+    worklist, folder, policy = _paged_worklist(spark, sf), run_dir(spark, "landing"), RetryPolicy(first_wait=0)
+    land(worklist.where("campaign_id % 2 = 0"), NumberedRun(1), folder, policy=policy)
+    pages = land(worklist, NumberedRun(2), folder, policy=policy)
+    return pages.select("ad_account_id", "campaign_id", "page_no",
+                        values.json_typed(F.col("body"), "$.run", "bigint").alias("asked_by_run"),
+                        F.md5(F.concat_ws(",", values.json_struct(F.col("body"), "items array<struct<id:string>>")["items"]["id"]))
+                        .alias("ids"))
+
+
 @functools.cache
 def _package_zip() -> str:
     root = Path(__file__).resolve().parent.parent
@@ -289,16 +366,23 @@ def _revision(rows: DataFrame) -> DataFrame:
         "leads", F.lit(None).cast("bigint"))
 
 
-def _upserted(spark, sf, target: Target):
+def _upserted(spark, sf, target: Target, second=tables.upsert):
     """The whole history loaded, then the window revised."""
     landed_rows = run_dir(spark, "facts")
     ad_facts(spark, sf).write.parquet(landed_rows)
     rows = spark.read.parquet(landed_rows)
-    tables.upsert(rows, target, specs.AD_FACT, durable=False)
-    tables.upsert(_revision(rows), target, specs.AD_FACT)
+    tables.upsert(rows, target, specs.AD_FACT)
+    second(_revision(rows), target, specs.AD_FACT)
     return target.read(spark, specs.AD_FACT)
 
 
+def _dies_and_is_finished(rows: DataFrame, target: Target, spec) -> None:
+    """An upsert whose run ends when its days are written, and the next run's finish."""
+    tables.stage_upsert(rows, target, spec)
+    if tables.finish_upserts(rows.sparkSession, target) != 1:
+        raise ValueError("nothing was left to finish")
+
+
 def merge_upsert(spark, sf):
     return comparable(_upserted(spark, sf, Target(path=run_dir(spark, "ad-performance"))))
 
@@ -313,26 +397,34 @@ def merge_upsert_catalog(spark, sf):
     return comparable(_upserted(spark, sf, _fresh_table(spark, "ad_performance")))
 
 
-@functools.cache
-def _history(application: str, sf: str) -> Target:
-    """The whole ad history as a day-partitioned table, loaded once per application for the
-    queries that leave it as it is."""
-    spark = SparkSession.active()
+def upsert_finished(spark, sf):
+    """A revision cut off before its switch, finished by the next run."""
+    target = Target(path=run_dir(spark, "ad-performance"))
+    return comparable(_upserted(spark, sf, target, _dies_and_is_finished))
+
+
+def upsert_finished_catalog(spark, sf):
+    """The same where partitions are pointed at their new folders."""
+    return comparable(_upserted(spark, sf, _fresh_table(spark, "ad_performance"), _dies_and_is_finished))
+
+
+def _history(spark, sf: str) -> Target:
+    """The whole ad history as a day-partitioned table."""
     target = Target(path=run_dir(spark, "ad-history"))
-    tables.upsert(ad_facts(spark, sf), target, specs.AD_FACT, durable=False)
+    tables.upsert(ad_facts(spark, sf), target, specs.AD_FACT)
     return target
 
 
 def lookback_window(spark, sf):
     """The default window of a run, read from the day-partitioned table."""
-    rows = _history(spark.sparkContext.applicationId, sf).read(spark, specs.AD_FACT)
+    rows = _history(spark, sf).read(spark, specs.AD_FACT)
     window = in_window(F.col("stat_date"), *window_of(spark, WINDOW_RUN))
     return rows.filter(window).select("ad_account_id", "ad_id", "stat_date", "spend")
 
 
 def empty_pull(spark, sf):
     """A pull without rows leaves the table untouched."""
-    target = _history(spark.sparkContext.applicationId, sf)
+    target = _history(spark, sf)
     report = tables.upsert(ad_facts(spark, sf).filter(F.col("spend") < 0), target, specs.AD_FACT)
     return target.read(spark, specs.AD_FACT).groupBy("campaign_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.lit(report.rows).cast("bigint").alias("written"))
@@ -391,15 +483,13 @@ def scoped_replace(spark, sf):
     return target.read(spark, specs.CAMPAIGN_DIM).select("campaign_id", "ad_account_id", "name")
 
 
-def staged_multi_replace(spark, sf):
-    """Three dimension tables staged together, then switched; rows and ids of each."""
+def _dimension_parts(spark, sf, targets):
     pages = {"campaigns": R.campaign_pages, "ad_groups": R.ad_group_pages, "ads": R.ad_pages}
-    parts = [
-        (pulls.dimension_rows(pages[spec.endpoint](spark, sf), spec, RUN_TS),
-         Target(path=run_dir(spark, spec.name)), spec)
-        for spec in specs.DIMENSIONS
-    ]
-    written = tables.replace_all(parts)
+    return [(pulls.dimension_rows(pages[spec.endpoint](spark, sf), spec, RUN_TS), target, spec)
+            for spec, target in zip(specs.DIMENSIONS, targets, strict=True)]
+
+
+def _entities_written(spark, parts, written):
     found = [
         target.read(spark, spec).select(
             F.lit(spec.name).alias("table_name"), F.col(spec.key[0]).alias("entity_id"),
@@ -409,6 +499,21 @@ def staged_multi_replace(spark, sf):
     return functools.reduce(DataFrame.unionByName, found)
 
 
+def staged_multi_replace(spark, sf):
+    """Three dimension tables staged together, then switched; rows and ids of each."""
+    parts = _dimension_parts(spark, sf, [Target(path=run_dir(spark, spec.name)) for spec in specs.DIMENSIONS])
+    return _entities_written(spark, parts, tables.replace_all(parts))
+
+
+def replace_finished(spark, sf):
+    """Three tables staged by a run that ends there, and switched by the next one, which knows
+    its name; one is a folder, two are in the catalog."""
+    parts = _dimension_parts(spark, sf, [Target(path=run_dir(spark, "campaign-dim")), _fresh_table(spark, "ad_group_dim"),
+                                         _fresh_table(spark, "ad_dim")])
+    name = tables.stage_replace(parts)
+    return _entities_written(spark, parts, tables.finish_replace(spark, name))
+
+
 # --- reports -------------------------------------------------------------------------
 
 
@@ -431,6 +536,28 @@ def fact_with_campaign(spark, sf):
                          "objective", "impressions")
 
 
+def fact_with_names(spark, sf):
+    """Ad facts beside the names of their ad and ad group."""
+    groups = pulls.dimension_rows(R.ad_group_pages(spark, sf), specs.AD_GROUP_DIM, RUN_TS)
+    ads = pulls.dimension_rows(R.ad_pages(spark, sf), specs.AD_DIM, RUN_TS)
+    named = reports.with_entity(ad_facts(spark, sf), groups, "ad_group_id", {"name": "ad_group_name"})
+    named = reports.with_entity(named, ads, "ad_id", {"name": "ad_name", "status": "ad_status"})
+    return named.select("ad_account_id", "ad_id", "stat_date", "ad_group_name", "ad_name", "ad_status", "clicks")
+
+
+def gender_age_reconcile(spark, sf):
+    """Two breakdowns of the same traffic, each against its whole: what is left is 0."""
+    keys, metrics = ["ad_account_id", "ad_id", "stat_date"], ["impressions", "spend"]
+    whole = ad_facts(spark, sf)
+    found = [
+        reports.reconcile(whole, breakdown_facts(spark, sf, spec, column), keys, metrics)
+        .groupBy("ad_account_id", "side").agg(F.count(F.lit(1)).alias("n"), F.sum("impressions_rest").alias("impressions_rest"),
+                                              F.sum("spend_rest").alias("spend_rest"))
+        .withColumn("breakdown", F.lit(column))
+        for spec, column in ((specs.AD_GENDER_FACT, "gender"), (specs.AD_AGE_FACT, "age_bucket"))]
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 def breakdown_reconcile(spark, sf):
     return reports.reconcile(ad_facts(spark, sf), market_facts(spark, sf),
                              ["ad_account_id", "ad_id", "stat_date"], ["impressions", "spend"])
@@ -496,6 +623,40 @@ def json_access(spark, sf):
         values.json_field(props, "$.absent").alias("absent"))
 
 
+def _group_rows(spark, sf):
+    return pulls.dimension_rows(R.ad_group_pages(spark, sf), specs.AD_GROUP_DIM, RUN_TS)
+
+
+def json_list_rows(spark, sf):
+    """Elements of a JSON list column as rows."""
+    ads = pulls.dimension_rows(R.ad_pages(spark, sf), specs.AD_DIM, RUN_TS)
+    return variants.element_rows(ads, "carting_products_json", ["ad_id"],
+                                 {"product": ("$.b", "bigint"), "kind": ("$.a", "string"), "absent": ("$.c", "string")})
+
+
+JSON_COLUMNS = ["promotion_ids_json", "targeting_spec_json", "dca_assets_json", "ext_features_json"]
+
+
+def json_shapes(spark, sf):
+    """What the JSON columns of a table hold."""
+    return variants.shapes(_group_rows(spark, sf), JSON_COLUMNS)
+
+
+def json_changed_shapes(spark, sf):
+    """Columns whose shape differs between two pulls: the second one has its promotions as text
+    and no assets any more."""
+    before = _group_rows(spark, sf)
+    after = before.withColumn("promotion_ids_json", F.regexp_replace("promotion_ids_json", r"(\d+)", '"$1"')).withColumn(
+        "dca_assets_json", F.lit(None).cast("string"))
+    return variants.changed_shapes(before, after, JSON_COLUMNS)
+
+
+def json_structs(spark, sf):
+    """A JSON column read with a schema of the caller's choice."""
+    spec = values.json_struct(F.col("targeting_spec_json"), "geo array<string>, b struct<z: bigint>")
+    return _group_rows(spark, sf).select("ad_group_id", F.element_at(spec["geo"], 1).alias("geo"), spec["b"]["z"].alias("z"))
+
+
 def unix_times(spark, sf):
     """Seconds as they arrive, to a timestamp, and back."""
     seconds = R.unix("ts")
@@ -568,6 +729,33 @@ def stream_late_rows(spark, sf):
         F.lit(report.late).cast("bigint").alias("late"))
 
 
+def _diverted(spark, sf):
+    """Order reports and web pages as two batches of a stream, the first one replayed."""
+    target, sidings = Target(path=run_dir(spark, "ad-performance")), Sidings(run_dir(spark, "sidings"))
+    pull = F.lit(1).cast("bigint").alias(PULL)
+    reports_ = R.order_report(spark, sf).select("ad_account_id", "start_date", pull, "body")
+    pages = R.table(spark, sf, "pages").select(
+        F.col("page_id").cast("string").alias("ad_account_id"), F.lit(R.FIRST_DAY).alias("start_date"), pull, F.col("html").alias("body"))
+    for number, batch in ((0, reports_), (1, pages), (0, reports_)):
+        divert_batch(batch, number, target, specs.AD_FACT, sidings, first_day="1998-01-01", run_ts=RUN_TS)
+    return target, sidings
+
+
+def stream_quarantine(spark, sf):
+    """Bad rows of a stream, set aside with what is wrong with them; each once."""
+    _, sidings = _diverted(spark, sf)
+    return sidings.bad_rows(spark, specs.AD_FACT).select(
+        "ad_account_id", F.col("raw.AD_ID").alias("raw_ad_id"),
+        F.col("raw.TOTAL_IMPRESSION").alias("raw_impressions"), "spend", checks.PROBLEMS)
+
+
+def stream_ledger(spark, sf):
+    """The account of a stream's batches, and the rows its table has."""
+    target, sidings = _diverted(spark, sf)
+    held = target.read(spark, specs.AD_FACT).agg(F.count(F.lit(1)).alias("held"))
+    return sidings.ledger(spark).select("batch_id", "rows", "late", "bad", "unreadable").join(held)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -582,6 +770,8 @@ QUERIES = {
         market_named, fact_with_campaign, breakdown_reconcile, level_reconcile,
         stacked_breakdown, rollup_ratios, market_crosswalk, crosswalk_problems, run_counts,
         json_access, unix_times, number_casts, csv_lists, date_windows, stream_upsert,
-        stream_late_rows,
+        stream_late_rows, resumed_fetch, sliced_requests, listing_ids, upsert_finished, upsert_finished_catalog,
+        replace_finished, refused_run, run_stamps, fact_with_names, gender_age_reconcile, json_list_rows, json_shapes,
+        json_changed_shapes, json_structs, stream_quarantine, stream_ledger,
     )
 }
