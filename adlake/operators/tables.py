@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 
 from adlake.operators.checks import BadRows, duplicate_keys
 from adlake.session import (
-    children, discard, exists, is_complete, read_text, remove, rename, run_dir, write_text,
+    children, discard, exists, is_complete, read_text, remove, rename, rename_all, run_dir, write_text,
 )
 from adlake.specs import TableSpec
 
@@ -263,12 +263,14 @@ def _days(spark: SparkSession, folder: str) -> list[str]:
 
 def _switch_renamed(spark: SparkSession, work: str, target: Target) -> None:
     """Move each day of ``work`` into the table's folder. What is still in ``work`` is to do:
-    a day whose old folder is away already is only moved in."""
-    for day in _days(spark, work):
-        live = f"{target.path}/{day}"
-        if exists(spark, live):
-            rename(spark, live, f"{work}/{_REPLACED}/{day}")
-        rename(spark, f"{work}/{day}", live)
+    a day whose old folder is away already is only moved in. Days that the table does not
+    have yet go in together; a day that it has is missing only between its two renames."""
+    staged, live = _days(spark, work), set(_days(spark, target.path))
+    rename_all(spark, [(f"{work}/{day}", f"{target.path}/{day}") for day in staged if day not in live])
+    for day in staged:
+        if day in live:
+            rename(spark, f"{target.path}/{day}", f"{work}/{_REPLACED}/{day}")
+            rename(spark, f"{work}/{day}", f"{target.path}/{day}")
     remove(spark, work)
 
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
 _LOCAL_BASE: dict[str, str] = {}
+CALLS = 16  # of the file system at once
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,10 +36,17 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/adlake/{label}-{uuid.uuid4().hex}"
 
 
+_SETTINGS: dict[str, object] = {}
+
+
 def _file_system(spark: SparkSession, path: str):
-    """The Hadoop file system of a path, and the path as it knows it."""
+    """The Hadoop file system of a path, and the path as it knows it. The settings are read
+    once per application: a copy for each of many small calls would be most of their time."""
+    app = spark.sparkContext.applicationId
+    if app not in _SETTINGS:
+        _SETTINGS[app] = spark._jsparkSession.sessionState().newHadoopConf()
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+    return where.getFileSystem(_SETTINGS[app]), where
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -51,18 +60,39 @@ def is_complete(spark: SparkSession, path: str) -> bool:
 
 
 def children(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder, in order; none if there is no folder."""
+    """Names in a folder, in order; none if there is no folder. They come over as one text, as
+    a call for each of thousands of days would take seconds; no name may hold a comma."""
     files, where = _file_system(spark, path)
-    return sorted(s.getPath().getName() for s in files.listStatus(where)) if files.exists(where) else []
+    if not files.exists(where):
+        return []
+    found = spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(files.listStatus(where))
+    text = spark._jvm.scala.runtime.ScalaRunTime.stringOf(found)  # Array(a, b)
+    return sorted(one.rsplit("/", 1)[-1] for one in text[len("Array("):-1].split(", ") if one)
 
 
 def rename(spark: SparkSession, old: str, new: str) -> None:
     """Rename a file or folder within its file system; the new name must be free."""
-    files, where = _file_system(spark, old)
-    to = spark._jvm.org.apache.hadoop.fs.Path(new)
-    files.mkdirs(to.getParent())
-    if files.exists(to) or not files.rename(where, to):
-        raise OSError(f"cannot rename {old} to {new}")
+    if exists(spark, new):
+        raise OSError(f"cannot rename {old}: {new} is there")
+    rename_all(spark, [(old, new)])
+
+
+def rename_all(spark: SparkSession, pairs: list[tuple[str, str]]) -> None:
+    """Rename several, some at a time; whoever calls has made sure that the new names are free,
+    as a folder renamed onto another one would become its child."""
+    if not pairs:
+        return
+    files, _ = _file_system(spark, pairs[0][0])
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for parent in {new.rsplit("/", 1)[0] for _, new in pairs}:
+        files.mkdirs(path(parent))
+
+    def one(pair):
+        if not files.rename(path(pair[0]), path(pair[1])):
+            raise OSError(f"cannot rename {pair[0]} to {pair[1]}")
+
+    with ThreadPoolExecutor(CALLS) as pool:
+        list(pool.map(one, pairs))
 
 
 def remove(spark: SparkSession, path: str) -> None:
