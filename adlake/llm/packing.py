@@ -36,7 +36,8 @@ from adlake.llm.common import in_batches, written
 WINDOW = 4096
 END = 2
 MAX_QUEUES = 1024
-KEPT_WORDS = 250_000  # word encodings that a worker remembers; only for speed
+KEPT_WORDS = 125_000  # word encodings that a worker remembers; only for speed
+KEPT_STEMS = 500_000  # and encodings of letters alone, twice as many at most
 LONG_WORD = 64  # not remembered
 BATCH_TOKENS = 1 << 20  # of rows that are cut at once
 ROUNDS = 4096  # looked at together
@@ -65,19 +66,36 @@ class Encoder(dict):
         self.model = self.tokenizer.model
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.marks: dict[str, bytes] = {"": b""}
+        self.stems: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.letters = _byte_letters() if _parts_letters(self.tokenizer) else None
 
     def _ids(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _stem(self, letters: str) -> bytes:
+        """Ids of lower-cased letters. They are remembered apart from the words that hold them:
+        the same letters stand with many marks and in either case. When the memory is full it
+        becomes the older half, from which what is still used is taken over."""
+        ids = self.stems.get(letters)
+        if ids is None:
+            ids = self.older.pop(letters, None)
+            if ids is None:
+                plain = letters.translate(self.letters)
+                ids = array(self.code, [t.id for t in self.model.tokenize(plain)]).tobytes()
+            if len(letters) <= LONG_WORD:
+                if len(self.stems) >= KEPT_STEMS:
+                    self.older, self.stems = self.stems, {}
+                self.stems[letters] = ids
+        return ids
+
     def __missing__(self, word: str) -> bytes:
         m = _LETTERS_AND_MARKS.fullmatch(word) if self.letters else None
         if m:
             letters, marks = m.groups()
             if marks not in self.marks:
                 self.marks[marks] = self._ids(marks)
-            plain = letters.lower().translate(self.letters)
-            ids = array(self.code, [t.id for t in self.model.tokenize(plain)]).tobytes() + self.marks[marks]
+            ids = self._stem(letters.lower()) + self.marks[marks]
         else:
             ids = self._ids(word)
         if len(word) <= LONG_WORD:
