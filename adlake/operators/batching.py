@@ -99,7 +99,7 @@ def _batches(placed: DataFrame, id_column: str, size: int) -> DataFrame:
 def days_per_request(n_ids: Column, values: int, max_records: int) -> Column:
     """Whole days whose records, one per id, day and breakdown value, stay within
     ``max_records``; at least one day."""
-    return F.greatest(F.lit(1), F.floor(F.lit(max_records) / (n_ids * values))).cast("int")
+    return F.greatest(F.lit(1), F.floor(F.lit(max_records) / (n_ids * values)))
 
 
 def report_requests(batches: DataFrame, spec: TableSpec, start: str, end: str, *,
@@ -113,7 +113,8 @@ def report_requests(batches: DataFrame, spec: TableSpec, start: str, end: str, *
     path = "analytics" if spec.targeting_type is None else "targeting_analytics"
     first, last = F.lit(start), F.lit(end)
     if max_records is not None:
-        days = days_per_request(F.col("n_ids"), values, max_records)
+        window = F.datediff(last.cast("date"), first.cast("date")) + 1
+        days = F.least(days_per_request(F.col("n_ids"), values, max_records), window).cast("int")
         span = F.sequence(first.cast("date"), last.cast("date"), F.make_dt_interval(days))
         batches = batches.where(first.cast("date") <= last.cast("date")).select("*", days.alias("_days"), F.explode(span).alias("_first"))
         first = F.col("_first").cast("string")
