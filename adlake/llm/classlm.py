@@ -3,15 +3,19 @@
 Method
   * Tokens are the lower-cased words of a text and one end. Counts of all words come from all
     training rows and stay distributed.
-  * Bigrams of words are counted over all training rows and stay distributed. Every training
-    word has a class of its own choice; words not met in training fall to one of AFFIXES
-    units by their last bytes, and take that unit's class.
+  * Every training word has a class of its own choice; words not met in training fall to one
+    of AFFIXES units by their last bytes, and take that unit's class.
+  * Bigrams are counted over all training rows, once, with the HEAD most frequent words by name
+    and the others by their affix. Each unit's neighbours lie in one row, which has a bound.
   * A start: the UNITS most frequent words and the affixes are exchanged on the driver, and
     every word takes its unit's class.
-  * Exchange clustering in rounds: how often each word stands before and after each class is
-    summed by joins and grouping, and each word moves to its best class given the table of
-    class bigrams. A round that loses likelihood is taken back and half as many words move.
-    Rounds end when one gains less than MIN_GAIN a token, in natural logarithms.
+  * Exchange clustering in rounds over the head and the affixes: a task looks up the classes
+    around its units, and each unit moves to its best class given the table of class bigrams.
+    Nothing is shuffled but that table. Then rounds over all other words in the same way, each
+    by its own neighbours; one beyond the head counts there with its affix's class.
+  * A round is weighed by the likelihood of all bigrams under the classes that it gives. One
+    that loses is taken back and half as many words move. Rounds end when one gains less than
+    MIN_GAIN a token, in natural logarithms.
   * log10 p(w | v) = log10 p(class w | class v) + log10 p(w | class w). Transitions are
     smoothed by the classes' own frequency, emissions by adding one, with one unknown word
     per class; so the sum over the words after any word is one.
@@ -27,15 +31,15 @@ empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import held_out, in_batches, summed, written
+from adlake.llm.common import PIECE, held_out, in_batches, pieces, sum_pieces, summed, written
 from adlake.session import discard, run_dir
 from adlake.llm.words import Words, chunks, mix, split_words
 
@@ -48,6 +52,9 @@ SMOOTH = 0.5
 MIN_GAIN = 1e-3  # of a round, in natural logarithms a token
 MOVE_WORDS = 1024  # whose moves are weighed together
 OWN = 2 * CLASSES  # place of a word after itself; before it stand the classes after and before a word
+FAR_SLOTS = OWN + 1  # where the classes of neighbours beyond the head begin
+PAIR, NEAR, FAR = range(3)  # kinds of counted bigrams
+RARE = "word long, c long, class int, slots binary, times binary"
 END_HASH = np.uint64(0xE2D0E2D0E2D0E2D1)
 _U = np.uint64
 
@@ -104,35 +111,129 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def word_bigrams(docs: DataFrame, head: np.ndarray) -> DataFrame:
-    """(v, w, vi, wi, n): how often w follows v; the words' places in head, or -1."""
+    """(key, other, n, kind): bigrams of the training rows, in three kinds.
+
+    PAIR: key is unit * units + next unit. NEAR: key is a word beyond the head, other its
+    affix * (2 * units + 1) + a neighbour: the next unit, units + the unit before, or
+    2 * units if the word itself comes next. FAR: two words beyond the head, one after the other.
+    """
+    units = len(head) + AFFIXES
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def flush():
-            word, at = np.unique(np.concatenate([[END_HASH], *held]), return_inverse=True)
-            code, n = np.unique(at[:-1] * len(word) + at[1:], return_counts=True)
-            v, w = np.divmod(code, len(word))
+        def rows(kind, key, other, n):
             return pa.RecordBatch.from_pydict({
-                "v": pa.array(word[v].view(np.int64)), "w": pa.array(word[w].view(np.int64)), "n": pa.array(n)})
+                "key": pa.array(key.view(np.int64)), "other": pa.array(other.view(np.int64)), "n": pa.array(n),
+                "kind": pa.array(np.full(len(key), kind, dtype=np.int32))})
+
+        def flush():
+            word = np.concatenate([[END_HASH], *(h for h, _ in held)])
+            affix = np.concatenate([[0], *(a for _, a in held)])
+            at = place_in(head, word)
+            unit = np.where(at >= 0, at, len(head) + affix)
+            code, n = np.unique(unit[:-1] * units + unit[1:], return_counts=True)
+            yield rows(PAIR, code, np.zeros(len(code), np.int64), n)
+            rare = np.flatnonzero(at < 0)  # the first and the last token are ends
+            if not len(rare):
+                return
+            found, which = np.unique(word[rare], return_inverse=True)
+            itself = word[rare + 1] == word[rare]
+            near = np.concatenate((unit[rare + 1], units + unit[rare - 1], np.full(itself.sum(), 2 * units)))
+            span = AFFIXES * (2 * units + 1)
+            own = np.concatenate((affix[rare], affix[rare], affix[rare[itself]])) * (2 * units + 1)
+            code, n = np.unique(np.concatenate((which, which, which[itself])) * span + own + near, return_counts=True)
+            yield rows(NEAR, found[code // span], code % span, n)
+            far = rare[at[rare + 1] < 0]
+            yield rows(FAR, word[far], word[far + 1], np.ones(len(far), np.int64))
 
         n = 0
         for _, data, at in chunks(batches):
-            held.append(with_ends(split_words(data, at))[0])
-            n += len(held[-1])
+            held.append(with_ends(split_words(data, at))[:2])
+            n += len(held[-1][0])
             if n >= FLUSH_TOKENS:
-                yield flush()
+                yield from flush()
                 held, n = [], 0
         if held:
-            yield flush()
+            yield from flush()
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_pydict({
-                "v": b["v"], "w": b["w"], "vi": pa.array(place_in(head, b["v"].to_numpy().view(np.uint64))),
-                "wi": pa.array(place_in(head, b["w"].to_numpy().view(np.uint64))), "n": b["n"]})
+    found = in_batches(docs.select("text")).mapInArrow(count, "key long, other long, n long, kind int")
+    return found.groupBy("kind", "key", "other").agg(F.sum("n").alias("n")).select("key", "other", "n", "kind")
+
+
+def gathered(rows: DataFrame, build: Callable[..., dict], schema: str) -> DataFrame:
+    """The rows (key, other, n) of each key together, as ``build`` makes columns of some keys.
+
+    It gets the keys, where the rows of each begin, and the rows' others and counts. No key has
+    more rows than there are units, twice over.
+    """
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        for batch in batches:
+            b = tuple(batch[k].to_numpy() for k in ("key", "other", "n"))
+            if not len(b[0]):
+                continue
+            if b[0][-1] == b[0][0] and held and held[-1][0][-1] == b[0][0]:
+                held.append(b)  # still the same key
+                continue
+            key, other, n = (np.concatenate(x) for x in zip(*held, b, strict=True))
+            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            if len(first) > 1:
+                last = first[-1]
+                yield pa.RecordBatch.from_pydict(build(key[first[:-1]], first, other[:last], n[:last]))
+            held = [(key[first[-1]:], other[first[-1]:], n[first[-1]:])]
+        if held:
+            key, other, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            yield pa.RecordBatch.from_pydict(build(key[:1], np.array([0, len(key)]), other, n))
 
-    found = in_batches(docs.select("text")).mapInArrow(count, "v long, w long, n long")
-    return found.groupBy("v", "w").agg(F.sum("n").alias("n")).mapInArrow(place, "v long, w long, vi int, wi int, n long")
+    dealt = rows.select("key", "other", "n").repartition("key").sortWithinPartitions("key")
+    return in_batches(dealt).mapInArrow(pack, schema)
+
+
+def _bytes(values: np.ndarray, ptr: np.ndarray) -> pa.Array:
+    """values[ptr[i]:ptr[i + 1]] as binary rows."""
+    return pa.array([values[a:b].tobytes() for a, b in zip(ptr[:-1].tolist(), ptr[1:].tolist(), strict=True)], pa.binary())
+
+
+def _values(column: pa.Array, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """All values of binary rows, and the row of each."""
+    raw = column.to_pylist()
+    size = np.array([len(x) for x in raw], dtype=np.int64) // np.dtype(dtype).itemsize
+    return np.frombuffer(b"".join(raw), dtype=dtype), np.repeat(np.arange(len(raw)), size)
+
+
+def unit_rows(bigrams: DataFrame, units: int) -> DataFrame:
+    """(unit, others, times): the neighbours of each unit; units + k is unit k before it."""
+    pair = bigrams.where(F.col("kind") == PAIR)
+    v, w = F.call_function("div", F.col("key"), F.lit(units)), F.col("key") % units
+    both = pair.select(F.explode(F.array(F.struct(v.alias("key"), w.alias("other"), "n"),
+                                         F.struct(w.alias("key"), (v + units).alias("other"), "n"))).alias("r")).select("r.*")
+
+    def build(key, ptr, other, n):
+        return {"unit": pa.array(key.astype(np.int32)), "others": _bytes(other.astype(np.int32), ptr), "times": _bytes(n, ptr)}
+
+    return gathered(both, build, "unit int, others binary, times binary")
+
+
+def rare_words(bigrams: DataFrame, classes: np.ndarray) -> DataFrame:
+    """(word, c, class, slots, times): the words beyond the head in their affix's class.
+
+    Slot k is class k after the word, CLASSES + k class k before it, OWN the word after itself;
+    neighbours beyond the head have the slots FAR_SLOTS + k instead. ``classes`` has the units'.
+    """
+    units = len(classes)
+
+    def build(key, ptr, other, n):
+        affix, near = np.divmod(other, 2 * units + 1)
+        k = near % units
+        slot = classes[k] + np.where(near >= units, CLASSES, 0) + np.where(k >= units - AFFIXES, FAR_SLOTS, 0)
+        slot[near == 2 * units] = OWN
+        before = (near >= units) & (near < 2 * units)  # once for every token
+        return {"word": pa.array(key), "c": pa.array(np.add.reduceat(n * before, ptr[:-1])),
+                "class": pa.array(classes[units - AFFIXES + affix[ptr[:-1]]].astype(np.int32)),
+                "slots": _bytes(slot.astype(np.uint8), ptr), "times": _bytes(n, ptr)}
+
+    return gathered(bigrams.where(F.col("kind") == NEAR), build, RARE)
 
 
 def place_in(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -143,33 +244,6 @@ def place_in(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.where(words[at] == hashes, at, -1).astype(np.int32)
 
 
-def neighbours(bigrams: DataFrame, words: DataFrame, tail: DataFrame, head_class: np.ndarray) -> DataFrame:
-    """(word, c, class, slots, times): every word with the classes around it and how often.
-
-    Slot k is class k after the word, CLASSES + k class k before it, OWN the word after itself.
-    ``words`` has (word, c, class), ``tail`` those of them that are not in the head.
-    """
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            v, w, vi, wi, n = (b[k].to_numpy() for k in ("v", "w", "vi", "wi", "n"))
-            after, before, same = wi >= 0, vi >= 0, v == w
-            yield pa.RecordBatch.from_pydict({
-                "word": pa.array(np.concatenate((v[after], w[before], v[same]))),
-                "slot": pa.array(np.concatenate((head_class[wi[after]], CLASSES + head_class[vi[before]],
-                                                 np.full(same.sum(), OWN))).astype(np.int32)),
-                "n": pa.array(np.concatenate((n[after], n[before], n[same])))})
-
-    met = tail.select(F.col("word").alias("other"), F.col("class").alias("at"))
-    after = bigrams.where("wi < 0").select("v", "w", "n").join(met, F.col("w") == F.col("other"))
-    before = bigrams.where("vi < 0").select("v", "w", "n").join(met, F.col("v") == F.col("other"))
-    rows = (in_batches(bigrams).mapInArrow(near, "word long, slot int, n long")
-            .unionByName(after.select(F.col("v").alias("word"), F.col("at").alias("slot"), "n"))
-            .unionByName(before.select(F.col("w").alias("word"), (F.col("at") + CLASSES).alias("slot"), "n")))
-    sums = rows.groupBy("word", "slot").agg(F.sum("n").alias("n"))
-    each = sums.groupBy("word").agg(F.collect_list(F.struct("slot", "n")).alias("around"))
-    return each.join(words, "word").select("word", "c", "class", F.col("around.slot").alias("slots"), F.col("around.n").alias("times"))
-
-
 def xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
@@ -189,12 +263,14 @@ def best_classes(pair: np.ndarray, old: np.ndarray, right: np.ndarray, left: np.
         """Per word and class: what the counts of ``mine`` gain in table[class, place]."""
         word, place = np.nonzero(mine)
         add, at, e = mine[word, place], old[word], np.arange(len(word))
-        without = table[:, place].T.copy()
+        without, known = table.T[place], xlogx(table).T[place]
         without[e, at] -= add
+        known[e, at] = xlogx(without[e, at])
         inner = np.flatnonzero(place == at)
         without[inner] -= other[word[inner]]
         without[inner, at[inner]] -= own[word[inner]]
-        gain = xlogx(without + add[:, None]) - xlogx(without)
+        known[inner] = xlogx(without[inner])
+        gain = xlogx(without + add[:, None]) - known
         out = np.zeros(mine.shape)
         if len(word):
             first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
@@ -216,31 +292,24 @@ def best_classes(pair: np.ndarray, old: np.ndarray, right: np.ndarray, left: np.
     return np.where(gain[k, new] > gain[k, old] + 1e-6, new, old)
 
 
-def moved(near: DataFrame, pair: np.ndarray, turn: int, part: int) -> DataFrame:
-    """(word, c, class) after one of ``part`` shares of the words has moved; the end stays."""
-    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, batch.num_rows, MOVE_WORDS):
-                b = batch.slice(i, MOVE_WORDS)
-                word, old = b["word"].to_numpy().view(np.uint64), b["class"].to_numpy().astype(np.int64)
-                around = np.zeros((len(old), OWN + 1))
-                row = np.repeat(np.arange(len(old)), b["slots"].value_lengths().to_numpy())
-                around[row, b["slots"].flatten().to_numpy()] = b["times"].flatten().to_numpy()
-                new = best_classes(pair, old, around[:, :CLASSES], around[:, CLASSES:OWN], around[:, OWN])
-                stays = (word == END_HASH) | ((mix(word) + _U(turn)) % _U(part) != 0)
-                yield pa.RecordBatch.from_pydict({
-                    "word": b["word"], "c": b["c"], "class": pa.array(np.where(stays, old, new).astype(np.int32))})
+def chosen(pair: np.ndarray, old: np.ndarray, around: np.ndarray) -> np.ndarray:
+    """best_classes of any number of words, some at a time; words that look alike are weighed once.
 
-    return in_batches(near).mapInArrow(move, "word long, c long, class int")
+    ``around`` has a word's neighbours by slot, up to OWN.
+    """
+    right, left, own = around[:, :CLASSES], around[:, CLASSES:OWN], around[:, OWN]
+    alike = np.arange(len(old)) + CLASSES ** 3
+    once = np.flatnonzero((right.sum(axis=1) == 1) & (left.sum(axis=1) == 1) & (own == 0))
+    alike[once] = (old[once] * CLASSES + right[once].argmax(axis=1)) * CLASSES + left[once].argmax(axis=1)
+    _, first, back = np.unique(alike, return_index=True, return_inverse=True)
+    new = [best_classes(pair, old[k], right[k], left[k], own[k])
+           for k in (first[i:i + MOVE_WORDS] for i in range(0, len(first), MOVE_WORDS))]
+    return np.concatenate(new)[back] if new else old
 
 
-def class_pairs(near: DataFrame) -> np.ndarray:
-    """The class bigrams, from the words' neighbours."""
-    pair = np.zeros((CLASSES, CLASSES))
-    rows = near.select("class", F.explode(F.arrays_zip("slots", "times")).alias("a")).where(F.col("a.slots") < CLASSES)
-    for r in rows.groupBy("class", F.col("a.slots").alias("slot")).agg(F.sum("a.times").alias("n")).collect():
-        pair[r["class"], r["slot"]] = r["n"]
-    return pair
+def _stays(key: np.ndarray, turn: int, part: int) -> np.ndarray:
+    """All but one of ``part`` shares of the keys."""
+    return (mix(key.astype(np.uint64)) + _U(turn)) % _U(part) != 0
 
 
 def likelihood(pair: np.ndarray) -> float:
@@ -248,52 +317,118 @@ def likelihood(pair: np.ndarray) -> float:
     return float(xlogx(pair).sum() - xlogx(pair.sum(axis=1)).sum() - xlogx(pair.sum(axis=0)).sum())
 
 
-def settled(bigrams: DataFrame, words: DataFrame, head: np.ndarray, in_head: Column) -> tuple[DataFrame, np.ndarray, list[float]]:
-    """Exchange in rounds from the classes in ``words`` (word, c, class).
+def _per_task(df: DataFrame, table: Callable[[pa.RecordBatch], np.ndarray]) -> np.ndarray:
+    """The sum of a table of class bigrams over all batches."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CLASSES * CLASSES, dtype=np.int64)
+        for b in batches:
+            if b.num_rows:
+                total += table(b).astype(np.int64)
+        for piece in pieces(total):
+            yield pa.RecordBatch.from_pydict(piece)
 
-    Gives the words with their last classes, the class bigrams under these, and the
-    likelihood a token before and after every round that was kept.
-    """
-    spark = bigrams.sparkSession
-
-    def kept(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-        path = run_dir(spark, f"llm-{label}")
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path), path
-
-    def look(words: DataFrame):
-        head_class = np.zeros(len(head), dtype=np.int64)
-        rows = words.where(in_head).select("word", "class").collect()
-        hashes = np.array([r["word"] for r in rows], dtype=np.int64).view(np.uint64)
-        head_class[place_in(head, hashes)] = [r["class"] for r in rows]
-        near, path = kept(neighbours(bigrams, words, words.where(~in_head), head_class), "neighbours")
-        pair = class_pairs(near)
-        return near, path, pair, likelihood(pair) / max(pair.sum(), 1)
-
-    near, path, pair, best = look(words)
-    turn, part, gains, words_path = 0, 1, [best], None
-    while pair.any():
+    found = sum_pieces(in_batches(df).mapInArrow(add, PIECE))
+    return (found if len(found) else np.zeros(CLASSES * CLASSES)).reshape(CLASSES, CLASSES).astype(float)
+
+
+def _squares(row: np.ndarray, column: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return np.bincount(row * CLASSES + column, weights=n, minlength=CLASSES * CLASSES)
+
+
+def unit_pairs(rows: DataFrame, classes: np.ndarray, below: int) -> np.ndarray:
+    """The class bigrams of the units up to ``below``."""
+    units = len(classes)
+
+    def table(b: pa.RecordBatch) -> np.ndarray:
+        other, at = _values(b["others"], np.int32)
+        n, unit = _values(b["times"], np.int64)[0], b["unit"].to_numpy()[at]
+        k = np.flatnonzero((unit < below) & (other < min(below, units)))
+        return _squares(classes[unit[k]], classes[other[k]], n[k])
+
+    return _per_task(rows, table)
+
+
+def moved_units(rows: DataFrame, classes: np.ndarray, pair: np.ndarray, end: int, turn: int, part: int) -> np.ndarray:
+    """The units' classes after one of ``part`` shares of them has moved; the end stays."""
+    units = len(classes)
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            unit = b["unit"].to_numpy()
+            other, at = _values(b["others"], np.int32)
+            n = _values(b["times"], np.int64)[0]
+            slot = classes[other % units] + np.where(other >= units, CLASSES, 0)
+            around = np.bincount(at * (OWN + 1) + slot, weights=n, minlength=len(unit) * (OWN + 1)).reshape(-1, OWN + 1)
+            itself = other == unit[at]
+            around[at[itself], OWN] = n[itself]
+            goes = np.flatnonzero(~_stays(unit, turn, part) & (unit != end))
+            new = chosen(pair, classes[unit[goes]], around[goes])
+            yield pa.RecordBatch.from_pydict({"unit": b["unit"].take(pa.array(goes)), "class": pa.array(new.astype(np.int32))})
+
+    got = in_batches(rows).mapInArrow(move, "unit int, class int").toArrow()
+    out = classes.copy()
+    out[got["unit"].to_numpy()] = got["class"].to_numpy()
+    return out
+
+
+def rare_pairs(rare: DataFrame) -> np.ndarray:
+    """The class bigrams of a word beyond the head and one of the head."""
+    def table(b: pa.RecordBatch) -> np.ndarray:
+        slot, at = _values(b["slots"], np.uint8)
+        n, own, slot = _values(b["times"], np.int64)[0], b["class"].to_numpy().astype(np.int64)[at], slot.astype(np.int64)
+        after, before = np.flatnonzero(slot < CLASSES), np.flatnonzero((slot >= CLASSES) & (slot < OWN))
+        return _squares(own[after], slot[after], n[after]) + _squares(slot[before] - CLASSES, own[before], n[before])
+
+    return _per_task(rare, table)
+
+
+def far_pairs(far: DataFrame, rare: DataFrame) -> np.ndarray:
+    """The class bigrams of two words beyond the head, from (key, other, n)."""
+    v = rare.select(F.col("word").alias("key"), F.col("class").alias("v"))
+    w = rare.select(F.col("word").alias("other"), F.col("class").alias("w"))
+    pair = np.zeros((CLASSES, CLASSES))
+    for r in far.join(w, "other").join(v, "key").groupBy("v", "w").agg(F.sum("n").alias("n")).collect():
+        pair[r["v"], r["w"]] = r["n"]
+    return pair
+
+
+def moved_rare(rare: DataFrame, pair: np.ndarray, turn: int, part: int) -> DataFrame:
+    """The words beyond the head after one of ``part`` shares of them has moved."""
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            old = b["class"].to_numpy().astype(np.int64)
+            slot, at = _values(b["slots"], np.uint8)
+            n = _values(b["times"], np.int64)[0]
+            slot = np.where(slot >= FAR_SLOTS, slot - FAR_SLOTS, slot).astype(np.int64)
+            around = np.bincount(at * (OWN + 1) + slot, weights=n, minlength=len(old) * (OWN + 1)).reshape(-1, OWN + 1)
+            goes = np.flatnonzero(~_stays(b["word"].to_numpy().view(np.uint64), turn, part))
+            new = old.copy()
+            new[goes] = chosen(pair, old[goes], around[goes])
+            yield b.set_column(2, "class", pa.array(new.astype(np.int32)))
+
+    return in_batches(rare).mapInArrow(move, RARE)
+
+
+def settled(state, weigh: Callable, move: Callable, drop: Callable) -> tuple:
+    """Exchange in rounds: the last state, its class bigrams, and the likelihoods a token before and
+    after every round that was kept. ``drop`` gets the states that are done with."""
+    pair = weigh(state)
+    gains, turn, part = [likelihood(pair) / max(pair.sum(), 1)], 0, 1
+    while pair.any() and part <= CLASSES:
         turn += 1
-        trial, trial_path = kept(moved(near, pair, turn, part), "classes")
-        then = look(trial)
-        if then[3] > best:
-            gain, stale = then[3] - best, path
-            words, (near, path, pair, best) = trial, then
-            gains.append(best)
-            discard(spark, stale)
-            if words_path:
-                discard(spark, words_path)
-            words_path = trial_path
-            if gain < MIN_GAIN:
-                break
-        else:
-            discard(spark, then[1])
-            discard(spark, trial_path)
+        trial = move(state, pair, turn, part)
+        then = weigh(trial)
+        best = likelihood(then) / then.sum()
+        if best <= gains[-1]:
+            drop(trial)
             part *= 2
-            if part > CLASSES:
-                break
-    discard(spark, path)
-    return words, pair, gains
+            continue
+        drop(state)
+        state, pair = trial, then
+        gains.append(best)
+        if gains[-1] - gains[-2] < MIN_GAIN:
+            break
+    return state, pair, gains
 
 
 @dataclass
@@ -311,13 +446,6 @@ class Model:
     words: int
 
 
-def units_of(units: np.ndarray, unit_of: np.ndarray, hashes: np.ndarray, affix: np.ndarray) -> np.ndarray:
-    if not len(units):
-        return UNITS + affix
-    at = np.searchsorted(units, hashes).clip(max=len(units) - 1)
-    return np.where(units[at] == hashes, unit_of[at], UNITS + affix)
-
-
 def exchange(bigrams: np.ndarray, often: np.ndarray, end: int, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
     """Classes of units from their bigram counts; the end keeps class 0 for itself.
 
@@ -390,56 +518,84 @@ class ClassModel:
             if total + n > HEAD:
                 break
             total, least = total + n, h
-        in_head = height >= F.lit(least) if least is not None else F.lit(False)
+        in_head = F.col("word") == F.lit(int(END_HASH.view(np.int64)))
+        if least is not None:
+            in_head |= height >= F.lit(least)
         head = sorted(self.counts.where(in_head).collect(), key=lambda r: (-r["c"], r["word"]))
         word = np.array([r["word"] for r in head], dtype=np.int64).view(np.uint64)
         often = np.array([r["c"] for r in head], dtype=np.int64)
-        named = np.concatenate((word[:UNITS], [END_HASH])) if END_HASH not in word[:UNITS] else word[:UNITS]
-        named = named[:UNITS] if END_HASH in named[:UNITS] else np.append(named[:UNITS - 1], END_HASH)
-        by_hash = np.argsort(named)
-        units, unit_of = named[by_hash], by_hash.astype(np.int64)
-        end = int(unit_of[np.searchsorted(units, END_HASH)])
+        affix = np.array([r["affix"] for r in head], dtype=np.int64)
+        # The end is a unit of its own, however rare.
+        rank = np.arange(len(word))
+        first = np.flatnonzero(word == END_HASH)
+        named = np.concatenate((first, rank[word != END_HASH]))[:UNITS]
+        unit = UNITS + affix
+        unit[named] = np.arange(len(named))
+        by_hash = np.argsort(word)
+        word, often, unit = word[by_hash], often[by_hash], unit[by_hash]
+        end = int(place_in(word, np.array([END_HASH]))[0])
+
+        path = run_dir(spark, "llm-bigrams")
+        word_bigrams(train, word).write.partitionBy("kind").parquet(path)
+        bigrams = spark.read.schema("key long, other long, n long, kind int").parquet(path)
+        units = len(word) + AFFIXES
+        unit_path = run_dir(spark, "llm-units")
+        unit_rows(bigrams, units).write.parquet(unit_path)
+        around = spark.read.schema("unit int, others binary, times binary").parquet(unit_path)
+        start = np.concatenate((unit, UNITS + np.arange(AFFIXES)))
         size = UNITS + AFFIXES
 
         def add(batches) -> np.ndarray:
             total = np.zeros(size * size, dtype=np.int64)
-            for _, data, at in chunks(batches):
-                hashes, affix, at = with_ends(split_words(data, at))
-                unit = units_of(units, unit_of, hashes, affix)
-                before = np.concatenate(([end], unit[:-1]))
-                code, c = np.unique(before * size + unit, return_counts=True)
-                total[code] += c
+            for b in batches:
+                other, at = _values(b["others"], np.int32)
+                n, own = _values(b["times"], np.int64)[0], start[b["unit"].to_numpy()[at]]
+                k = np.flatnonzero(other < units)
+                np.add.at(total, own[k] * size + start[other[k]], n[k])
             return total
 
-        found = summed(train.select("text"), add, "int64")
-        bigrams = found.reshape(size, size).astype(float) if len(found) else np.zeros((size, size))
-        classes = exchange(bigrams, bigrams.sum(axis=0), end)
-
-        def of_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                unit = units_of(units, unit_of, b["word"].to_numpy().view(np.uint64), b["affix"].to_numpy().astype(np.int64))
-                yield pa.RecordBatch.from_pydict({"word": b["word"], "c": b["c"], "class": pa.array(classes[unit].astype(np.int32))})
-
-        order = np.argsort(word)
-        word, often = word[order], often[order]
-        start = written(self.counts.select("word", "affix", "c").mapInArrow(of_class, "word long, c long, class int"), "classes")
-        bigrams = written(word_bigrams(train, word), "bigrams")
-        self.words, pair, self.gains = settled(bigrams, start, word, in_head)
+        found = summed(around, add, "int64")
+        table = found.reshape(size, size).astype(float) if len(found) else np.zeros((size, size))
+        group = exchange(table, table.sum(axis=0), 0)
+
+        classes, pair, self.gains = settled(
+            group[start], lambda c: unit_pairs(around, c, units),
+            lambda c, pair, turn, part: moved_units(around, c, pair, end, turn, part), lambda c: None)
+
+        # The words beyond the head.
+        def kept(df: DataFrame) -> tuple[DataFrame, str]:
+            to = run_dir(spark, "llm-rare")
+            df.write.parquet(to)
+            return spark.read.schema(RARE).parquet(to), to
+
+        state = kept(rare_words(bigrams, classes))
+        rare = state[0]
+        if not rare.isEmpty():
+            far = bigrams.where(F.col("kind") == FAR).select("key", "other", "n")
+            any_far = not far.isEmpty()
+            of_head = unit_pairs(around, classes, len(word))
+            (rare, _), pair, gains = settled(
+                state, lambda r: of_head + rare_pairs(r[0]) + (far_pairs(far, r[0]) if any_far else 0),
+                lambda r, pair, turn, part: kept(moved_rare(r[0], pair, turn, part)), lambda r: discard(spark, r[1]))
+            self.gains += gains[1:]
+        discard(spark, path)
+        discard(spark, unit_path)
         share = (pair.sum(axis=0) + 1) / (pair.sum() + CLASSES)
         step = np.log10((pair + SMOOTH * CLASSES * share) / (pair.sum(axis=1, keepdims=True) + SMOOTH * CLASSES))
 
         # Tokens and different words of each class.
-        spread = np.ones(CLASSES)
-        tokens = words = 0
-        for r in self.words.groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect():
-            spread[r["class"]] += r["c"] + r["v"]
-            tokens, words = tokens + r["c"], words + r["v"]
-        head_class = np.zeros(len(word), dtype=np.int64)
-        rows = self.words.where(in_head).select("word", "class").collect()
-        head_class[place_in(word, np.array([r["word"] for r in rows], dtype=np.int64).view(np.uint64))] = [r["class"] for r in rows]
-        self.model = Model(word, often, head_class, classes[UNITS:], step, np.log10(spread), int(classes[end]), tokens, words)
+        self.tail = rare.select("word", "c", "class")
+        mine = classes[:len(word)]
+        sums = np.bincount(mine, weights=often, minlength=CLASSES)
+        kinds = np.bincount(mine, minlength=CLASSES)
+        for r in self.tail.groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect():
+            sums[r["class"]] += r["c"]
+            kinds[r["class"]] += r["v"]
+        self.words = spark.createDataFrame(pa.table({
+            "word": word.view(np.int64), "c": often, "class": mine.astype(np.int32)}), "word long, c long, class int").unionByName(self.tail)
+        self.model = Model(word, often, mine, classes[len(word):], step, np.log10(1 + sums + kinds), int(group[0]),
+                           int(sums.sum()), int(kinds.sum()))
         self.shared = spark.sparkContext.broadcast(self.model)
-        self.tail = self.words.where(~in_head)
 
     def scored(self, docs: DataFrame) -> DataFrame:
         """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
