@@ -3,6 +3,8 @@
 import hashlib
 import math
 import random
+import re
+import time
 import zlib
 from collections import Counter
 
@@ -253,3 +255,24 @@ def test_transcripts_odd_rows(spark):
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     assert {r["conv_id"] for r in transcripts.recovered(table).collect()} == {None, 1, 2}
     assert transcripts.recovered(table.limit(0)).count() == 0
+
+
+def test_patterns_as_searched_plainly():
+    rng = random.Random(9)
+    for alphabet in ("a1@._- ", "0129. -", "+1 ().-2", "ab@.c_%+-", "é1@ \n.x", "12. "):
+        for _ in range(3000):
+            text = "".join(rng.choices(alphabet, k=rng.randrange(40)))
+            want = [(kind, m.start(), m.end()) for kind, pattern in pii.PATTERNS.items() for m in pattern.finditer(text)
+                    if pii._holds(kind, m[0])]
+            assert pii.pattern_spans(text) == want, text
+            tokens = [m.span() for m in re.finditer(r"\S+", text) if re.search("[0-9@]", m[0])]
+            assert [t for run in pii.runs(text) for t in run] == tokens, text
+
+
+@pytest.mark.parametrize("unit", ["a", "7", "a.b.c.", "1.", "a@", "+1", "-", "\u4e16", "1 "])
+def test_long_runs_take_linear_time(unit):
+    text = "7 a@b " + unit * (1_000_000 // len(unit)) + " 8"
+    began = time.process_time()
+    pii.pattern_spans(text)
+    pii.runs(text)
+    assert time.process_time() - began < 10
