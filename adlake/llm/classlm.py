@@ -11,11 +11,12 @@ Method
     every word takes its unit's class.
   * Exchange clustering in rounds over the head and the affixes: a task looks up the classes
     around its units, and each unit moves to its best class given the table of class bigrams.
-    Nothing is shuffled but that table. Then rounds over all other words in the same way, each
-    by its own neighbours; one beyond the head counts there with its affix's class.
+    Nothing is shuffled but that table. Rounds end when one gains less than MIN_GAIN a token,
+    in natural logarithms.
+  * Then one last round over all other words, each by its own neighbours; one beyond the head
+    counts there with its affix's class, which all of them have until then.
   * A round is weighed by the likelihood of all bigrams under the classes that it gives. One
-    that loses is taken back and half as many words move. Rounds end when one gains less than
-    MIN_GAIN a token, in natural logarithms.
+    that loses is taken back and half as many words move.
   * log10 p(w | v) = log10 p(class w | class v) + log10 p(w | class w). Transitions are
     smoothed by the classes' own frequency, emissions by adding one, with one unknown word
     per class; so the sum over the words after any word is one.
@@ -206,8 +207,8 @@ def unit_rows(bigrams: DataFrame, units: int) -> DataFrame:
     """(unit, others, times): the neighbours of each unit; units + k is unit k before it."""
     pair = bigrams.where(F.col("kind") == PAIR)
     v, w = F.call_function("div", F.col("key"), F.lit(units)), F.col("key") % units
-    both = pair.select(F.explode(F.array(F.struct(v.alias("key"), w.alias("other"), "n"),
-                                         F.struct(w.alias("key"), (v + units).alias("other"), "n"))).alias("r")).select("r.*")
+    both = (pair.select(v.alias("key"), w.alias("other"), "n")
+            .unionByName(pair.select(w.alias("key"), (v + units).alias("other"), "n")))
 
     def build(key, ptr, other, n):
         return {"unit": pa.array(key.astype(np.int32)), "others": _bytes(other.astype(np.int32), ptr), "times": _bytes(n, ptr)}
@@ -409,12 +410,12 @@ def moved_rare(rare: DataFrame, pair: np.ndarray, turn: int, part: int) -> DataF
     return in_batches(rare).mapInArrow(move, RARE)
 
 
-def settled(state, weigh: Callable, move: Callable, drop: Callable) -> tuple:
+def settled(state, pair: np.ndarray, weigh: Callable, move: Callable, drop: Callable, rounds: float) -> tuple:
     """Exchange in rounds: the last state, its class bigrams, and the likelihoods a token before and
-    after every round that was kept. ``drop`` gets the states that are done with."""
-    pair = weigh(state)
+    after every round that was kept, ``rounds`` at most. ``pair`` belongs to ``state``; ``drop`` gets
+    the states that are done with."""
     gains, turn, part = [likelihood(pair) / max(pair.sum(), 1)], 0, 1
-    while pair.any() and part <= CLASSES:
+    while pair.any() and part <= CLASSES and len(gains) <= rounds:
         turn += 1
         trial = move(state, pair, turn, part)
         then = weigh(trial)
@@ -558,26 +559,34 @@ class ClassModel:
         table = found.reshape(size, size).astype(float) if len(found) else np.zeros((size, size))
         group = exchange(table, table.sum(axis=0), 0)
 
+        classes = group[start]
         classes, pair, self.gains = settled(
-            group[start], lambda c: unit_pairs(around, c, units),
-            lambda c, pair, turn, part: moved_units(around, c, pair, end, turn, part), lambda c: None)
+            classes, unit_pairs(around, classes, units), lambda c: unit_pairs(around, c, units),
+            lambda c, pair, turn, part: moved_units(around, c, pair, end, turn, part), lambda c: None, np.inf)
 
-        # The words beyond the head.
+        # The words beyond the head; in their affixes' classes they are what the rounds so far have weighed.
         def kept(df: DataFrame) -> tuple[DataFrame, str]:
             to = run_dir(spark, "llm-rare")
             df.write.parquet(to)
             return spark.read.schema(RARE).parquet(to), to
 
-        state = kept(rare_words(bigrams, classes))
-        rare = state[0]
-        if not rare.isEmpty():
-            far = bigrams.where(F.col("kind") == FAR).select("key", "other", "n")
+        def drop(state: tuple[DataFrame, str | None]) -> None:
+            if state[1]:
+                discard(spark, state[1])
+
+        rare = rare_words(bigrams, classes)
+        near, far = (bigrams.where(F.col("kind") == k).select("key", "other", "n") for k in (NEAR, FAR))
+        if not near.isEmpty():
             any_far = not far.isEmpty()
             of_head = unit_pairs(around, classes, len(word))
-            (rare, _), pair, gains = settled(
-                state, lambda r: of_head + rare_pairs(r[0]) + (far_pairs(far, r[0]) if any_far else 0),
-                lambda r, pair, turn, part: kept(moved_rare(r[0], pair, turn, part)), lambda r: discard(spark, r[1]))
+            (rare, to), pair, gains = settled(
+                (rare, None), pair, lambda r: of_head + rare_pairs(r[0]) + (far_pairs(far, r[0]) if any_far else 0),
+                lambda r, pair, turn, part: kept(moved_rare(r[0], pair, turn, part)), drop, 1)
             self.gains += gains[1:]
+            if to is None:  # no round gained anything
+                rare = kept(rare)[0]
+        else:
+            rare = kept(rare)[0]
         discard(spark, path)
         discard(spark, unit_path)
         share = (pair.sum(axis=0) + 1) / (pair.sum() + CLASSES)
