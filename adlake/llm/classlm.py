@@ -50,6 +50,7 @@ CLASSES, SWEEPS = 48, 8
 HEAD = 1 << 16  # words looked up without a shuffle
 FLUSH_TOKENS = 1 << 21  # counted together before they leave a task
 SMOOTH = 0.5
+OUT_ROWS = 1 << 16  # that leave a task together
 MIN_GAIN = 1e-3  # of a round, in natural logarithms a token
 MOVE_WORDS = 1024  # whose moves are weighed together
 OWN = 2 * CLASSES  # place of a word after itself; before it stand the classes after and before a word
@@ -124,17 +125,21 @@ def word_bigrams(docs: DataFrame, head: np.ndarray) -> DataFrame:
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def rows(kind, key, other, n):
-            return pa.RecordBatch.from_pydict({
-                "key": pa.array(key.view(np.int64)), "other": pa.array(other.view(np.int64)), "n": pa.array(n),
-                "kind": pa.array(np.full(len(key), kind, dtype=np.int32))})
+            for i in range(0, len(key), OUT_ROWS):
+                k, o = key[i:i + OUT_ROWS].view(np.int64), other[i:i + OUT_ROWS].view(np.int64)
+                yield pa.RecordBatch.from_pydict({
+                    "key": pa.array(k), "other": pa.array(o), "n": pa.array(n[i:i + OUT_ROWS]),
+                    "kind": pa.array(np.full(len(k), kind, dtype=np.int32))})
 
         def flush():
             word = np.concatenate([[END_HASH], *(h for h, _ in held)])
-            affix = np.concatenate([[0], *(a for _, a in held)])
+            affix = np.concatenate([np.zeros(1, np.int32), *(a for _, a in held)])
+            held.clear()
             at = place_in(head, word)
-            unit = np.where(at >= 0, at, len(head) + affix)
+            unit = np.where(at >= 0, at, len(head) + affix).astype(np.int64)
             code, n = np.unique(unit[:-1] * units + unit[1:], return_counts=True)
-            yield rows(PAIR, code, np.zeros(len(code), np.int64), n)
+            yield from rows(PAIR, code, np.broadcast_to(np.int64(0), len(code)), n)
+            del code, n
             rare = np.flatnonzero(at < 0)  # the first and the last token are ends
             if not len(rare):
                 return
@@ -142,15 +147,19 @@ def word_bigrams(docs: DataFrame, head: np.ndarray) -> DataFrame:
             itself = word[rare + 1] == word[rare]
             near = np.concatenate((unit[rare + 1], units + unit[rare - 1], np.full(itself.sum(), 2 * units)))
             span = AFFIXES * (2 * units + 1)
-            own = np.concatenate((affix[rare], affix[rare], affix[rare[itself]])) * (2 * units + 1)
-            code, n = np.unique(np.concatenate((which, which, which[itself])) * span + own + near, return_counts=True)
-            yield rows(NEAR, found[code // span], code % span, n)
+            near += np.concatenate((affix[rare], affix[rare], affix[rare[itself]])).astype(np.int64) * (2 * units + 1)
+            near += np.concatenate((which, which, which[itself])) * span
+            del which
+            code, n = np.unique(near, return_counts=True)
+            del near
+            yield from rows(NEAR, found[code // span], code % span, n)
             far = rare[at[rare + 1] < 0]
-            yield rows(FAR, word[far], word[far + 1], np.ones(len(far), np.int64))
+            yield from rows(FAR, word[far], word[far + 1], np.ones(len(far), np.int64))
 
         n = 0
         for _, data, at in chunks(batches):
-            held.append(with_ends(split_words(data, at))[:2])
+            hashes, affix, _ = with_ends(split_words(data, at))
+            held.append((hashes, affix.astype(np.int32)))
             n += len(held[-1][0])
             if n >= FLUSH_TOKENS:
                 yield from flush()
