@@ -49,6 +49,7 @@ UNITS, AFFIXES, AFFIX_BYTES = 768, 256, 3
 CLASSES, SWEEPS = 48, 8
 HEAD = 1 << 16  # words looked up without a shuffle
 FLUSH_TOKENS = 1 << 21  # counted together before they leave a task
+BIGRAM_TOKENS = 1 << 20  # whose bigrams are
 SMOOTH = 0.5
 OUT_ROWS = 1 << 16  # that leave a task together
 MIN_GAIN = 1e-3  # of a round, in natural logarithms a token
@@ -161,7 +162,7 @@ def word_bigrams(docs: DataFrame, head: np.ndarray) -> DataFrame:
             hashes, affix, _ = with_ends(split_words(data, at))
             held.append((hashes, affix.astype(np.int32)))
             n += len(held[-1][0])
-            if n >= FLUSH_TOKENS:
+            if n >= BIGRAM_TOKENS:
                 yield from flush()
                 held, n = [], 0
         if held:
