@@ -548,6 +548,7 @@ class ClassModel:
 
         path = run_dir(spark, "llm-bigrams")
         word_bigrams(train, word).write.partitionBy("kind").parquet(path)
+        spark._jvm.java.lang.System.gc()  # Spark removes the files of shuffles that nothing refers to any more
         bigrams = spark.read.schema("key long, other long, n long, kind int").parquet(path)
         units = len(word) + AFFIXES
         unit_path = run_dir(spark, "llm-units")
