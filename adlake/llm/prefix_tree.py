@@ -54,16 +54,17 @@ def _up(n, num: int, den: int):
 
 
 def _described(docs: DataFrame, width: int) -> DataFrame:
-    """Per row: key, set size, and a 128-bit mark of the set; and pieces of the counts of
-    values over 2**COUNT_BITS buckets."""
+    """Per row: key, hash of the text, set size, and a 128-bit mark of the set; and pieces of the
+    counts of values over 2**COUNT_BITS buckets."""
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNT_BITS, dtype=np.int64)
 
-        def batch(ids=None, n=(), marks=(), place=(), length=(), piece=()):
+        def batch(ids=None, hashes=None, n=(), marks=(), place=(), length=(), piece=()):
             size = max(len(n), len(place))
             none = [None] * size
             return pa.RecordBatch.from_pydict({
-                "id": pa.array(none, pa.int64()) if ids is None else ids, "n": pa.array(n if len(n) else none, pa.int64()),
+                "id": pa.array(none, pa.int64()) if ids is None else ids,
+                "hash": pa.array(none, pa.int64()) if hashes is None else hashes, "n": pa.array(n if len(n) else none, pa.int64()),
                 "mark": pa.array(marks or none, pa.binary()), "place": pa.array(place or none, pa.int64()),
                 "length": pa.array(length or none, pa.int64()), "piece": pa.array(piece or none, pa.binary())})
 
@@ -77,11 +78,11 @@ def _described(docs: DataFrame, width: int) -> DataFrame:
                 for k, salt in enumerate((0x5A5A5A5A5A5A5A5A, 0x3C3C3C3C3C3C3C3C)):
                     mixed = mix(values ^ _U(salt))
                     marks[some, k] = np.add.reduceat(mixed, ptr[:-1][some])
-            yield batch(rows.column("id"), count, [m.tobytes() if n else None for m, n in zip(marks, count, strict=True)])
+            yield batch(rows.column("id"), rows.column("hash"), count, [m.tobytes() if n else None for m, n in zip(marks, count, strict=True)])
         for p in pieces(total):
             yield batch(**p)
 
-    return in_batches(few_tasks(docs)).mapInArrow(describe, "id long, n long, mark binary, place long, length long, piece binary")
+    return in_batches(few_tasks(docs)).mapInArrow(describe, "id long, hash long, n long, mark binary, place long, length long, piece binary")
 
 
 def _often(counts: np.ndarray) -> np.ndarray:
@@ -349,7 +350,7 @@ def forest(sets: list[np.ndarray], probes: list[np.ndarray] | None, num: int, de
 
 
 def _links(members: DataFrame, docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """members: id, grp, n. Links (a, b) among the members of each group."""
+    """members: id, hash, grp, n, one for every set. Links (a, b) among the members of each group."""
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num))).cast("int")
     sized = members.withColumn("band", band)
     total = sized.groupBy("grp").agg(F.sum("n").alias("total"))
@@ -358,7 +359,7 @@ def _links(members: DataFrame, docs: DataFrame, width: int, num: int, den: int)
     below = blocks.select("grp", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
     plan = (sized.join(total, "grp").join(blocks, ["grp", "band"]).join(above, ["grp", "band"], "left")
             .join(below, ["grp", "band"], "left"))
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    own = F.pmod(F.xxhash64("id", "hash"), F.col("blocks")).cast("int")
 
     def part(band_a, block_a, band_b, block_b, side):
         return F.struct(band_a.alias("p"), block_a.alias("q"), band_b.alias("r"), block_b.alias("s"),
@@ -375,7 +376,7 @@ def _links(members: DataFrame, docs: DataFrame, width: int, num: int, den: int)
         F.when(F.col("below").isNull(), F.array().cast("array<struct<p:int,q:int,r:int,s:int,side:int>>")).otherwise(
             F.transform(F.sequence(zero, F.coalesce("below", F.lit(1)) - 1), lambda k: part(b - 1, k, b, own, 1)))))
     asked = written(members.select("id").distinct(), "asked")
-    texts = plan.select("id", "grp", parts.alias("parts")).join(by_ids(docs, "id", asked, "left_semi"), "id")
+    texts = plan.select("id", "hash", "grp", parts.alias("parts")).join(by_ids(docs, "id", asked, "left_semi"), ["id", "hash"])
 
     def to_sets(batches):
         for rows, data, at in chunks(batches):
@@ -425,6 +426,16 @@ def _links(members: DataFrame, docs: DataFrame, width: int, num: int, den: int)
     return in_batches(dealt).mapInArrow(join, "a long, b long")
 
 
+def _once(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows, of those with one key and text one only; texts are shuffled for such keys alone."""
+    again = written(sets.where("id is not null and n > 0").groupBy("id", "hash").agg(F.count("*").alias("rows"))
+                    .where("rows > 1").select("id").distinct(), "again")
+    if again.isEmpty():
+        return rows
+    return by_ids(rows, "id", again, "left_anti").unionByName(
+        by_ids(rows, "id", again, "left_semi").dropDuplicates(["id", "hash"]))
+
+
 def near_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = WIDTH,
                     threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """(key, n_shingles, component_id) for every row; see the module for the cases.
@@ -432,27 +443,31 @@ def near_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     ``threshold`` is a fraction (numerator, denominator); the key is a whole number.
     """
     num, den = threshold
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
     told = written(_described(rows, width), "described")
-    sets = told.where("piece is null").select("id", "n", "mark")
+    sets = told.where("piece is null").select("id", "hash", "n", "mark")
     counts = sum_pieces(told.where("piece is not null"))
     counts = counts if len(counts) else np.zeros(1 << COUNT_BITS, dtype=np.int64)
-    # Rows of one set: their smallest key stands for them.
+    # Rows of one set: one with their smallest key stands for them.
     named = sets.where("id is not null and n > 0")
-    first = named.groupBy("mark").agg(F.min("id").alias("rep"))
-    member = written(named.select("id", "mark", "n").join(first, "mark").select("id", "rep", "n"), "members")
+    first = written(named.groupBy("mark").agg(F.min(F.struct("id", "hash", "n")).alias("rep")).select("mark", "rep.*"), "first")
+    reps = first.select("mark", F.col("id").alias("rep"))
+    member = written(named.select("id", "mark").join(reps, "mark").select("id", "rep"), "members")
 
     slices = 2 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lead = _lead(rows.where("id is not null"), counts, width, num, den, slices)
     met = written(_edges(_shared_values(lead), num, den), "met")
-    reps = member.groupBy("id").agg(F.min("rep").alias("rep"))
-    near = (met.join(reps, "id").select(F.col("rep").alias("a"), "other")
-            .join(reps.select(F.col("id").alias("other"), F.col("rep").alias("b")), "other").select("a", "b"))
+    # A key with several sets is known by the least of their representatives; the others join it.
+    by_id = member.groupBy("id").agg(F.min("rep").alias("rep"), F.max("rep").alias("most"))
+    some = by_id.select("id", "rep")
+    near = (met.join(some, "id").select(F.col("rep").alias("a"), "other")
+            .join(some.select(F.col("id").alias("other"), F.col("rep").alias("b")), "other").select("a", "b"))
+    several = written(by_id.where("rep < most").select("id", F.col("rep").alias("a")), "several")
+    near = near.unionByName(several.join(member.select("id", F.col("rep").alias("b")), "id").where("a < b").select("a", "b"))
     groups = components(near, "candidates")
 
-    sizes = member.where("id = rep").groupBy("id").agg(F.max("n").alias("n"))
-    in_group = groups.select(F.col("node").alias("id"), F.col("root").alias("grp")).join(sizes, "id")
-    links = _links(in_group, rows, width, num, den)
+    in_group = groups.select(F.col("node").alias("id"), F.col("root").alias("grp")).join(first.drop("mark"), "id")
+    links = _links(in_group, _once(rows, sets), width, num, den)
     same = member.where("id != rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     found = components(written(links.unionByName(same).where("a != b").distinct(), "links"), "found")
     out = sets.select("id", "n").join(found, sets.id == found.node, "left")

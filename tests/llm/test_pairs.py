@@ -71,6 +71,28 @@ def test_prefix_tree_join_odd_rows(odd, empty):
     assert prefix_tree.near_components(empty).count() == 0
 
 
+def brute_by_key(rows):
+    """As ``brute_components``, where rows of one key are one node."""
+    by_place = {k: root for k, _, root in brute_components([(k, t) for k, (_, t) in enumerate(rows)])}
+    key_of = {k: i for k, (i, _) in enumerate(rows)}
+    near = [(key_of[k], key_of[root]) for k, root in by_place.items()]
+    root = {i: i for i, _ in rows}
+    for _ in rows:
+        for a, b in near:
+            root[a] = root[b] = min(root[a], root[b])
+    return sorted((i, len(shingle_set(t)), root[i]) for i, t in rows)
+
+
+def test_prefix_tree_join_keeps_the_links_of_all_texts_of_a_key(documents, monkeypatch):
+    a, b = (" ".join(f"{c}{k}" for k in range(40)) for c in "ab")
+    rows = [(3, a), (5, a), (5, b), (7, f"{b} end"), (5, b), (5, b.upper())]
+    assert {r[2] for r in prefix_tree.near_components(documents(rows)).collect()} == {3}
+    monkeypatch.setattr(prefix_tree, "GROUP_VALUES", 300)
+    rows = [(i % 70 if i % 3 else 11, t) for i, t in near_copies(200, 6)]
+    got = sorted(tuple(r) for r in prefix_tree.near_components(documents(rows)).collect())
+    assert got == brute_by_key(rows)
+
+
 def test_trie_finds_all(seed=5):
     rng = np.random.default_rng(seed)
     base = rng.choice(200, 40, replace=False)
