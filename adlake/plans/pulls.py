@@ -95,6 +95,16 @@ def reference_rows(responses: DataFrame, run_ts: dt.datetime) -> DataFrame:
     return flatten.strict(landed.option_names(responses), MARKET_REFERENCE, run_ts)
 
 
+def requested(spark: SparkSession, spec: TableSpec, source: Source, first: str, last: str, *, allowlist: str | None = None,
+              max_records: int | None = None, values: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(landed responses of the days from ``first`` to ``last``, requested accounts that are not visible)."""
+    accounts, missing = discover(spark, source, allowlist)
+    listings = source.land(batching.listing_requests(accounts, spec.endpoint), spec.endpoint)
+    batches = batching.page_batches(landed.listed_pages(listings), spec.batch_size)
+    requests = batching.report_requests(batches, spec, first, last, max_records=max_records, values=values)
+    return source.land(requests, spec.name), missing
+
+
 def pull_fact(spark: SparkSession, spec: TableSpec, source: Source, target: Target, *,
               run_date: dt.date, run_ts: dt.datetime, allowlist: str | None = None,
               lookback: str | None = None, start: str | None = None,
@@ -105,12 +115,8 @@ def pull_fact(spark: SparkSession, spec: TableSpec, source: Source, target: Targ
     all of them counted per field (``checks.BadRows``), before the table changes. ``max_records`` cuts a long
     window into slices (``batching.report_requests``).
     """
-    accounts, missing = discover(spark, source, allowlist)
     first, last = window_of(spark, run_date, lookback, start, end)
-    listings = source.land(batching.listing_requests(accounts, spec.endpoint), spec.endpoint)
-    batches = batching.page_batches(landed.listed_pages(listings), spec.batch_size)
-    requests = batching.report_requests(batches, spec, first, last, max_records=max_records, values=values)
-    responses = source.land(requests, spec.name)
+    responses, missing = requested(spark, spec, source, first, last, allowlist=allowlist, max_records=max_records, values=values)
     problems = Problems(spec)
     rows = watched_fact_rows(responses, spec, run_ts, problems)
     return PullReport([upsert(rows, target, spec, accept=problems.refuse)], missing)
