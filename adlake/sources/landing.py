@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlake.session import discard, run_dir
-from adlake.sources.landed import PAGE_NO
+from adlake.sources.landed import BODY_FILES, PAGE_NO
 from adlake.sources.paged import Fetch, RetryPolicy, fetch_pages
 
 REQUEST_ID = "request_id"
@@ -78,7 +78,7 @@ def land(worklist: DataFrame, fetch: Fetch, folder: str, *, policy: RetryPolicy
     for wave in range(waves):
         turn = todo.where(F.pmod(F.xxhash64(REQUEST_ID), F.lit(waves)) == wave) if waves > 1 else todo
         pages = fetch_pages(turn.repartition(at_once), fetch, policy=policy)
-        pages.write.mode("append").options(**_COMMIT).parquet(folder)
+        pages.write.mode("append").options(**_COMMIT, **BODY_FILES).parquet(folder)
     discard(spark, staged)
     return _landed(worklist, folder)
 
