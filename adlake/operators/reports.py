@@ -85,6 +85,36 @@ def with_entity(fact: DataFrame, dimension: DataFrame, key: str, columns: dict[s
 # --- reconciliation ------------------------------------------------------------------
 
 
+_ANY_VALUE = {"string": "''", "date": "date'1970-01-01'", "timestamp": "timestamp'1970-01-01 00:00:00Z'", "boolean": "false",
+              **{kind: f"cast(0 as {kind})" for kind in ("tinyint", "smallint", "int", "bigint")}}
+
+
+def _split_keys(df: DataFrame, keys) -> DataFrame:
+    """Each key as two columns that are never null: its value, and whether it has none."""
+    kinds = dict(df.dtypes)
+    found = ((F.coalesce(k, F.expr(_ANY_VALUE[kinds[k]])).alias(f"_{k}_value"), F.col(k).isNull().alias(f"_{k}_none")) for k in keys)
+    return df.select(*(c for pair in found for c in pair), *(c for c in df.columns if c not in keys))
+
+
+def _whole_keys(df: DataFrame, keys) -> DataFrame:
+    """The keys beside the two columns of each."""
+    return df.select("*", *(F.when(~F.col(f"_{k}_none"), F.col(f"_{k}_value")).alias(k) for k in keys))
+
+
+def _matched(whole: DataFrame, parts: DataFrame, keys, metrics) -> tuple[DataFrame, DataFrame, Column]:
+    """Rows of ``whole``, the sums of ``parts``, and when they have the same keys, nulls included.
+    A null-safe comparison would deal the sums out once more, so keys are summed and compared by
+    columns that are never null, where their types allow it."""
+    kinds = [dict(df.dtypes) for df in (whole, parts)]
+    if any(kinds[0][k] != kinds[1][k] or kinds[0][k] not in _ANY_VALUE for k in keys):
+        own, sums = whole.select(*keys, *metrics), totals(parts, keys, metrics)
+        return own, sums, reduce(and_, (F.col(f"own.{k}").eqNullSafe(F.col(f"sums.{k}")) for k in keys))
+    split = [f"_{k}_{what}" for k in keys for what in ("value", "none")]
+    own = _whole_keys(_split_keys(whole.select(*keys, *metrics), keys), keys)
+    sums = _whole_keys(totals(_split_keys(parts, keys), split, metrics), keys)
+    return own, sums, reduce(and_, (F.col(f"own.{c}") == F.col(f"sums.{c}") for c in split))
+
+
 def reconcile(whole: DataFrame, parts: DataFrame, keys, metrics) -> DataFrame:
     """Each row of ``whole`` beside the summed rows of ``parts``: ``<m>_parts``, the
     remainder ``<m>_rest``, and the ``side`` that has the key: both, whole or parts. A
@@ -93,10 +123,11 @@ def reconcile(whole: DataFrame, parts: DataFrame, keys, metrics) -> DataFrame:
     With a breakdown as parts the remainder is unattributed traffic; with ads as parts of
     a campaign it should be zero.
     """
-    sums = totals(parts, keys, metrics)
-    own = whole.select(*keys, *metrics, F.lit(True).alias("_whole")).alias("own")
-    sums = sums.select(*keys, *(F.col(m).alias(f"{m}_parts") for m in metrics), F.lit(True).alias("_parts")).alias("sums")
-    same = reduce(and_, (F.col(f"own.{k}").eqNullSafe(F.col(f"sums.{k}")) for k in keys))
+    if BREAKDOWN_TYPE in parts.columns and BREAKDOWN_TYPE not in keys:
+        raise DoubleCounting(f"group by {BREAKDOWN_TYPE}: its slices cover the same traffic")
+    own, sums, same = _matched(whole, parts, keys, metrics)
+    own = own.select("*", F.lit(True).alias("_whole")).alias("own")
+    sums = sums.withColumnsRenamed({m: f"{m}_parts" for m in metrics}).select("*", F.lit(True).alias("_parts")).alias("sums")
     has_whole, has_parts = F.col("_whole").isNotNull(), F.col("_parts").isNotNull()
     side = F.when(has_whole & has_parts, "both").when(has_whole, "whole").otherwise("parts")
     joined = own.join(sums, same, "full").select(
