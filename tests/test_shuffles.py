@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from adlake import specs
 from adlake.operators import reports, tables
 from adlake.operators.tables import Target
+from adlake.plans import pulls
 from test_large_input import many_days  # noqa: F401
 from test_physical import executed
 from workload import responses as R
@@ -62,6 +63,16 @@ def test_a_first_load_is_not_compared_with_an_empty_table(spark, tmp_path):
     assert "Join" in executed(tables.merged_days(target.read(spark, specs.AD_FACT), rows, specs.AD_FACT, days, 10, "ingested_at"))
 
 
+def test_wide_rows_are_cast_outside_the_stage_s_one_method(spark, tmp_path):
+    body = '[{"AD_ID": "a", "DATE": "2024-01-01", "SPEND_IN_DOLLAR": 1}]'
+    landed = spark.createDataFrame([("acct", None, body)], "ad_account_id string, start_date string, body string")
+    landed.write.parquet(str(tmp_path / "landed"))
+    rows = pulls.fact_rows(spark.read.parquet(str(tmp_path / "landed")), specs.AD_FACT, dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc))
+    casts = [line for line in executed(rows).splitlines() if "ad_performance.leads unreadable" in line]
+    assert casts and not any("*(" in line for line in casts)  # *(n) marks what whole-stage code holds
+    assert rows.select("ad_account_id", "ad_id", "spend").collect() == [("acct", "a", 1.0)]
+
+
 def test_a_spec_of_few_columns():
     few = specs.AD_MARKET_FACT.only("ad_id", "spend")
     assert few.columns == ["ad_id", "stat_date", "spend"] and few.targeting_type == "LOCATION"
