@@ -33,6 +33,31 @@ def test_supplier_keys_of_larger_tables(spark, many_suppliers):
     assert queries.snapshot_replace(spark, many_suppliers).count() == 1  # the others are paused
 
 
+@pytest.fixture()
+def far_suppliers(spark, tmp_path):
+    """Copies with keys shifted far: times beyond the year 9999, caps beyond a bigint."""
+    keys = [1, 2_932_896, 2_932_897, 6_000_000, 10**13, 2 * 10**14, 2**63 - 1]
+    spark.createDataFrame([(k, f"S{k}", 2 if k % 2 else 3, 1.0) for k in keys],
+                          "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double") \
+        .write.parquet(str(tmp_path / "supplier.parquet"))
+    spark.createDataFrame([(k, p, dt.datetime(2000, 1, 1 + p)) for k in keys for p in (1, 2)],
+                          "l_suppkey bigint, l_partkey bigint, l_shipdate timestamp_ntz") \
+        .write.parquet(str(tmp_path / "lineitem.parquet"))
+    return str(tmp_path), [str(k) for k in keys]
+
+
+def test_supplier_keys_shifted_far(spark, far_suppliers):
+    folder, keys = far_suppliers
+    rows = queries.campaign_dimension(spark, folder).collect()
+    assert {r["campaign_id"]: (r["daily_spend_cap"], r["created_time"]) for r in rows} == {
+        k: (int(k) * 10**6 if int(k) < 10**13 else None, int(k) * 86400 if int(k) <= 2_932_896 else None) for k in keys}
+    assert sorted(r["campaign_id"] for r in queries.entity_files(spark, folder).collect()) == sorted(keys)
+    for query in (queries.snapshot_replace, queries.snapshot_replace_catalog, queries.scoped_replace):
+        assert sorted(r["campaign_id"] for r in query(spark, folder).collect()) == sorted(keys)
+    names = queries.replace_finished(spark, folder).where("table_name = 'campaign_dim'").collect()
+    assert {(r["entity_id"], r["rows_written"]) for r in names} == {(k, len(keys)) for k in keys}
+
+
 @pytest.fixture()
 def many_days(spark, tmp_path):
     """Line items of 400 campaigns on 200 days each: a response of some 100 KB per campaign."""
