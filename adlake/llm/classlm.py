@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import PIECE, held_out, in_batches, pieces, sum_pieces, summed, written
+from adlake.llm.common import PIECE, held_out, in_batches, passing_shuffles, pieces, sum_pieces, summed, written
 from adlake.session import discard, run_dir
 from adlake.llm.words import Words, chunks, mix, split_words
 
@@ -53,7 +53,7 @@ BIGRAM_TOKENS = 1 << 20  # whose bigrams are
 SMOOTH = 0.5
 OUT_ROWS = 1 << 16  # that leave a task together
 MIN_GAIN = 1e-3  # of a round, in natural logarithms a token
-MOVE_WORDS = 1024  # whose moves are weighed together
+MOVE_WORDS = 256  # whose moves are weighed together, in some 5 MB for each step
 OWN = 2 * CLASSES  # place of a word after itself; before it stand the classes after and before a word
 FAR_SLOTS = OWN + 1  # where the classes of neighbours beyond the head begin
 PAIR, NEAR, FAR = range(3)  # kinds of counted bigrams
@@ -517,6 +517,10 @@ class ClassModel:
     """The model fitted on the training rows of a table."""
 
     def __init__(self, docs: DataFrame):
+        with passing_shuffles(docs.sparkSession):
+            self._fit(docs)
+
+    def _fit(self, docs: DataFrame) -> None:
         spark = docs.sparkSession
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         train = rows.where(F.coalesce(held_out("doc_id", FOLDS) != OUT, F.lit(False)))
@@ -548,7 +552,6 @@ class ClassModel:
 
         path = run_dir(spark, "llm-bigrams")
         word_bigrams(train, word).write.partitionBy("kind").parquet(path)
-        spark._jvm.java.lang.System.gc()  # Spark removes the files of shuffles that nothing refers to any more
         bigrams = spark.read.schema("key long, other long, n long, kind int").parquet(path)
         units = len(word) + AFFIXES
         unit_path = run_dir(spark, "llm-units")

@@ -276,3 +276,19 @@ def test_long_runs_take_linear_time(unit):
     pii.pattern_spans(text)
     pii.runs(text)
     assert time.process_time() - began < 10
+
+
+def test_the_class_model_leaves_no_shuffle_files(documents, spark):
+    """They go with the action that made them; the setting that says so is as it was before."""
+    def files() -> set[str]:
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f.rsplit("/", 1)[-1] for f in found.mkString(",").split(",") if "/shuffle_" in f}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = files(), spark.conf.get(setting)
+    classlm.ClassModel(documents([(k, f"the word{k % 7} of text{k} and the rest") for k in range(200)]))
+    assert spark.conf.get(setting) == was
+    deadline = time.time() + 10
+    while (left := files() - before) and time.time() < deadline:
+        time.sleep(0.2)
+    assert not left
