@@ -6,7 +6,9 @@ Method
   * Every training word has a class of its own choice; words not met in training fall to one
     of AFFIXES units by their last bytes, and take that unit's class.
   * Bigrams are counted over all training rows, once, with the HEAD most frequent words by name
-    and the others by their affix. Each unit's neighbours lie in one row, which has a bound.
+    and the others by their affix. They travel as arrays: a task sorts the bigrams of some texts
+    and sends one row to each slice, whose rows another task merges. Each unit's neighbours lie
+    in one row, which has a bound.
   * A start: the UNITS most frequent words and the affixes are exchanged on the driver, and
     every word takes its unit's class.
   * Exchange clustering in rounds over the head and the affixes: a task looks up the classes
@@ -49,7 +51,7 @@ UNITS, AFFIXES, AFFIX_BYTES = 768, 256, 3
 CLASSES, SWEEPS = 48, 8
 HEAD = 1 << 16  # words looked up without a shuffle
 FLUSH_TOKENS = 1 << 21  # counted together before they leave a task
-BIGRAM_TOKENS = 1 << 20  # whose bigrams are
+BIGRAM_TOKENS = 1 << 19  # whose bigrams are
 SMOOTH = 0.5
 OUT_ROWS = 1 << 16  # that leave a task together
 MIN_GAIN = 1e-3  # of a round, in natural logarithms a token
@@ -113,24 +115,84 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(F.first("affix").alias("affix"), F.sum("c").alias("c"))
 
 
-def word_bigrams(docs: DataFrame, head: np.ndarray) -> DataFrame:
-    """(key, other, n, kind): bigrams of the training rows, in three kinds.
+BLOBS = "kind int, slice int, keys binary, sizes binary, others binary, times binary"
+_COUNTS = {np.dtype(t).itemsize: np.dtype(t) for t in (np.uint8, np.uint16, np.uint32, np.int64)}
 
-    PAIR: key is unit * units + next unit. NEAR: key is a word beyond the head, other its
-    affix * (2 * units + 1) + a neighbour: the next unit, units + the unit before, or
-    2 * units if the word itself comes next. FAR: two words beyond the head, one after the other.
+
+def slices_of(tokens: int) -> int:
+    """Slices of the bigrams, each merged by one task: of 2**18 tokens, beyond 1024 of 2**21 at most."""
+    return max(1, min(tokens >> 18, 1024), tokens >> 21)
+
+
+def _slice_of(hashes: np.ndarray, slices: int) -> np.ndarray:
+    """The slice of each hash; the larger the hash, the later the slice."""
+    return ((hashes >> _U(32)) * _U(slices) >> _U(32)).astype(np.int64)
+
+
+def _packed(n: np.ndarray) -> bytes:
+    """Counts in the smallest type that holds them."""
+    most = n.max(initial=0)
+    return n.astype(next(t for t in _COUNTS.values() if most <= np.iinfo(t).max)).tobytes()
+
+
+def _unpacked(raw: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(raw, _COUNTS[len(raw) // size] if size else np.uint8)
+
+
+def _blobs(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of BLOBS; what a kind has no use for is null."""
+    kind, part, *raw = zip(*rows, strict=True)
+    raw = [pa.array(c, pa.binary()) for c in raw]
+    return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(part, pa.int32()), *raw],
+                                      names=["kind", "slice", "keys", "sizes", "others", "times"])
+
+
+def _added(code: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different codes in order, and the sum of the counts of each."""
+    order = np.argsort(code)
+    code = code[order]
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+    return code[first], np.add.reduceat(n[order], first, dtype=np.int64)
+
+
+def _grouped(df: DataFrame, build: Callable[..., Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """What ``build`` makes of all rows (keys, sizes, others, times) of each kind and slice together."""
+    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for batch in batches:
+            for kind, part, *raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (kind, part) != now:
+                    if held:
+                        yield from build(*now, held)
+                    now, held = (kind, part), []
+                held.append(raw)
+        if held:
+            yield from build(*now, held)
+
+    dealt = df.repartition("kind", "slice").sortWithinPartitions("kind", "slice")
+    return in_batches(dealt).mapInArrow(group, schema)
+
+
+def _joined(raw: list[bytes], dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(raw), dtype)
+
+
+def word_bigrams(docs: DataFrame, head: np.ndarray, slices: int) -> DataFrame:
+    """Bigrams of the training rows in BLOBS, one row for each slice of three kinds.
+
+    PAIR: a key is unit * units + next unit. NEAR: a key is a word beyond the head, with the
+    number of its others in sizes; each other is the word's affix * (2 * units + 1) + a
+    neighbour: the next unit, units + the unit before, or 2 * units if the word itself comes
+    next. FAR: key and other are two words beyond the head, one after the other.
     """
     units = len(head) + AFFIXES
+    pairs, span = units * units, AFFIXES * (2 * units + 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def rows(kind, key, other, n):
-            for i in range(0, len(key), OUT_ROWS):
-                k, o = key[i:i + OUT_ROWS].view(np.int64), other[i:i + OUT_ROWS].view(np.int64)
-                yield pa.RecordBatch.from_pydict({
-                    "key": pa.array(k), "other": pa.array(o), "n": pa.array(n[i:i + OUT_ROWS]),
-                    "kind": pa.array(np.full(len(k), kind, dtype=np.int32))})
+        def filled(cut):
+            return ((k, a, b) for k, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)) if b > a)
 
         def flush():
             word = np.concatenate([[END_HASH], *(h for h, _ in held)])
@@ -138,8 +200,12 @@ def word_bigrams(docs: DataFrame, head: np.ndarray) -> DataFrame:
             held.clear()
             at = place_in(head, word)
             unit = np.where(at >= 0, at, len(head) + affix).astype(np.int64)
-            code, n = np.unique(unit[:-1] * units + unit[1:], return_counts=True)
-            yield from rows(PAIR, code, np.broadcast_to(np.int64(0), len(code)), n)
+            code = unit[:-1] * units + unit[1:]
+            code += _slice_of(mix(code.view(np.uint64)), slices) * pairs
+            code, n = np.unique(code, return_counts=True)
+            cut = np.searchsorted(code, np.arange(slices + 1) * pairs)
+            code %= pairs
+            yield _blobs([(PAIR, k, code[a:b].tobytes(), None, None, _packed(n[a:b])) for k, a, b in filled(cut)])
             del code, n
             rare = np.flatnonzero(at < 0)  # the first and the last token are ends
             if not len(rare):
@@ -147,15 +213,23 @@ def word_bigrams(docs: DataFrame, head: np.ndarray) -> DataFrame:
             found, which = np.unique(word[rare], return_inverse=True)
             itself = word[rare + 1] == word[rare]
             near = np.concatenate((unit[rare + 1], units + unit[rare - 1], np.full(itself.sum(), 2 * units)))
-            span = AFFIXES * (2 * units + 1)
             near += np.concatenate((affix[rare], affix[rare], affix[rare[itself]])).astype(np.int64) * (2 * units + 1)
             near += np.concatenate((which, which, which[itself])) * span
             del which
             code, n = np.unique(near, return_counts=True)
             del near
-            yield from rows(NEAR, found[code // span], code % span, n)
+            first = np.searchsorted(code, np.arange(len(found) + 1) * span)
+            size, other = np.diff(first).astype(np.uint32), (code % span).astype(np.uint32)
+            cut = np.searchsorted(_slice_of(found, slices), np.arange(slices + 1))
+            yield _blobs([(NEAR, k, found[a:b].tobytes(), size[a:b].tobytes(), other[first[a]:first[b]].tobytes(),
+                           _packed(n[first[a]:first[b]])) for k, a, b in filled(cut)])
             far = rare[at[rare + 1] < 0]
-            yield from rows(FAR, word[far], word[far + 1], np.ones(len(far), np.int64))
+            if not len(far):
+                return
+            far = far[np.argsort(word[far])]
+            cut = np.searchsorted(_slice_of(word[far], slices), np.arange(slices + 1))
+            yield _blobs([(FAR, k, word[far[a:b]].tobytes(), None, word[far[a:b] + 1].tobytes(), _packed(np.ones(b - a, np.int64)))
+                          for k, a, b in filled(cut)])
 
         n = 0
         for _, data, at in chunks(batches):
@@ -168,37 +242,25 @@ def word_bigrams(docs: DataFrame, head: np.ndarray) -> DataFrame:
         if held:
             yield from flush()
 
-    found = in_batches(docs.select("text")).mapInArrow(count, "key long, other long, n long, kind int")
-    return found.groupBy("kind", "key", "other").agg(F.sum("n").alias("n")).select("key", "other", "n", "kind")
-
-
-def gathered(rows: DataFrame, build: Callable[..., dict], schema: str) -> DataFrame:
-    """The rows (key, other, n) of each key together, as ``build`` makes columns of some keys.
-
-    It gets the keys, where the rows of each begin, and the rows' others and counts. No key has
-    more rows than there are units, twice over.
-    """
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
-        for batch in batches:
-            b = tuple(batch[k].to_numpy() for k in ("key", "other", "n"))
-            if not len(b[0]):
-                continue
-            if b[0][-1] == b[0][0] and held and held[-1][0][-1] == b[0][0]:
-                held.append(b)  # still the same key
-                continue
-            key, other, n = (np.concatenate(x) for x in zip(*held, b, strict=True))
-            first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            if len(first) > 1:
-                last = first[-1]
-                yield pa.RecordBatch.from_pydict(build(key[first[:-1]], first, other[:last], n[:last]))
-            held = [(key[first[-1]:], other[first[-1]:], n[first[-1]:])]
-        if held:
-            key, other, n = (np.concatenate(x) for x in zip(*held, strict=True))
-            yield pa.RecordBatch.from_pydict(build(key[:1], np.array([0, len(key)]), other, n))
+    def merge(kind, part, held):
+        keys, sizes, others, times = zip(*held, strict=True)
+        if kind == PAIR:
+            code, n = _added(_joined(keys, np.int64), np.concatenate([_unpacked(t, len(k) // 8) for k, t in zip(keys, times, strict=True)]))
+            yield _blobs([(kind, part, code.tobytes(), None, None, _packed(n))])
+        elif kind == NEAR:
+            n = np.concatenate([_unpacked(t, len(o) // 4) for o, t in zip(others, times, strict=True)])
+            found, which = np.unique(_joined(keys, np.uint64), return_inverse=True)
+            code, n = _added(np.repeat(which, _joined(sizes, np.uint32)) * span + _joined(others, np.uint32), n)
+            size = np.diff(np.searchsorted(code, np.arange(len(found) + 1) * span)).astype(np.uint32)
+            yield _blobs([(kind, part, found.tobytes(), size.tobytes(), (code % span).astype(np.uint32).tobytes(), _packed(n))])
+        else:
+            key, other = _joined(keys, np.uint64), _joined(others, np.uint64)
+            order = np.lexsort((other, key))
+            key, other = key[order], other[order]
+            first = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (other[1:] != other[:-1])))
+            yield _blobs([(kind, part, key[first].tobytes(), None, other[first].tobytes(), _packed(np.diff(np.append(first, len(key)))))])
 
-    dealt = rows.select("key", "other", "n").repartition("key").sortWithinPartitions("key")
-    return in_batches(dealt).mapInArrow(pack, schema)
+    return _grouped(in_batches(docs.select("text")).mapInArrow(count, BLOBS), merge, BLOBS)
 
 
 def _bytes(values: np.ndarray, ptr: np.ndarray) -> pa.Array:
@@ -213,17 +275,49 @@ def _values(column: pa.Array, dtype) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(raw), dtype=dtype), np.repeat(np.arange(len(raw)), size)
 
 
-def unit_rows(bigrams: DataFrame, units: int) -> DataFrame:
-    """(unit, others, times): the neighbours of each unit; units + k is unit k before it."""
-    pair = bigrams.where(F.col("kind") == PAIR)
-    v, w = F.call_function("div", F.col("key"), F.lit(units)), F.col("key") % units
-    both = pair.select(F.explode(F.array(F.struct(v.alias("key"), w.alias("other"), "n"),
-                                         F.struct(w.alias("key"), (v + units).alias("other"), "n"))).alias("r")).select("r.*")
+AROUND = "unit int, after binary, after_times binary, before binary, before_times binary"
 
-    def build(key, ptr, other, n):
-        return {"unit": pa.array(key.astype(np.int32)), "others": _bytes(other.astype(np.int32), ptr), "times": _bytes(n, ptr)}
 
-    return gathered(both, build, "unit int, others binary, times binary")
+def unit_rows(bigrams: DataFrame, units: int, slices: int) -> DataFrame:
+    """AROUND: the units that come after and before each unit, with their counts."""
+    slices = min(slices, units)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys, times in zip(batch["keys"].to_pylist(), batch["times"].to_pylist(), strict=True):
+                v, w = np.divmod(np.frombuffer(keys, np.int64), units)
+                part = np.concatenate((v, w)) % slices
+                order = np.argsort(part.astype(np.uint16) if slices <= 1 << 16 else part, kind="stable")
+                cut = np.searchsorted(part[order], np.arange(slices + 1))
+                key = np.concatenate((v, w)).astype(np.uint32)[order]
+                other = np.concatenate((w, v + units)).astype(np.uint32)[order]
+                n = np.tile(_unpacked(times, len(v)), 2)[order]
+                yield _blobs([(PAIR, k, key[a:b].tobytes(), None, other[a:b].tobytes(), _packed(n[a:b]))
+                              for k, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)) if b > a])
+
+    def gather(kind, part, held):
+        keys, _, others, times = zip(*held, strict=True)
+        n = np.concatenate([_unpacked(t, len(o) // 4) for o, t in zip(others, times, strict=True)])
+        code = _joined(keys, np.uint32) * np.int64(2 * units) + _joined(others, np.uint32)
+        order = np.argsort(code)
+        code, n = code[order], n[order]
+        unit = np.unique(code // (2 * units))
+        other = (code % units).astype(np.int32)
+        cut = np.searchsorted(code, np.concatenate((unit[:, None] * 2, unit[:, None] * 2 + 1, unit[:, None] * 2 + 2), axis=1) * units).tolist()
+        sides = [(other[a:b].tobytes(), _packed(n[a:b]), other[b:c].tobytes(), _packed(n[b:c])) for a, b, c in cut]
+        yield pa.RecordBatch.from_arrays([pa.array(unit.astype(np.int32)), *(pa.array(c, pa.binary()) for c in zip(*sides, strict=True))],
+                                         names=["unit", "after", "after_times", "before", "before_times"])
+
+    dealt = in_batches(bigrams.where(F.col("kind") == PAIR).select("keys", "times")).mapInArrow(deal, BLOBS)
+    return _grouped(dealt, gather, AROUND)
+
+
+def _neighbours(b: pa.RecordBatch, side: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All units on a side of the units of a batch of AROUND: which they are, the row, the counts."""
+    other, at = _values(b[side], np.int32)
+    size = np.bincount(at, minlength=b.num_rows).tolist()
+    n = [_unpacked(raw, k) for raw, k in zip(b[f"{side}_times"].to_pylist(), size, strict=True)]
+    return other, at, np.concatenate(n)
 
 
 def rare_words(bigrams: DataFrame, classes: np.ndarray) -> DataFrame:
@@ -244,7 +338,31 @@ def rare_words(bigrams: DataFrame, classes: np.ndarray) -> DataFrame:
                 "class": pa.array(classes[units - AFFIXES + affix[ptr[:-1]]].astype(np.int32)),
                 "slots": _bytes(slot.astype(np.uint8), ptr), "times": _bytes(n, ptr)}
 
-    return gathered(bigrams.where(F.col("kind") == NEAR), build, RARE)
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys, sizes, others, times in zip(*(batch[c].to_pylist() for c in ("keys", "sizes", "others", "times")), strict=True):
+                key, other = np.frombuffer(keys, np.int64), np.frombuffer(others, np.uint32).astype(np.int64)
+                n = _unpacked(times, len(other)).astype(np.int64)
+                ptr = np.concatenate(([0], np.cumsum(np.frombuffer(sizes, np.uint32), dtype=np.int64)))
+                for i in range(0, len(key), OUT_ROWS):
+                    cut = ptr[i:i + OUT_ROWS + 1]
+                    yield pa.RecordBatch.from_pydict(build(key[i:i + OUT_ROWS], cut - cut[0], other[cut[0]:cut[-1]], n[cut[0]:cut[-1]]))
+
+    return in_batches(bigrams.where(F.col("kind") == NEAR).select("keys", "sizes", "others", "times")).mapInArrow(each, RARE)
+
+
+def far_words(bigrams: DataFrame) -> DataFrame:
+    """(key, other, n): how often two words beyond the head follow each other."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys, others, times in zip(*(batch[c].to_pylist() for c in ("keys", "others", "times")), strict=True):
+                key, other = np.frombuffer(keys, np.int64), np.frombuffer(others, np.int64)
+                n = _unpacked(times, len(key)).astype(np.int64)
+                for i in range(0, len(key), OUT_ROWS):
+                    at = slice(i, i + OUT_ROWS)
+                    yield pa.RecordBatch.from_pydict({"key": pa.array(key[at]), "other": pa.array(other[at]), "n": pa.array(n[at])})
+
+    return in_batches(bigrams.where(F.col("kind") == FAR).select("keys", "others", "times")).mapInArrow(each, "key long, other long, n long")
 
 
 def place_in(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -351,27 +469,31 @@ def unit_pairs(rows: DataFrame, classes: np.ndarray, below: int) -> np.ndarray:
     units = len(classes)
 
     def table(b: pa.RecordBatch) -> np.ndarray:
-        other, at = _values(b["others"], np.int32)
-        n, unit = _values(b["times"], np.int64)[0], b["unit"].to_numpy()[at]
-        k = np.flatnonzero((unit < below) & (other < min(below, units)))
-        return _squares(classes[unit[k]], classes[other[k]], n[k])
+        other, at, n = _neighbours(b, "after")
+        unit = b["unit"].to_numpy()[at]
+        if below < units:
+            k = np.flatnonzero((unit < below) & (other < below))
+            unit, other, n = unit[k], other[k], n[k]
+        return _squares(classes[unit], classes[other], n)
 
-    return _per_task(rows, table)
+    return _per_task(rows.select("unit", "after", "after_times"), table)
 
 
 def moved_units(rows: DataFrame, classes: np.ndarray, pair: np.ndarray, end: int, turn: int, part: int) -> np.ndarray:
     """The units' classes after one of ``part`` shares of them has moved; the end stays."""
-    units = len(classes)
-
     def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            if not b.num_rows:
+                continue
             unit = b["unit"].to_numpy()
-            other, at = _values(b["others"], np.int32)
-            n = _values(b["times"], np.int64)[0]
-            slot = classes[other % units] + np.where(other >= units, CLASSES, 0)
-            around = np.bincount(at * (OWN + 1) + slot, weights=n, minlength=len(unit) * (OWN + 1)).reshape(-1, OWN + 1)
-            itself = other == unit[at]
-            around[at[itself], OWN] = n[itself]
+            around = np.zeros((len(unit), OWN + 1))
+            for side, first in (("after", 0), ("before", CLASSES)):
+                other, at, n = _neighbours(b, side)
+                around[:, first:first + CLASSES] = np.bincount(
+                    at * CLASSES + classes[other], weights=n, minlength=len(unit) * CLASSES).reshape(-1, CLASSES)
+                if side == "after":
+                    itself = other == unit[at]
+                    around[at[itself], OWN] = n[itself]
             goes = np.flatnonzero(~_stays(unit, turn, part) & (unit != end))
             new = chosen(pair, classes[unit[goes]], around[goes])
             yield pa.RecordBatch.from_pydict({"unit": b["unit"].take(pa.array(goes)), "class": pa.array(new.astype(np.int32))})
@@ -527,7 +649,9 @@ class ClassModel:
         self.counts = written(word_counts(train), "words")
         # The most frequent words, HEAD at most: those above a step of the logarithm of the count.
         height = F.floor(F.log2("c") * 16).cast("int")
-        steps = sorted(((r["h"], r["n"]) for r in self.counts.groupBy(height.alias("h")).agg(F.count("*").alias("n")).collect()), reverse=True)
+        steps = self.counts.groupBy(height.alias("h")).agg(F.count("*").alias("n"), F.sum("c").alias("c")).collect()
+        slices = slices_of(sum(r["c"] for r in steps))
+        steps = sorted(((r["h"], r["n"]) for r in steps), reverse=True)
         total, least = 0, None
         for h, n in steps:
             if total + n > HEAD:
@@ -551,25 +675,24 @@ class ClassModel:
         end = int(place_in(word, np.array([END_HASH]))[0])
 
         path = run_dir(spark, "llm-bigrams")
-        word_bigrams(train, word).write.partitionBy("kind").parquet(path)
-        bigrams = spark.read.schema("key long, other long, n long, kind int").parquet(path)
+        word_bigrams(train, word, slices).write.partitionBy("kind").parquet(path)
+        bigrams = spark.read.schema(BLOBS).parquet(path)
         units = len(word) + AFFIXES
         unit_path = run_dir(spark, "llm-units")
-        unit_rows(bigrams, units).write.parquet(unit_path)
-        around = spark.read.schema("unit int, others binary, times binary").parquet(unit_path)
+        unit_rows(bigrams, units, slices).write.parquet(unit_path)
+        around = spark.read.schema(AROUND).parquet(unit_path)
         start = np.concatenate((unit, UNITS + np.arange(AFFIXES)))
         size = UNITS + AFFIXES
 
         def add(batches) -> np.ndarray:
             total = np.zeros(size * size, dtype=np.int64)
             for b in batches:
-                other, at = _values(b["others"], np.int32)
-                n, own = _values(b["times"], np.int64)[0], start[b["unit"].to_numpy()[at]]
-                k = np.flatnonzero(other < units)
-                np.add.at(total, own[k] * size + start[other[k]], n[k])
+                if b.num_rows:
+                    other, at, n = _neighbours(b, "after")
+                    np.add.at(total, start[b["unit"].to_numpy()[at]] * size + start[other], n.astype(np.int64))
             return total
 
-        found = summed(around, add, "int64")
+        found = summed(around.select("unit", "after", "after_times"), add, "int64")
         table = found.reshape(size, size).astype(float) if len(found) else np.zeros((size, size))
         group = exchange(table, table.sum(axis=0), 0)
 
@@ -589,9 +712,9 @@ class ClassModel:
                 discard(spark, state[1])
 
         rare = rare_words(bigrams, classes)
-        near, far = (bigrams.where(F.col("kind") == k).select("key", "other", "n") for k in (NEAR, FAR))
-        if not near.isEmpty():
-            any_far = not far.isEmpty()
+        any_near, any_far = (not bigrams.where(F.col("kind") == k).isEmpty() for k in (NEAR, FAR))
+        if any_near:
+            far = far_words(bigrams)
             of_head = unit_pairs(around, classes, len(word))
             (rare, to), pair, gains = settled(
                 (rare, None), pair, lambda r: of_head + rare_pairs(r[0]) + (far_pairs(far, r[0]) if any_far else 0),

@@ -122,6 +122,66 @@ def test_every_training_word_is_clustered_by_its_contexts(spark, documents, monk
                                                   for v, w in zip(line, line[1:], strict=False)))
 
 
+@pytest.mark.parametrize("slices", [1, 5])
+def test_bigrams_travel_in_few_rows(documents, monkeypatch, slices):
+    """One row for each kind and slice, whatever the number of bigrams; together they hold every bigram."""
+    monkeypatch.setattr(classlm, "BIGRAM_TOKENS", 500)  # of many rounds, and of several tasks
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(("the", "of", f"w{rng.randrange(300)}", "twice twice")) for _ in range(rng.randrange(40)))) for i in range(200)]
+    hashes = {w: int(words.split_words(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)])).hashes[0])
+              for w in {w for _, t in rows for w in t.split()}}
+    head = np.array(sorted([int(classlm.END_HASH), *(hashes[w] for w in ("the", "of", "w1", "w2"))]), dtype=np.uint64)
+    units = len(head) + classlm.AFFIXES
+    found = classlm.word_bigrams(documents(rows).repartition(3), head, slices)
+    held = found.collect()
+    assert len({(r["kind"], r["slice"]) for r in held}) == len(held) <= 3 * slices
+    texts = [[int(classlm.END_HASH), *(hashes[w] for w in t.split()), int(classlm.END_HASH)] for _, t in rows]
+    place, named = {int(h): k for k, h in enumerate(head)}, {}
+    for (_, t), line in zip(rows, texts, strict=True):
+        split = words.split_words(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))
+        named |= {h: place.get(h, len(head) + int(a)) for h, a in zip(line[1:-1], classlm._affix(split), strict=True)}
+    named[int(classlm.END_HASH)] = place[int(classlm.END_HASH)]
+    both = [(v, w) for line in texts for v, w in zip(line, line[1:], strict=False)]
+    pairs = Counter(named[v] * units + named[w] for v, w in both)
+    far = Counter((v, w) for v, w in both if v not in place and w not in place)
+    near = Counter()
+    for v, w in both:
+        if v not in place:
+            near[v, named[w]] += 1
+            if v == w:
+                near[v, 2 * units] += 1
+        if w not in place:
+            near[w, units + named[v]] += 1
+    got = {classlm.PAIR: Counter(), classlm.NEAR: Counter(), classlm.FAR: Counter()}
+    for r in held:
+        n = classlm._unpacked(bytes(r["times"]), len(r["keys" if r["kind"] == classlm.PAIR else "others"]) // (4 if r["kind"] == classlm.NEAR else 8))
+        keys = np.frombuffer(r["keys"], np.uint64)
+        if r["kind"] == classlm.PAIR:
+            codes = keys.tolist()
+        elif r["kind"] == classlm.NEAR:
+            other = np.frombuffer(r["others"], np.uint32) % (2 * units + 1)
+            codes = list(zip(np.repeat(keys, np.frombuffer(r["sizes"], np.uint32)).tolist(), other.tolist(), strict=True))
+        else:
+            codes = list(zip(keys.tolist(), np.frombuffer(r["others"], np.uint64).tolist(), strict=True))
+        assert len(set(codes)) == len(codes)
+        got[r["kind"]].update(dict(zip(codes, n.tolist(), strict=True)))
+    assert got == {classlm.PAIR: pairs, classlm.NEAR: near, classlm.FAR: far}
+    around = {r["unit"]: r for r in classlm.unit_rows(found, units, slices).collect()}
+    for side, first, second in (("after", 0, 1), ("before", 1, 0)):
+        at = {}
+        for code, n in pairs.items():
+            at.setdefault(divmod(code, units)[first], {})[divmod(code, units)[second]] = n
+        assert at == {u: dict(zip((other := np.frombuffer(r[side], np.int32)).tolist(), classlm._unpacked(bytes(r[f"{side}_times"]), len(other)).tolist(),
+                                  strict=True)) for u, r in around.items()}
+
+
+def test_counts_of_any_size_are_kept():
+    for most in (1, 255, 256, 65535, 65536, 2**32 - 1, 2**32, 2**62):
+        n = np.array([1, most, 7], dtype=np.int64)
+        assert classlm._unpacked(classlm._packed(n), 3).tolist() == n.tolist()
+    assert [classlm.slices_of(n) for n in (0, 1 << 18, 1 << 20, 1 << 30, 1 << 33)] == [1, 1, 4, 1024, 4096]
+
+
 def test_moves_gain_what_they_promise():
     rng = np.random.default_rng(3)
     big = rng.poisson(0.6, (30, 30)).astype(float)
