@@ -32,6 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adlake.llm.common import in_batches, written
+from adlake.llm.words import give_back
 
 WINDOW = 4096
 END = 2
@@ -136,13 +137,14 @@ def _parts_letters(tokenizer) -> bool:
 
 @functools.cache
 def encoder(path: str) -> Encoder:
-    """One per Python worker; what it has learned serves its next tasks too."""
+    """One per Python worker; what it has learned serves its next tasks too, until pieces are cut."""
     return Encoder(path)
 
 
 def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Each row's ids, and its place among the rows of its source in its partition."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         words, taken = encoder(tokenizer), {}
         end, width = array(words.code, [END]).tobytes(), array(words.code).itemsize
         for batch in batches:
@@ -243,6 +245,8 @@ def pack(docs: DataFrame, *, tokenizer: str | None = None, window: int = WINDOW,
     grants = Grants(totals, window)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder.cache_clear()  # all rows are encoded, and what the worker has learned would stay with it
+        give_back()
         for whole in batches:
             sizes = np.cumsum(whole.column("n").to_numpy())
             at = 0

@@ -34,7 +34,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adlake.llm.common import by_ids, components, few_tasks, in_batches, pieces, sum_pieces, written
-from adlake.llm.words import chunks, distinct, mix, shingles, split_words
+from adlake.llm.words import chunks, distinct, give_back, mix, shingles, split_words
 
 WIDTH = 5
 THRESHOLD = (4, 5)
@@ -158,6 +158,7 @@ def _shared_values(lead: DataFrame) -> DataFrame:
         return np.concatenate([np.frombuffer(r, dtype) for r in raws])
 
     def meet(batches):
+        give_back()
         now, held = None, []
 
         def found():

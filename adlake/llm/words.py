@@ -105,8 +105,15 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
+def give_back() -> None:
+    """Return the memory that Arrow keeps of a worker's earlier tasks: workers serve many steps,
+    and what each of them has freed would count for all that follow."""
+    pa.default_memory_pool().release_unused()
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Rows of about CHUNK_BYTES of text at a time, with their bytes and offsets."""
+    give_back()
     for batch in batches:
         if not batch.num_rows:
             continue

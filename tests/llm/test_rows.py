@@ -235,6 +235,27 @@ def test_grants_are_a_deficit_round_robin():
     assert (abs(upto - rounds * g.totals / g.rounds) <= 1).all()  # no deficit above a token
 
 
+def test_packing_forgets_its_words_when_pieces_are_cut(documents, monkeypatch):
+    """Some hundred MB a worker, which the steps after it need."""
+    steps = []
+
+    class Seen:
+        def __init__(self, df):
+            self.df = df
+
+        def mapInArrow(self, step, schema):
+            steps.append(step)
+            return self.df.mapInArrow(step, schema)
+
+    monkeypatch.setattr(packing, "in_batches", Seen)
+    assert packing.pack(documents([(1, "some words"), (2, None)])).count() > 0
+    packing.encoder(packing.default_tokenizer()).encode("some words")
+    given = []
+    monkeypatch.setattr(packing, "give_back", lambda: given.append(1))
+    assert list(steps[-1](iter([]))) == [] and packing.encoder.cache_info().currsize == 0
+    assert list(steps[0](iter([]))) == [] and len(given) == 2
+
+
 def test_packing_odd_rows(odd, empty):
     got = packing.pack(odd).collect()
     assert {r["doc_id"] for r in got} == {1, 2, 3, 4, 5, 6, 7, 8, None} and packing.pack(empty).count() == 0
@@ -352,3 +373,11 @@ def test_the_class_model_leaves_no_shuffle_files(documents, spark):
     while (left := files() - before) and time.time() < deadline:
         time.sleep(0.2)
     assert not left
+
+
+def test_a_step_begins_without_the_memory_of_those_before(monkeypatch):
+    """Arrow keeps what it has freed; a worker serves many steps, so what all have kept would add up."""
+    given = []
+    monkeypatch.setattr(words, "give_back", lambda: given.append(1))
+    list(words.chunks(iter([])))
+    assert given == [1]
