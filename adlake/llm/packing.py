@@ -19,6 +19,7 @@ the same. Other columns are not read. An empty table gives no pieces.
 
 from __future__ import annotations
 
+import codecs
 import functools
 import os
 import re
@@ -27,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -37,8 +39,8 @@ from adlake.llm.words import give_back
 WINDOW = 4096
 END = 2
 MAX_QUEUES = 1024
-KEPT_WORDS = 125_000  # word encodings that a worker remembers; only for speed
-KEPT_STEMS = 500_000  # and encodings of letters alone, twice as many at most
+KEPT_STEMS = 500_000  # encodings of letters that a worker remembers, twice as many at most; only for speed
+KEPT_WORDS = 125_000  # and of other words
 LONG_WORD = 64  # not remembered
 BATCH_TOKENS = 1 << 20  # of rows that are cut at once
 ROUNDS = 4096  # looked at together
@@ -55,7 +57,8 @@ class Encoder(dict):
     """Token ids of words, as bytes, learned as they are asked for.
 
     The tokenizer drops spaces and line ends, and parts letters from marks, so words are
-    encoded on their own, and letters of Latin-1 apart from the marks that follow them.
+    encoded on their own, and letters of Latin-1 apart from the marks that follow them. The
+    ids of letters are in ``stems``; the dictionary itself holds those of all other words.
     """
 
     def __init__(self, path: str):
@@ -82,7 +85,7 @@ class Encoder(dict):
         if ids is None:
             ids = self.older.pop(letters, None)
             if ids is None:
-                plain = letters.translate(self.letters)
+                plain = letters if letters.isascii() else _in_bytes(letters, self.letters)
                 ids = array(self.code, [t.id for t in self.model.tokenize(plain)]).tobytes()
             if len(letters) <= LONG_WORD:
                 if len(self.stems) >= KEPT_STEMS:
@@ -91,14 +94,7 @@ class Encoder(dict):
         return ids
 
     def __missing__(self, word: str) -> bytes:
-        m = _LETTERS_AND_MARKS.fullmatch(word) if self.letters else None
-        if m:
-            letters, marks = m.groups()
-            if marks not in self.marks:
-                self.marks[marks] = self._ids(marks)
-            ids = self._stem(letters.lower()) + self.marks[marks]
-        else:
-            ids = self._ids(word)
+        ids = self._ids(word)
         if len(word) <= LONG_WORD:
             if len(self) > KEPT_WORDS:
                 self.clear()
@@ -106,20 +102,56 @@ class Encoder(dict):
             self[word] = ids
         return ids
 
-    def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
-
-
-_LETTERS_AND_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?;:&%$#*|]{0,8})")
-
+    def word(self, word: str) -> bytes:
+        letters = word.rstrip(MARKS)
+        marks = word[len(letters):]
+        if not self.letters or len(marks) > MOST_MARKS or not _LETTERS.fullmatch(letters):
+            return self[word]
+        ids = self._stem(letters.lower())
+        if not marks:
+            return ids
+        if marks not in self.marks:
+            self.marks[marks] = self._ids(marks)
+        return ids + self.marks[marks]
 
-def _byte_letters() -> dict[int, str]:
-    """Latin-1 letters as the byte-level alphabet writes their UTF-8: printable bytes stand
-    for themselves, the others for the characters from 256 on, in order."""
+    def encode(self, text: str) -> bytes:
+        return self.encode_all(pa.array([text]))[0]
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text (null: none). Every distinct word of ``texts`` is looked up once."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        if not len(texts):
+            return []
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary
+        # No word holds a space, so they leave Arrow as one string.
+        spaced = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct.cast(pa.string())), " ")[0].as_py()
+        names = spaced.split(" ")
+        ids = [self.word(w) if i is None else i for w, i in zip(names, map(self.stems.get, names), strict=True)]
+        ids = pa.array(ids, pa.large_binary()).take(coded.indices)
+        _, ends, data = ids.buffers()
+        at = np.frombuffer(ends, dtype=np.int64)[words.offsets.to_numpy()].tolist()
+        raw = memoryview(data) if data is not None else memoryview(b"")
+        return [raw[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+MARKS = ".,!?;:&%$#*|"
+MOST_MARKS = 8  # that are remembered together
+
+
+def _byte_letters() -> str:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for the
+    characters from 256 on, in order."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in set(printable)]
     name = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
-    return {c: "".join(name[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+    return "".join(name[b] for b in range(256))
+
+
+def _in_bytes(letters: str, alphabet: str) -> str:
+    return codecs.charmap_decode(letters.encode(), "strict", alphabet)[0]
 
 
 def _parts_letters(tokenizer) -> bool:
@@ -129,7 +161,7 @@ def _parts_letters(tokenizer) -> bool:
     for word in probe:
         for marks in ("", ",", ".!?", "###"):
             whole = tokenizer.encode(word + marks, add_special_tokens=False).ids
-            apart = [t.id for t in tokenizer.model.tokenize(word.lower().translate(table))]
+            apart = [t.id for t in tokenizer.model.tokenize(_in_bytes(word.lower(), table))]
             if whole != apart + (tokenizer.encode(marks, add_special_tokens=False).ids if marks else []):
                 return False
     return True
@@ -150,8 +182,8 @@ def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
         for batch in batches:
             sources = batch.column("source").to_pylist()
             at, sizes, coded = [], [], []
-            for source, text in zip(sources, batch.column("text"), strict=True):
-                ids = words.encode(text.as_py() or "") + end
+            for source, ids in zip(sources, words.encode_all(batch.column("text")), strict=True):
+                ids += end
                 at.append(taken.get(source, 0))
                 sizes.append(len(ids) // width)
                 coded.append(ids)

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from adlake.llm import archive, classlm, kdshards, packing, pii, quality, transcripts, words
@@ -256,6 +257,26 @@ def test_packing_forgets_its_words_when_pieces_are_cut(documents, monkeypatch):
     assert list(steps[0](iter([]))) == [] and len(given) == 2
 
 
+def test_words_are_looked_up_once_a_batch(monkeypatch):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
+    rng = random.Random(8)
+    texts = [None, "", " ", "\n\n", "Straße.,", "İI ſ", "a!!!!!!!! a!!!!!!!!!", "É<|startoftext|>x", "x" * 100 + "!", "中文 it's 12", "a\tb\x85c",
+             *("".join(rng.choices("aAéÉ.,!'\u0301\u0307 \n\t1<|>İıßſ中", k=40)) for _ in range(300))]
+    for kept in (packing.KEPT_STEMS, 3):  # a full memory as well
+        monkeypatch.setattr(packing, "KEPT_STEMS", kept)
+        words = packing.Encoder(packing.default_tokenizer())
+        asked, plain = [], words.word
+        monkeypatch.setattr(words, "word", lambda w, asked=asked, plain=plain: (asked.append(w), plain(w))[1], raising=False)
+        for part in (pa.array(texts), pa.array(["none", *texts * 20])[1:], pa.array([], pa.string()), pa.array([None], pa.string())):
+            del asked[:]
+            got = words.encode_all(part)
+            want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in part.to_pylist()]
+            assert [np.frombuffer(ids, "<u2").tolist() for ids in got] == want
+            assert len(asked) == len(set(asked))
+
+
 def test_packing_odd_rows(odd, empty):
     got = packing.pack(odd).collect()
     assert {r["doc_id"] for r in got} == {1, 2, 3, 4, 5, 6, 7, 8, None} and packing.pack(empty).count() == 0
