@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from adlake.llm import decontaminate, prefix_tree, spotsigs
+from adlake.llm import common, decontaminate, prefix_tree, spotsigs
 from adlake.llm.prefix_tree import Trie, forest
 
 
@@ -93,6 +93,35 @@ def test_prefix_tree_join_keeps_the_links_of_all_texts_of_a_key(documents, monke
     assert got == brute_by_key(rows)
 
 
+@pytest.mark.parametrize("tasks, held", [(1, 1 << 19), (1, 50), (7, 1 << 19)])
+def test_components(spark, monkeypatch, tasks, held):
+    rng = random.Random(tasks + held)
+    way = [(i, i + 1) for i in range(500)]
+    edges = [*way, *((600 + rng.randrange(300), 600 + rng.randrange(300)) for _ in range(150)), (1000, 1000), (None, 5), (-7, 2000)]
+    rng.shuffle(edges)
+    root = {}
+    for a, b in edges:
+        if a is not None and a != b:
+            low, high = sorted((root.get(a, a), root.get(b, b)))
+            root |= {n: low for n in (a, b, *(n for n, r in root.items() if r == high))}
+    steps, plain = [], common.written
+    monkeypatch.setattr(common, "written", lambda df, label: (steps.append(label), plain(df, label))[1])
+    monkeypatch.setattr(common, "EDGES", held)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # as many tasks as asked for
+    spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+    try:
+        got = common.components(spark.createDataFrame(edges, "a long, b long"), "tested").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert len(got) == len(root) and {tuple(r) for r in got} == set(root.items())
+    assert len(steps) == 1 or tasks > 1 or held < 1 << 19  # edges of one task need no round
+
+
+def test_components_of_nothing(spark):
+    assert common.components(spark.createDataFrame([(1, 1)], "a long, b long"), "tested").count() == 0
+
+
 def test_trie_finds_all(seed=5):
     rng = np.random.default_rng(seed)
     base = rng.choice(200, 40, replace=False)
